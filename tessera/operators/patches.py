@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.graph import components
 from tessera.operators.transcripts import fov_cells, provided_cells
@@ -212,12 +213,12 @@ def _clip(ax, ay, bx, by) -> float:
     return float(abs((x * np.roll(y, -1) - np.roll(x, -1) * y).sum()) / 2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _overlap_area(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
     return pd.Series([_clip(*p) for p in zip(ax, ay, bx, by)], dtype=float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _hull_area(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series([_area_centroid(np.asarray(a), np.asarray(b))[0] if len(a) > 2 else 0.0 for a, b in zip(x, y)], dtype=float)
 

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.functions.columns import safe_ratio
@@ -16,7 +17,7 @@ from tessera.operators.tiles import KEY, tile_points, tiles_in_reach
 from tessera.runtime import cut, number_rows
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def upper_tail(z: pd.Series) -> pd.Series:
     """Probability that a standard normal value exceeds ``z``."""
     return z.map(lambda v: None if v is None or v != v else 0.5 * math.erfc(v / math.sqrt(2.0)))
@@ -279,7 +280,7 @@ def gene_pair_counts(t: DataFrame, radius: float = 4.16, mode: str = "radius") -
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def hypergeometric_tail(k: pd.Series, total: pd.Series, marked: pd.Series, drawn: pd.Series) -> pd.Series:
     """P(X >= k) for ``drawn`` out of ``total`` with ``marked`` hits; normal beyond 10,000 terms."""
     out = []

@@ -18,13 +18,13 @@ RUN_PARAMETERS = (
 )
 
 
-def scan_reports(spark: SparkSession, root: str) -> DataFrame:
+def scan_reports(spark: SparkSession, root: str, pattern: str = "*_report.json") -> DataFrame:
     """First report of each run directory: ``run_name, path, report``.
 
     Run directories lie one or two levels below ``root``.  ``report`` is a
     variant; files that are no JSON are left out.
     """
-    files = spark.read.text(root, wholetext=True, pathGlobFilter="*_report.json", recursiveFileLookup=True).select(
+    files = spark.read.text(root, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value")
     )
     base = root.rstrip("/").split("://")[-1].removeprefix("file:")
