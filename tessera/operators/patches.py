@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tessera.operators.graph import components
 from tessera.operators.transcripts import fov_cells, provided_cells
+from tessera.runtime import cut
 from tessera.schema import need_column
 
 
@@ -230,11 +231,13 @@ def overlapping_cells(outlines: DataFrame, threshold: float = 0.5) -> DataFrame:
     on a grid sized by the outlines; a pair counts only in the grid square that
     holds the lower corner of the common box.
     """
-    boxes = outlines.filter(F.size("hull_x") > 2).select(
-        "id", "patch_col", "patch_row", "hull_x", "hull_y",
-        F.array_min("hull_x").alias("x1"), F.array_max("hull_x").alias("x2"),
-        F.array_min("hull_y").alias("y1"), F.array_max("hull_y").alias("y2"),
-        _hull_area("hull_x", "hull_y").alias("area"),
+    boxes = cut(
+        outlines.filter(F.size("hull_x") > 2).select(
+            "id", "patch_col", "patch_row", "hull_x", "hull_y",
+            F.array_min("hull_x").alias("x1"), F.array_max("hull_x").alias("x2"),
+            F.array_min("hull_y").alias("y1"), F.array_max("hull_y").alias("y2"),
+            _hull_area("hull_x", "hull_y").alias("area"),
+        )
     )
     side = boxes.agg(F.max(F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))).first()[0] or 1.0
     s = F.lit(float(side))
@@ -265,10 +268,15 @@ def resolve_patch_cells(segmented: DataFrame, threshold: float = 0.5) -> tuple[D
     ``segmented`` comes from :func:`patched_segmentation` with ``keep_patch``.
     Returns the mapping ``cell_id, resolved_id`` and the merged outlines.
     """
-    outlines = convex_hulls(segmented, ["cell_id", "patch_col", "patch_row"]).withColumnRenamed("cell_id", "id")
+    outlines = cut(convex_hulls(segmented, ["cell_id", "patch_col", "patch_row"]).withColumnRenamed("cell_id", "id"))
     pairs = overlapping_cells(outlines, threshold)
-    mapping = components(pairs, outlines.select("id")).select(
-        F.col("id").alias("cell_id"), F.col("component").alias("resolved_id")
+    mapping = cut(
+        components(pairs, outlines.select("id")).select(F.col("id").alias("cell_id"), F.col("component").alias("resolved_id"))
     )
-    merged = convex_hulls(segmented.join(mapping, "cell_id"), ["resolved_id"])
-    return mapping, merged
+    # The hull of a merged cell is the hull of its parts' hulls; points are not read again.
+    corners = outlines.join(mapping, F.col("id") == F.col("cell_id")).select(
+        "resolved_id", "n_points", F.explode(F.arrays_zip("hull_x", "hull_y")).alias("p")
+    )
+    hulls = convex_hulls(corners.select("resolved_id", F.col("p.hull_x").alias("x"), F.col("p.hull_y").alias("y")), ["resolved_id"])
+    sizes = outlines.join(mapping, F.col("id") == F.col("cell_id")).groupBy("resolved_id").agg(F.sum("n_points").alias("n_points"))
+    return mapping, hulls.drop("n_points").join(sizes, "resolved_id")
