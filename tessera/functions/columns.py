@@ -40,10 +40,10 @@ def short_number(value: Column, billions: bool = True) -> Column:
     v = value.cast("double")
     text = F.when(value.isNull(), F.lit("—"))
     if billions:
-        text = text.when(v >= 1e9, F.concat(F.format_number(v / 1e9, "0.0"), F.lit("B")))
+        text = text.when(v >= 1e9, F.format_string("%.1fB", v / 1e9))
     return (
-        text.when(v >= 1e6, F.concat(F.format_number(v / 1e6, "0.0"), F.lit("M")))
-        .when(v >= 1e3, F.concat(F.format_number(v / 1e3, "0.0"), F.lit("K")))
+        text.when(v >= 1e6, F.format_string("%.1fM", v / 1e6))
+        .when(v >= 1e3, F.format_string("%.1fK", v / 1e3))
         .otherwise(value.cast("string"))
     )
 

@@ -113,12 +113,12 @@ def _area_centroid(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     )
 
 
-def convex_hulls(df: DataFrame, keys: list[str], x: str = "x", y: str = "y", salts: int = 64) -> DataFrame:
+def convex_hulls(df: DataFrame, keys: list[str], x: str = "x", y: str = "y", salts: int = 256) -> DataFrame:
     """Convex hull of each group: ``n_points, hull_x, hull_y`` (counter-clockwise).
 
     Hulls are combined like partial aggregates: per Arrow batch before the
-    shuffle, then per salted part of a group, then per group, so that a very
-    large group never meets as raw points.
+    shuffle, then per salted part of a group that has many of them, then per
+    group, so that a very large group never meets as raw points.
     """
     kinds = dict(df.dtypes)
     shape = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n_points bigint, hull_x array<double>, hull_y array<double>"
@@ -142,10 +142,14 @@ def convex_hulls(df: DataFrame, keys: list[str], x: str = "x", y: str = "y", sal
     points = df.select(*keys, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")).filter(
         "__x is not null and __y is not null"
     ).dropna(subset=keys)
-    partial = points.mapInPandas(per_batch, shape)
-    salted = partial.withColumn("__salt", F.pmod(F.xxhash64("hull_x", "hull_y"), F.lit(salts)))
-    parts = salted.groupBy(*keys, "__salt").applyInPandas(per_group, shape)
-    return parts.groupBy(*keys).applyInPandas(per_group, shape)
+    partial = cut(points.mapInPandas(per_batch, shape))
+    many = partial.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > salts).select(*keys)
+    if not many.isEmpty():
+        salted = partial.join(many, keys, "left_semi").withColumn("__salt", F.pmod(F.xxhash64("hull_x", "hull_y"), F.lit(salts)))
+        partial = partial.join(many, keys, "left_anti").unionByName(
+            salted.groupBy(*keys, "__salt").applyInPandas(per_group, shape)
+        )
+    return partial.groupBy(*keys).applyInPandas(per_group, shape)
 
 
 def cell_boundaries(df: DataFrame, cell: str = "cell_id") -> DataFrame:

@@ -66,7 +66,10 @@ def stats_by_backend(reports: DataFrame) -> DataFrame:
     """Layer evaluation and step summary of each ``<step>_<backend>`` run, as JSON text."""
     name = F.substring_index("run_name", "/", -1)
     tagged = reports.withColumns({"step": run_step(name), "backend": run_backend(name)}).filter("step <> ''")
-    part = lambda section: F.get_json_object(F.to_json("report"), F.concat(F.lit(f"$.{section}."), F.col("step")))
+
+    def part(section: str):
+        return F.call_function("get_json_object", F.to_json("report"), F.concat(F.lit(f"$.{section}."), F.col("step")))
+
     return tagged.select("step", "backend", part("layer_evaluation").alias("layer_evaluation"), part("step_summary").alias("step_summary"))
 
 
