@@ -39,15 +39,16 @@ def communities_for_count(graph: DataFrame, cells: DataFrame, target: int, id: s
                           lowest: float = 0.1, highest: float = 3.0, step: float = 0.01) -> tuple[DataFrame, float]:
     """Communities at a resolution that gives ``target`` of them, and that resolution.
 
-    Bisects the resolutions lowest, lowest + step, ...; if none gives the
-    exact number, the closest one seen is used.
+    Bisects the resolutions lowest, lowest + step, ... from 1 on; if none
+    gives the exact number, the closest one seen is used.
     """
     low, high = 0, round((highest - lowest) / step)
+    start = round((1.0 - lowest) / step)
     best = None
     weighted = cut(graph.select("src", "dst", F.lit(1.0).alias("w")))
     vertices = cells.select(F.col(id).alias("id"))
     while low <= high:
-        middle = (low + high) // 2
+        middle = start if best is None and low <= start <= high else (low + high) // 2
         resolution = round(lowest + middle * step, 10)
         found = cut(communities(weighted, vertices, resolution))
         n = found.select("label").distinct().count()
@@ -318,7 +319,7 @@ def phenograph_domains(t: DataFrame, k: int = 30, min_cluster_size: int = 10) ->
 
 def _communities_per_cell(inside: DataFrame, edges: DataFrame, resolution: float, least: int, smallest: int = 0) -> DataFrame:
     vertices = inside.select(F.col("row_id").alias("id"), "cell_id")
-    found = communities(edges, vertices, resolution, levels=2, rounds=4, group="cell_id").join(vertices, "id")
+    found = communities(edges, vertices, resolution, group="cell_id").join(vertices, "id")
     if smallest:
         sizes = found.groupBy("cell_id", "label").agg(F.count("*").alias("__m"))
         found = found.join(sizes, ["cell_id", "label"])

@@ -44,7 +44,7 @@ def variable_genes(values: DataFrame, n_top: int = 2000) -> DataFrame:
     be scored all are.  The gene table is as long as the panel.
     """
     m = gene_moments(values).withColumn("m", F.when(F.col("mean") == 0, F.lit(1e-12)).otherwise(F.col("mean")))
-    m = m.withColumn("dispersion", F.col("variance") / F.col("m"))
+    m = cut(m.withColumn("dispersion", F.col("variance") / F.col("m")))
     steps = [round(0.10 + 0.05 * i, 2) for i in range(19)]
     edges = m.agg(F.percentile("m", F.array(*[F.lit(s) for s in steps])).alias("edges"))
     binned = m.join(F.broadcast(edges), F.lit(True)).withColumn(
@@ -56,7 +56,7 @@ def variable_genes(values: DataFrame, n_top: int = 2000) -> DataFrame:
     scored = deviating.join(mads, "bin").withColumn(
         "score", F.when(F.col("mad") > 0, (F.col("dispersion") - F.col("med")) / F.col("mad"))
     )
-    ranked = scored.select("gene", "mean", "dispersion", "score")
+    ranked = cut(scored.select("gene", "mean", "dispersion", "score"))
     n_scored = ranked.agg(F.count("score")).first()[0]
     if n_scored == 0:
         return ranked
@@ -131,6 +131,7 @@ def scaled_vectors(values: DataFrame, genes: DataFrame, cells: DataFrame, clip:
 
 def principal_components(vectors: DataFrame, most: int = 50) -> DataFrame:
     """Scores ``cell_id, pcs``; the largest loading of each component is positive."""
+    vectors = cut(vectors.select("cell_id", "vector"))
     row = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
     k = min(max(2, min(most, row[0] - 1, row[1] - 1)), row[1])
     data = vectors.select("cell_id", array_to_vector("vector").alias("features"))

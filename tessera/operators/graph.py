@@ -84,29 +84,25 @@ def modularity(edges: DataFrame, labels: DataFrame, resolution: float = 1.0) ->
     return float((row[1] or 0.0) / row[0] - resolution * row[2] / (row[0] * row[0]))
 
 
-def _move(edges: DataFrame, nodes: DataFrame, resolution: float, rounds: int) -> DataFrame:
-    """Local moving: ``id, label`` with the best modularity seen.
+def _move(links: DataFrame, nodes: DataFrame, resolution: float, rounds: int) -> DataFrame:
+    """Local moving: ``nodes`` with a ``label``.
 
     Each round lets one hash half of the nodes move at the same time, each to
-    the neighbouring community of largest gain.  As simultaneous moves can also
-    lower the quality, the best labels are kept.  
+    the neighbouring community of largest gain (ties: smallest label).
     """
-    links = cut(
-        edges.filter("src <> dst").join(nodes.select(F.col("id").alias("src"), "k", "two_m"), "src")
-    )
-    state = nodes.select("id", "k", "two_m", "loop", F.col("id").alias("label"))
-    best, best_quality, quiet = state, None, 0
-    for step in range(rounds + 1):
+    # The round number travels as a column, so every round has the same plan and compiled code.
+    state = nodes.withColumns({"label": F.col("id"), "turn": F.lit(0)})
+    for _ in range(rounds):
         tot = state.groupBy("label").agg(F.sum("k").alias("tot"))
         placed = state.join(tot, "label")
         near = links.join(placed.select(F.col("id").alias("dst"), "label", "tot"), "dst").select(
             F.col("src").alias("id"), "label", F.col("w").alias("to"), "tot", "k", "two_m",
-            F.lit(None).cast("double").alias("loop"),
+            F.lit(None).cast("double").alias("loop"), F.lit(None).cast("int").alias("turn"),
         )
-        own = placed.select("id", "label", F.lit(0.0).alias("to"), "tot", "k", "two_m", "loop")
+        own = placed.select("id", "label", F.lit(0.0).alias("to"), "tot", "k", "two_m", "loop", "turn")
         options = near.unionByName(own).groupBy("id", "label").agg(
             F.sum("to").alias("to"), F.max("tot").alias("tot"), F.max("k").alias("k"),
-            F.max("two_m").alias("two_m"), F.max("loop").alias("loop"),
+            F.max("two_m").alias("two_m"), F.max("loop").alias("loop"), F.max("turn").alias("turn"),
         )
         here = F.col("loop").isNotNull()
         rest = F.col("tot") - F.when(here, F.col("k")).otherwise(F.lit(0.0))
@@ -115,36 +111,45 @@ def _move(edges: DataFrame, nodes: DataFrame, resolution: float, rounds: int) ->
             F.max_by("label", F.struct("gain", -F.col("label"))).alias("best"),
             F.max("gain").alias("best_gain"),
             F.max(F.when(here, F.col("gain"))).alias("stay"),
-            F.max(F.when(here, F.col("to"))).alias("inside"),
-            F.max(F.when(here, F.col("tot"))).alias("tot"),
             F.max(F.when(here, F.col("label"))).alias("now"),
             F.max("k").alias("k"),
             F.max("two_m").alias("two_m"),
             F.max("loop").alias("loop"),
+            F.max("turn").alias("turn"),
         )
-        active = F.pmod(F.xxhash64("id", F.lit(step // 2)), F.lit(2)) == step % 2
+        active = F.pmod(F.xxhash64("id", F.floor(F.col("turn") / 2)), F.lit(2)) == F.col("turn") % 2
         move = active & (F.col("best_gain") > F.col("stay") + 1e-12)
-        expected = F.lit(float(resolution)) * F.col("k") * F.col("tot") / F.col("two_m")
-        moved = cut(
+        state = cut(
             chosen.select(
-                "id", "k", "two_m", "loop", "now",
-                F.when(move, F.col("best")).otherwise(F.col("now")).alias("label"),
-                # Share of the quality of the labels this round started from.
-                ((F.col("inside") + F.col("loop") - expected) / F.col("two_m")).alias("part"),
+                "id", "k", "two_m", "loop", F.when(move, F.col("best")).otherwise(F.col("now")).alias("label"),
+                (F.col("turn") + 1).alias("turn"),
             )
         )
-        seen = moved.agg(F.count_if(F.col("label") != F.col("now")).alias("moves"), F.sum("part").alias("quality")).first()
-        if best_quality is None or seen["quality"] > best_quality + 1e-12:
-            best, best_quality = state, seen["quality"]
-        quiet = quiet + 1 if seen["moves"] == 0 else 0
-        if quiet == 2:
-            break
-        state = moved.select("id", "k", "two_m", "loop", "label")
-    return best.select("id", "label")
+    return state
+
+
+def _merge(edges: DataFrame, moved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The graph of the communities of ``moved``: its edges and its nodes."""
+    ends = moved.select(F.col("id").alias("src"), F.col("label").alias("a"))
+    edges = cut(
+        edges.join(ends, "src").join(ends.toDF("dst", "b"), "dst")
+        .groupBy(F.col("a").alias("src"), F.col("b").alias("dst"))
+        .agg(F.sum("w").alias("w"))
+    )
+    loops = edges.filter("src = dst").select(F.col("src").alias("id"), F.col("w").alias("loop"))
+    nodes = moved.groupBy(F.col("label").alias("id")).agg(F.sum("k").alias("k"), F.max("two_m").alias("two_m"))
+    return edges, cut(nodes.join(loops, "id", "left").withColumn("loop", F.coalesce("loop", F.lit(0.0))))
 
 
-def communities(edges: DataFrame, vertices: DataFrame, resolution: float = 1.0, levels: int = 3,
-                rounds: int = 5, group: str | None = None) -> DataFrame:
+def _quality(nodes: DataFrame, resolution: float) -> tuple[float, int]:
+    """Modularity with every node a community, and the number of nodes."""
+    share = F.col("k") / F.col("two_m")
+    row = nodes.agg(F.sum(F.col("loop") / F.col("two_m") - F.lit(float(resolution)) * share * share), F.count("*")).first()
+    return row[0] or 0.0, row[1]
+
+
+def communities(edges: DataFrame, vertices: DataFrame, resolution: float = 1.0, levels: int = 10,
+                rounds: int = 4, group: str | None = None) -> DataFrame:
     """Modularity communities ``id, label``; every community is connected.
 
     ``edges`` holds both directions of each undirected edge as ``src, dst, w``.
@@ -161,28 +166,20 @@ def communities(edges: DataFrame, vertices: DataFrame, resolution: float = 1.0,
     two_m = F.when(F.col("two_m") > 0, F.col("two_m")).otherwise(F.lit(1.0)).alias("two_m")
     nodes = cut(nodes.join(mass, "g").select("id", "k", two_m, F.lit(0.0).alias("loop")))
     members = nodes.select("id", F.col("id").alias("label"))
-    size = None
+    quality, size = _quality(nodes, resolution)
     for level in range(levels):
-        step = cut(_move(edges, nodes, resolution, rounds if level == 0 else max(3, rounds - 2)))
-        members = cut(members.join(step.select(F.col("id").alias("label"), F.col("label").alias("up")), "label").select("id", F.col("up").alias("label")))
-        if level + 1 == levels:
+        links = cut(edges.filter("src <> dst").join(nodes.select(F.col("id").alias("src"), "k", "two_m"), "src"))
+        moved = _move(links, nodes, resolution, rounds if level == 0 else 2)
+        edges, nodes = _merge(edges, moved)
+        before, (quality, now) = quality, _quality(nodes, resolution)
+        # Simultaneous moves can lower the quality; such a level is not kept.
+        if quality < before - 1e-12:
             break
-        ends = step.select(F.col("id").alias("src"), F.col("label").alias("a"))
-        edges = cut(
-            edges.join(ends, "src").join(ends.toDF("dst", "b"), "dst")
-            .groupBy(F.col("a").alias("src"), F.col("b").alias("dst"))
-            .agg(F.sum("w").alias("w"))
-        )
-        loops = edges.filter("src = dst").select(F.col("src").alias("id"), F.col("w").alias("loop"))
-        nodes = cut(
-            nodes.drop("loop").join(step, "id").groupBy(F.col("label").alias("id"))
-            .agg(F.sum("k").alias("k"), F.max("two_m").alias("two_m"))
-            .join(loops, "id", "left")
-            .withColumn("loop", F.coalesce("loop", F.lit(0.0)))
-        )
-        before, size = size, nodes.count()
-        if size == before or edges.filter("src <> dst").isEmpty():
+        up = moved.select(F.col("id").alias("label"), F.col("label").alias("up"))
+        members = cut(members.join(up, "label").select("id", F.col("up").alias("label")))
+        if now == size or quality < before + 1e-4:
             break
+        size = now
     ends = members.select(F.col("id").alias("src"), F.col("label").alias("a"))
     inside = first.join(ends, "src").join(ends.toDF("dst", "b"), "dst").filter("a = b")
     parts = components(inside, members)

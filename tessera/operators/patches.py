@@ -128,11 +128,23 @@ def convex_hulls(df: DataFrame, keys: list[str], x: str = "x", y: str = "y", sal
 
     def per_batch(batches):
         for pdf in batches:
-            rows = []
-            for key, part in pdf.groupby(keys, sort=False):
-                hx, hy = _hull(part["__x"].to_numpy(), part["__y"].to_numpy())
-                rows.append((*key, len(part), hx, hy))
-            yield pd.DataFrame(rows, columns=[*keys, "n_points", "hull_x", "hull_y"])
+            if pdf.empty:
+                continue
+            code = pdf.groupby(keys, sort=False).ngroup().to_numpy()
+            x, y = pdf["__x"].to_numpy(), pdf["__y"].to_numpy()
+            order = np.lexsort((y, x, code))
+            code, x, y = code[order], x[order], y[order]
+            # Only the lowest and highest point of each x of a group can be on its hull.
+            first = np.r_[True, (code[1:] != code[:-1]) | (x[1:] != x[:-1])]
+            keep = first | np.r_[first[1:], True]
+            starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+            counts = np.diff(np.r_[starts, len(code)])
+            head = pdf[keys].iloc[order[starts]].reset_index(drop=True)
+            code, x, y = code[keep], x[keep], y[keep]
+            cuts = np.flatnonzero(code[1:] != code[:-1]) + 1
+            # Short pieces are passed on as they are; the shuffle is no larger and the loop is saved.
+            pieces = [(hx, hy) if len(hx) <= 32 else _hull(hx, hy) for hx, hy in zip(np.split(x, cuts), np.split(y, cuts))]
+            yield head.assign(n_points=counts, hull_x=[p[0] for p in pieces], hull_y=[p[1] for p in pieces])
 
     def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
         hx, hy = merged(pdf)

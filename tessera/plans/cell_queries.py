@@ -12,7 +12,7 @@ from tessera.operators import graph as gr
 from tessera.operators import neighbours as nb
 from tessera.operators.transcripts import denoise, distribution
 from tessera.plans.inputs import Inputs, query, r6
-from tessera.runtime import new_path
+from tessera.runtime import cut, new_path
 from tessera.sources import sinks
 
 
@@ -223,7 +223,7 @@ _FINE = """WITH f AS (SELECT cell_id, gene || '/' || CAST(fov AS VARCHAR) AS gen
 def variable_genes(t: Inputs):
     """Most variable genes, on a finer panel of gene and field of view."""
     fine = t.segmented().withColumn("gene", F.concat_ws("/", "gene", "fov"))
-    v = ex.variable_genes(ex.lognorm(ce.cell_gene_counts(fine)), 40)
+    v = ex.variable_genes(cut(ex.lognorm(ce.cell_gene_counts(fine))), 40)
     return v.select("gene", r6("mean", 8).alias("mean"), r6("dispersion", 8).alias("dispersion"), r6("score", 5).alias("score"))
 
 
@@ -247,7 +247,7 @@ def scaled_vectors(t: Inputs):
 
 def _pcs(t: Inputs):
     def make():
-        values = ex.lognorm(t.counts())
+        values = cut(ex.lognorm(t.counts()))
         return ex.principal_components(ex.scaled_vectors(values, values.select("gene").distinct(), t.cells()))
 
     return t.kept("pcs", make)

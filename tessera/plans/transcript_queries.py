@@ -345,7 +345,11 @@ def transcript_sink(t: Inputs):
     return back.groupBy(F.col("fov").cast("bigint").alias("fov"), "cell_id").agg(F.count("*").alias("n"), F.sum("x").alias("sx"))
 
 
-@query("transcript_sample")
+@query(
+    "transcript_sample",
+    """SELECT x, y, gene, cell_id, CellComp FROM transcripts ORDER BY md5(CAST(row_id AS VARCHAR) || ':7'), row_id
+    LIMIT (SELECT least(count(*), greatest(1000, CAST(floor(count(*) * 0.01) AS BIGINT))) FROM transcripts)""",
+)
 def transcript_sample(t: Inputs):
     return sinks.transcript_sample(t.numbered(), 0.01, seed=7)
 

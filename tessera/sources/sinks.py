@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import polygon_wkt
+from tessera.runtime import number_rows
 
 
 def write_transcripts(t: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -29,13 +32,19 @@ def sample_size(n: int, ratio: float = 0.01) -> int:
 def transcript_sample(t: DataFrame, ratio: float = 0.01, seed: int = 0, row: str = "row_id") -> DataFrame:
     """Repeatable sample: the rows of smallest seeded hash.
 
-    Only hashes below a bound that surely covers the sample are sorted.
+    Only rows below a bound on the hash that all but surely covers the sample
+    are sorted; should it not, the whole table is.
     """
     n = t.count()
     size = sample_size(n, ratio)
     columns = [c for c in ("x", "y", "gene", "cell_id", "CellComp") if c in t.columns]
-    hashed = t.withColumn("__h", F.xxhash64(F.col(row), F.lit(seed)))
-    return hashed.orderBy("__h", row).limit(size).select(*columns)
+    hashed = t.select(*columns, row, F.md5(F.concat_ws(":", F.col(row), F.lit(seed)).cast("binary")).alias("__h"))
+    share = (size + 8 * math.sqrt(size) + 64) / max(n, 1)
+    low = F.conv(F.substring("__h", 1, 8), 16, 10).cast("bigint") <= F.lit(int(share * 2**32))
+    placed = number_rows(hashed.filter(low), F.col("__h"), F.col(row), name="__at")
+    if placed.count() < size:
+        placed = number_rows(hashed, F.col("__h"), F.col(row), name="__at")
+    return placed.filter(F.col("__at") <= size).select(*columns)
 
 
 def embedding_export(df: DataFrame, vector: str, id: str = "cell_id", dims: int = 3) -> DataFrame:
