@@ -89,8 +89,9 @@ def catalogue_mixed_sort(t: Inputs):
 @query(
     "catalogue_page",
     _W
-    + """SELECT id, name, position, CAST((SELECT greatest(1, ceil(count(*) / 20.0)) FROM cat) AS BIGINT) AS n_pages
-    FROM (SELECT id, name, row_number() OVER (ORDER BY name DESC, id) AS position FROM cat) WHERE position BETWEEN 41 AND 60""",
+    + """, n AS (SELECT CAST(greatest(1, ceil(count(*) / 20.0)) AS BIGINT) AS n_pages FROM cat)
+    SELECT id, name, position, n_pages FROM (SELECT id, name, row_number() OVER (ORDER BY name DESC, id) AS position FROM cat), n
+    WHERE position BETWEEN (least(3, n_pages) - 1) * 20 + 1 AND least(3, n_pages) * 20""",
 )
 def catalogue_page(t: Inputs):
     return cat.page(_catalogue(t).select("id", "name"), [F.col("name").desc(), F.col("id")], 3, 20)

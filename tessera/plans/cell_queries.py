@@ -289,7 +289,7 @@ _WELCH = """WITH g AS (SELECT cl.cluster, cl.n1, gene.gene FROM (SELECT cluster,
     o AS (SELECT gene, sum(s1) AS s, sum(q1) AS q FROM h GROUP BY 1),
     f AS (SELECT g.cluster, g.gene, n1, (SELECT count(*) FROM cells) - n1 AS n2, coalesce(s1, 0) AS s1, coalesce(q1, 0) AS q1, s - coalesce(s1, 0) AS s2, q - coalesce(q1, 0) AS q2
       FROM g JOIN o ON g.gene = o.gene LEFT JOIN h ON g.cluster = h.cluster AND g.gene = h.gene),
-    w AS (SELECT cluster, gene, (s1 / n1 - s2 / n2) / sqrt((q1 - s1 * s1 / n1) / (n1 - 1) / n1 + (q2 - s2 * s2 / n2) / (n2 - 1) / n2) AS score FROM f)"""
+    w AS (SELECT cluster, gene, (s1 / n1 - s2 / n2) / sqrt(greatest((q1 - s1 * s1 / n1) / greatest(n1 - 1, 1), 0) / n1 + greatest((q2 - s2 * s2 / n2) / greatest(n2 - 1, 1), 0) / n2) AS score FROM f)"""
 
 
 @query("marker_scores", _WELCH + " SELECT cluster, gene, round(score, 5) AS score FROM w")
@@ -305,7 +305,7 @@ def top_marker_per_cluster(t: Inputs):
 
 @query(
     "annotation_rank_marker",
-    _WELCH + " SELECT c.cell_id, c.cluster, 'CT_' || b.gene AS cell_type FROM cells c JOIN (SELECT cluster, arg_max(gene, score) AS gene FROM w GROUP BY cluster) b ON c.cluster = b.cluster",
+    _WELCH + " SELECT c.cell_id, c.cluster, CASE WHEN (SELECT min(n1) FROM f) < 2 THEN 'Cluster_' || c.cluster ELSE 'CT_' || b.gene END AS cell_type FROM cells c JOIN (SELECT cluster, arg_max(gene, score) AS gene FROM w GROUP BY cluster) b ON c.cluster = b.cluster",
 )
 def annotation_rank_marker(t: Inputs):
     return ex.annotate_markers(ex.lognorm(t.counts()), t.cells().select("cell_id", "cluster")).select("cell_id", "cluster", "cell_type")

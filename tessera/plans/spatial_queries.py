@@ -29,8 +29,8 @@ def domains_graph(t: Inputs):
 
 @query("domains_for_count")
 def domains_for_count(t: Inputs):
-    """Communities at a resolution that gives fifteen domains."""
-    found, resolution = dm.communities_for_count(t.graph(), t.cells(), 15, id="cell_no", step=0.5)
+    """Communities at a resolution that gives seventeen domains."""
+    found, resolution = dm.communities_for_count(t.graph(), t.cells(), 17, id="cell_no", step=0.5)
     return found.withColumn("resolution", F.lit(resolution))
 
 
