@@ -177,7 +177,7 @@ def communities(edges: DataFrame, vertices: DataFrame, resolution: float = 1.0,
             break
         up = moved.select(F.col("id").alias("label"), F.col("label").alias("up"))
         members = cut(members.join(up, "label").select("id", F.col("up").alias("label")))
-        if now == size or quality < before + 1e-4:
+        if now == size or quality - before < 1e-3 * abs(quality):
             break
         size = now
     ends = members.select(F.col("id").alias("src"), F.col("label").alias("a"))
