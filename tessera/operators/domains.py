@@ -183,9 +183,11 @@ def dbscan(t: DataFrame, eps: float = 20.0, min_samples: int = 10) -> DataFrame:
     return _with_small_cells(t.filter("cell_id is not null"), labels, min_samples)
 
 
-def _hierarchy(x: np.ndarray, y: np.ndarray, core: np.ndarray, least: int) -> np.ndarray:
-    """HDBSCAN labels of one cell from coordinates and core distances (Campello et al., 2013)."""
+def _hierarchy(x: np.ndarray, y: np.ndarray, core: np.ndarray, weight: np.ndarray, least: int) -> np.ndarray:
+    """HDBSCAN labels of one cell's locations from their core distances and point counts (Campello et al., 2013)."""
     n = len(x)
+    if n == 1:
+        return np.full(1, -1)
     # Minimum spanning tree of the mutual reachability distance.
     best, link = np.full(n, np.inf), np.zeros(n, int)
     done = np.zeros(n, bool)
@@ -208,7 +210,7 @@ def _hierarchy(x: np.ndarray, y: np.ndarray, core: np.ndarray, least: int) -> np
             i = root[i]
         return i
 
-    size = [1] * n + [0] * (n - 1)
+    size = weight.tolist() + [0] * (n - 1)
     child, height = {}, {}
     for node, (d, a, b) in enumerate(tree, start=n):
         a, b = find(a), find(b)
@@ -230,7 +232,13 @@ def _hierarchy(x: np.ndarray, y: np.ndarray, core: np.ndarray, least: int) -> np
     stack, next_id = [(2 * n - 2, 0)], 1
     while stack:
         node, cluster = stack.pop()
-        level = 1.0 / height[node] if height[node] > 0 else np.inf
+        apart = core[node] if node < n else height[node]
+        level = 1.0 / apart if apart > 0 else np.inf
+        if node < n:
+            # A location with enough points to be a cluster: they part where they stop being dense.
+            fallen[cluster].append(node)
+            stability[cluster] += (level - birth[cluster] if np.isfinite(level) else 1e300) * size[node]
+            continue
         a, b = child[node]
         big = [c for c in (a, b) if size[c] >= least]
         gone = level - birth[cluster] if np.isfinite(level) else 1e300
@@ -245,7 +253,7 @@ def _hierarchy(x: np.ndarray, y: np.ndarray, core: np.ndarray, least: int) -> np
             else:
                 points = leaves(c)
                 fallen[cluster].extend(points)
-                stability[cluster] += gone * len(points)
+                stability[cluster] += gone * size[c]
     # Excess of mass: a cluster wins over its descendants if it is more stable; the root never does.
     children = {c: [d for d in parent if parent[d] == c] for c in birth}
     chosen = {}
@@ -276,31 +284,35 @@ def _hierarchy(x: np.ndarray, y: np.ndarray, core: np.ndarray, least: int) -> np
 def hdbscan(t: DataFrame, min_cluster_size: int = 30, min_samples: int = 5, largest: int = 50000) -> DataFrame:
     """Hierarchical density clusters of each cell's transcripts.
 
-    Core distances come from the distributed neighbour search.  The hierarchy
-    of one cell is built in one task, so cells above ``largest`` transcripts
-    are refused rather than cut short.
+    Core distances come from the distributed neighbour search.  Points at one
+    place are one weighted location, and the hierarchy of a cell's locations is
+    built in one task, so cells of more than ``largest`` distinct locations are
+    refused rather than cut short.
     """
-    inside = t.filter("cell_id is not null")
-    biggest = _cell_sizes(inside).agg(F.max("__size")).first()[0] or 0
-    if biggest > largest:
-        raise ValueError(f"a cell has {biggest} transcripts; hdbscan takes up to {largest} per cell, dbscan any number")
+    inside = t.filter("cell_id is not null and x is not null and y is not null")
     points = inside.select(F.col("cell_id").alias("group"), F.col("row_id").alias("id"), "x", "y")
-    places = location_knn(points, min_samples + 1)
+    at = ["group", "x", "y"]
+    sizes = points.groupBy(*at).agg(F.count("*").alias("weight"), F.min("id").alias("first"))
     core = F.sqrt(F.element_at("near", F.size("near"))["d2"])
-    data = points.join(places.select("group", "x", "y", core.alias("core")), ["group", "x", "y"])
+    data = cut(location_knn(points, min_samples + 1).select(*at, core.alias("core")).join(sizes, at))
+    biggest = data.groupBy("group").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if biggest > largest:
+        raise ValueError(f"a cell has {biggest} distinct locations; hdbscan takes up to {largest} per cell, dbscan any number")
 
     def per_cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        if len(pdf) < max(min_cluster_size, 2):
+        pdf = pdf.sort_values("first")
+        if pdf["weight"].sum() < max(min_cluster_size, 2):
             labels = np.zeros(len(pdf), int)
         else:
-            labels = _hierarchy(*[pdf[c].to_numpy() for c in ("x", "y", "core")], min_cluster_size)
+            labels = _hierarchy(*[pdf[c].to_numpy() for c in ("x", "y", "core", "weight")], min_cluster_size)
         # Number clusters by their first row.
         order = {c: i for i, c in enumerate(dict.fromkeys(c for c in labels.tolist() if c >= 0))}
-        return pd.DataFrame({"row_id": pdf["id"], "subcellular_domain": [str(order[c]) if c >= 0 else "noise" for c in labels.tolist()]})
+        return pdf[at].assign(subcellular_domain=[str(order[c]) if c >= 0 else "noise" for c in labels.tolist()])
 
-    labels = data.groupBy("group").applyInPandas(per_cell, "row_id bigint, subcellular_domain string")
-    return inside.join(labels, "row_id")
+    kind = dict(data.dtypes)["group"]
+    labels = data.groupBy("group").applyInPandas(per_cell, f"`group` {kind}, x double, y double, subcellular_domain string")
+    named = points.join(labels, at).select(F.col("id").alias("row_id"), "subcellular_domain")
+    return inside.join(named, "row_id")
 
 
 def graph_domains(t: DataFrame, n_neighbors: int = 25, resolution: float = 0.5) -> DataFrame:

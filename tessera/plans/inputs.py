@@ -63,7 +63,7 @@ class Inputs:
         return df.select(
             *extra,
             ((F.col("l_suppkey") % 10) * 100 + F.col("l_quantity")).cast("double").alias("x"),
-            (F.floor(F.col("l_suppkey") / 10) * 100 + (F.col("l_partkey") * 37) % 50).cast("double").alias("y"),
+            (F.expr("l_suppkey div 10") * 100 + (F.col("l_partkey") * 37) % 50).cast("double").alias("y"),
             F.col("p_brand").alias("gene"),
             F.when(F.col("l_linenumber") != 7, F.col("l_suppkey").cast("string")).alias("cell_id"),
             F.col("l_linenumber").cast("bigint").alias("fov"),

@@ -53,6 +53,23 @@ def test_hdbscan_finds_two_blobs(spark):
     assert (got.loc[200:] == "0").all()
 
 
+def test_weighted_locations_give_the_labels_of_their_points():
+    rng = np.random.default_rng(11)
+    base = np.concatenate([rng.normal(c, 0.5, (50, 2)) for c in ((0, 0), (6, 0), (6, 5))] + [rng.uniform(-4, 10, (20, 2))])
+    weight = rng.integers(1, 4, len(base))
+    full = np.repeat(base, weight, axis=0)
+    d = np.sort(np.hypot(full[:, None, 0] - full[None, :, 0], full[:, None, 1] - full[None, :, 1]), axis=1)[:, 5]
+    first = np.r_[0, np.cumsum(weight)[:-1]]
+
+    def groups(labels):
+        return {frozenset(np.flatnonzero(labels == c).tolist()) for c in set(labels.tolist()) - {-1}}
+
+    points = dm._hierarchy(full[:, 0], full[:, 1], d, np.ones(len(full), int), 20)
+    places = dm._hierarchy(base[:, 0], base[:, 1], d[first], weight, 20)
+    assert len(groups(points)) == 3
+    assert groups(points) == groups(np.repeat(places, weight))
+
+
 def test_hdbscan_refuses_what_it_cannot_hold(spark):
     df = spark.createDataFrame([(i, "a", float(i), 0.0) for i in range(20)], "row_id bigint, cell_id string, x double, y double")
     with pytest.raises(ValueError):
