@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.functions.columns import safe_ratio
-from tessera.operators.neighbours import pairs_within
 from tessera.operators.tiles import KEY, tile_points, tiles_in_reach
 from tessera.runtime import cut, number_rows
 
@@ -158,21 +157,26 @@ def neighbourhood_enrichment(graph: DataFrame, labels: DataFrame, id: str = "cel
     return joined.withColumn("z_score", z).withColumn("pvalue", F.least(F.lit(1.0), upper_tail(F.abs("z_score")) * 2))
 
 
-def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster", limit: int = 1024) -> DataFrame:
+def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster", limit: int = 1024,
+                   group: str | None = None) -> DataFrame:
     """Ordered pairs of distinct points per label pair and distance interval.
 
-    Interval ``i`` is ``(edges[i], edges[i + 1]]``.  Points are tiled; tiles in
-    reach of each other are compared inside tasks of bounded size, which return
-    counts, never pairs.
+    Interval ``i`` is ``(edges[i], edges[i + 1]]``; with ``group`` only pairs
+    inside a group count.  Points of one label at one place are merged and
+    weighted.  Places are tiled; tiles in reach of each other are compared
+    inside tasks of bounded size, which return counts, never pairs.
     """
-    base = points.select(F.lit(0).alias("group"), "x", "y", F.col(label).cast("string").alias("l"))
-    tiling = tile_points(cut(base), limit)
+    base = points.select(
+        (F.col(group) if group else F.lit(0)).alias("group"), F.col("x").cast("double").alias("x"),
+        F.col("y").cast("double").alias("y"), F.col(label).cast("string").alias("l"),
+    ).dropna(subset=["group", "x", "y"])
+    tiling = tile_points(cut(base.groupBy("group", "x", "y", "l").agg(F.count("*").alias("w"))), limit)
     own = ["own_depth", "own_ix", "own_iy", "own_part"]
-    # A tile of many copies of one location is split into parts as well.
+    # A tile of very many labels at one place is split into parts as well.
     sizes = tiling.points.groupBy(*KEY).agg(F.ceil(F.count("*") / F.lit(2 * limit)).cast("int").alias("parts"))
     placed = cut(
         tiling.points.join(sizes, KEY).withColumn("part", F.pmod(F.monotonically_increasing_id(), F.col("parts")).cast("int"))
-        .select(*KEY, "part", "x", "y", "l")
+        .select(*KEY, "part", "x", "y", "l", "w")
     )
     blocks = placed.groupBy(*KEY, "part").agg(
         ((F.min("x") + F.max("x")) / 2).alias("x"), ((F.min("y") + F.max("y")) / 2).alias("y"),
@@ -181,10 +185,11 @@ def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster"
     asking = blocks.select(
         "group", "x", "y", "reach", *[F.col(c).alias(f"own_{c}") for c in ("depth", "ix", "iy", "part")]
     )
-    met = tiles_in_reach(asking, tiling).join(blocks.select(*KEY, "part"), KEY).select(*own, *KEY[1:], "part")
-    left = met.join(placed.select(*[F.col(c).alias(f"own_{c}") for c in ("depth", "ix", "iy", "part")], "x", "y", "l"), own)
-    right = met.join(placed.drop("group"), [*KEY[1:], "part"])
-    pair = [*own, *KEY[1:], "part"]
+    pair = ["group", *own, *KEY[1:], "part"]
+    met = tiles_in_reach(asking, tiling).join(blocks.select(*KEY, "part"), KEY).select(*pair)
+    mine = placed.select("group", *[F.col(c).alias(f"own_{c}") for c in ("depth", "ix", "iy", "part")], "x", "y", "l", "w")
+    left = met.join(mine, ["group", *own])
+    right = met.join(placed, [*KEY, "part"])
     bounds = np.array(edges, dtype=float)
 
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -197,17 +202,20 @@ def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster"
         k = len(bounds) - 1
         total = np.zeros(len(na) * len(nb) * k, dtype=np.int64)
         ax, ay, bx, by = a["x"].to_numpy(), a["y"].to_numpy(), b["x"].to_numpy(), b["y"].to_numpy()
+        wa, wb = a["w"].to_numpy().astype(float), b["w"].to_numpy().astype(float)
         for s in range(0, len(ax), 256):
             dx, dy = ax[s : s + 256, None] - bx[None, :], ay[s : s + 256, None] - by[None, :]
             at = np.searchsorted(bounds, np.sqrt(dx * dx + dy * dy), side="left") - 1
             cell = (la[s : s + 256, None] * len(nb) + lb[None, :]) * k + at
-            total += np.bincount(cell[(at >= 0) & (at < k)], minlength=len(total))
+            hit = (at >= 0) & (at < k)
+            both = wa[s : s + 256, None] * wb[None, :]
+            total += np.bincount(cell[hit], both[hit], minlength=len(total)).astype(np.int64)
         if same and bounds[0] < 0:
-            # A point is no pair with itself; its distance 0 falls into the first interval reaching below 0.
+            # A point is no pair with itself; its distance 0 falls into the interval that reaches below 0.
             zero = int(np.searchsorted(bounds, 0.0, side="left")) - 1
-            for i, c in enumerate(np.bincount(la, minlength=len(na))):
+            for i, c in enumerate(np.bincount(la, wa, minlength=len(na))):
                 j = list(nb).index(na[i])
-                total[(i * len(nb) + j) * k + zero] -= c
+                total[(i * len(nb) + j) * k + zero] -= int(c)
         hit = np.flatnonzero(total)
         return pd.DataFrame({"a": na[hit // k // len(nb)], "b": nb[hit // k % len(nb)], "interval": hit % k, "n": total[hit]})
 
@@ -266,18 +274,31 @@ def compartment_ratio(t: DataFrame) -> DataFrame:
 def gene_pair_counts(t: DataFrame, radius: float = 4.16, mode: str = "radius") -> DataFrame:
     """Ordered pairs of different transcripts of one cell within reach, per gene pair.
 
-    Copies of a gene at one place are counted before the join and multiplied after it.
+    ``radius`` counts in tiles of bounded size.  ``nine_grid`` takes all of the
+    3 by 3 squares around: counts per square and gene are multiplied.
     """
-    merged = t.filter("cell_id is not null").groupBy("cell_id", "x", "y", "gene").agg(F.count("*").alias("c"))
-    pairs = pairs_within(merged, radius, keep=("gene", "c"), mode=mode)
-    alone = merged.groupBy("gene").agg(F.sum("c").alias("self"))
-    counted = pairs.groupBy("gene_a", "gene_b").agg(F.sum(F.col("c_a") * F.col("c_b")).alias("n"))
-    return (
-        counted.join(alone, F.col("gene_a") == F.col("gene"), "left")
-        .withColumn("n", F.when(F.col("gene_a") == F.col("gene_b"), F.col("n") - F.col("self")).otherwise(F.col("n")))
-        .filter("n > 0")
-        .select("gene_a", "gene_b", "n")
+    inside = t.filter("cell_id is not null and x is not null and y is not null and gene is not null")
+    if mode == "radius":
+        found = pair_histogram(inside, [-1.0, float(radius)], "gene", group="cell_id")
+        return found.filter("n > 0").select(F.col("a").alias("gene_a"), F.col("b").alias("gene_b"), "n")
+    if mode != "nine_grid":
+        raise ValueError(f"unknown mode '{mode}'")
+    side = F.lit(float(radius))
+    squares = inside.groupBy(
+        "cell_id", F.floor(F.col("x") / side).alias("sx"), F.floor(F.col("y") / side).alias("sy"), "gene"
+    ).agg(F.count("*").alias("c"))
+    around = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
+    other = (
+        squares.withColumn("i", F.explode(around)).withColumn("j", F.explode(around))
+        .select("cell_id", (F.col("sx") + F.col("i")).alias("sx"), (F.col("sy") + F.col("j")).alias("sy"),
+                F.col("gene").alias("gene_b"), F.col("c").alias("c_b"))
     )
+    counted = squares.withColumnsRenamed({"gene": "gene_a", "c": "c_a"}).join(other, ["cell_id", "sx", "sy"]).groupBy(
+        "gene_a", "gene_b"
+    ).agg(F.sum(F.col("c_a") * F.col("c_b")).alias("n"))
+    alone = inside.groupBy(F.col("gene").alias("gene_a")).agg(F.count("*").alias("self"))
+    n = F.when(F.col("gene_a") == F.col("gene_b"), F.col("n") - F.col("self")).otherwise(F.col("n"))
+    return counted.join(alone, "gene_a").select("gene_a", "gene_b", n.alias("n")).filter("n > 0")
 
 
 @F.pandas_udf(T.DoubleType())

@@ -314,11 +314,21 @@ def cell_boundaries(t: Inputs):
     )
 
 
-@query("boundary_export")
+@query(
+    "boundary_export",
+    _HULL
+    + """SELECT cell_id, round(sum(px * qy - qx * py) / 2, 6) AS area, (SELECT count(*) FROM seg s WHERE s.cell_id = ring.cell_id) AS n_transcripts,
+    count(*) + 1 AS n_ring_points, true AS closed FROM ring GROUP BY cell_id""",
+)
 def boundary_export(t: Inputs):
+    """Outlines written with their polygon text and read back; the text must be a closed ring."""
     path = new_path(t.spark, "boundaries.parquet")
     sinks.boundary_export(patches.cell_boundaries(t.transcripts())).write.parquet(path)
-    return t.spark.read.parquet(path).select("cell_id", r6("area").alias("area"), "n_transcripts", "geometry_wkt")
+    ring = F.split(F.regexp_extract("geometry_wkt", r"^POLYGON \(\((.*)\)\)$", 1), ", ")
+    return t.spark.read.parquet(path).select(
+        "cell_id", r6("area").alias("area"), "n_transcripts", F.size(ring).cast("bigint").alias("n_ring_points"),
+        (ring[0] == F.element_at(ring, -1)).alias("closed"),
+    )
 
 
 @query("overlapping_cells_resolved")
