@@ -205,11 +205,12 @@ def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster"
         wa, wb = a["w"].to_numpy().astype(float), b["w"].to_numpy().astype(float)
         for s in range(0, len(ax), 256):
             dx, dy = ax[s : s + 256, None] - bx[None, :], ay[s : s + 256, None] - by[None, :]
-            at = np.searchsorted(bounds, np.sqrt(dx * dx + dy * dy), side="left") - 1
-            cell = (la[s : s + 256, None] * len(nb) + lb[None, :]) * k + at
+            d2 = dx * dx + dy * dy
+            i, j = np.nonzero(d2 <= bounds[-1] * bounds[-1] * (1 + 1e-9))
+            at = np.searchsorted(bounds, np.sqrt(d2[i, j]), side="left") - 1
             hit = (at >= 0) & (at < k)
-            both = wa[s : s + 256, None] * wb[None, :]
-            total += np.bincount(cell[hit], both[hit], minlength=len(total)).astype(np.int64)
+            i, j, at = i[hit] + s, j[hit], at[hit]
+            total += np.bincount((la[i] * len(nb) + lb[j]) * k + at, wa[i] * wb[j], minlength=len(total)).astype(np.int64)
         if same and bounds[0] < 0:
             # A point is no pair with itself; its distance 0 falls into the interval that reaches below 0.
             zero = int(np.searchsorted(bounds, 0.0, side="left")) - 1
