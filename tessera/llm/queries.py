@@ -63,3 +63,11 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY own) AS keep_id, count(*) OVER (PA
        doc_id = min(doc_id) OVER (PARTITION BY own) AS kept, sha256(own) AS text_sha256
 FROM t
 """
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and the near-duplicate group of every document."""
+    from tessera.llm.simhash import simhash_groups
+
+    return simhash_groups(table(spark, sf_dir, "documents"))
