@@ -39,6 +39,26 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of documents before it."""
+    from tessera.llm.substring import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_substring_dedup"] = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS own FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+f AS (SELECT own, min(doc_id) AS least FROM g GROUP BY own),
+hit AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM g JOIN f USING (own) WHERE least < doc_id),
+k AS (SELECT doc_id, k, ws[k] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS k FROM w)),
+left_over AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS kept FROM k ANTI JOIN hit USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN left_over USING (doc_id)
+"""
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the written token files."""
