@@ -31,6 +31,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, by item."""
+    from tessera.llm.decontaminate import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashes of every document's SentencePiece ids and of what they decode to."""
