@@ -164,8 +164,7 @@ class Items:
     def distances(self, text: np.ndarray, ends: np.ndarray, item: int, places: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The least edit distance between an item and a passage near each place, and where the best passage ends.
 
-        A distance over the budget is only told to be so.
-        ``begins`` and ``ends`` bound each place's document.  Passages may
+        A distance over the budget is only told to be over it.  ``begins`` and ``ends`` bound each place's document.  Passages may
         begin and end up to the allowed edits before or after the item would.
         """
         word, budget = self.items[item], int(self.budgets[item])
