@@ -158,7 +158,7 @@ class Memo:
     def __call__(self, keys: list) -> list:
         """The result of each key; ``make`` gets the keys that are not known."""
         new, old = self.new, self.old
-        found = [new.get(k) for k in keys]
+        found = list(map(new.get, keys))
         missing = [i for i, x in enumerate(found) if x is None]
         unknown = []
         for i in missing:

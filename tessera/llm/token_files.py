@@ -28,6 +28,12 @@ SEGMENT = 1 << 19
 BLOCK = 512
 #: Pieces whose ids a worker keeps, twice.
 KEPT = 200_000
+#: Ends of pieces that are white space in Unicode (and U+180E, which was).
+BLANK = tuple(chr(c).encode() for c in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+#: Pieces that are encoded in a row.
+ROW = 2000
+#: Bytes of text of a step.
+STEP = 4 << 20
 
 LEVELS = "levels array<struct<chunks:binary,more:binary,ranks:binary>>"
 
@@ -71,6 +77,16 @@ def id_at(levels: list[dict], place: int) -> int:
     return found
 
 
+def token_sizes(tokenizer) -> np.ndarray:
+    """Bytes that each id of a byte-level vocabulary spells: a character for each, but for added tokens."""
+    added = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    held = tokenizer.get_vocab(with_added_tokens=True)
+    sizes = np.zeros(max(held.values()) + 1, np.int64)
+    for token, i in held.items():
+        sizes[i] = len(token.encode()) if token in added else len(token)
+    return sizes
+
+
 def encoder(path: str):
     """A function from Arrow texts to (ids of all texts, the n + 1 places where texts begin)."""
     tokenizer = json_tokenizer(path)
@@ -82,7 +98,30 @@ def encoder(path: str):
             found += [np.array(x.ids, np.uint32).tobytes() for x in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
         return found
 
-    kept = Memo(encode, KEPT)
+    if safe:
+        sizes_of = token_sizes(tokenizer)
+
+    def encode_pieces(texts: list[bytes]) -> list[bytes]:
+        """Like ``encode``, with many pieces in a row: what tokens spell tells where a piece ends."""
+        # What begins a text, or ends one with white space, would join what stands next to it in a row.
+        alone = np.array([t[0] not in b" \t\n\v\f\r" or t.endswith(BLANK) for t in texts])
+        found: list[bytes] = [b""] * len(texts)
+        for i, x in zip(np.flatnonzero(alone).tolist(), encode([t for t, own in zip(texts, alone) if own])):
+            found[i] = x
+        rest = np.flatnonzero(~alone).tolist()
+        for start in range(0, len(rest), ROW):
+            own = rest[start : start + ROW]
+            row = [texts[i] for i in own]
+            ids = np.array(tokenizer.encode_batch_fast([b"".join(row).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.searchsorted(np.cumsum(sizes_of[ids]), np.cumsum([len(t) for t in row])) + 1
+            held = ids.tobytes()
+            before = 0
+            for i, end in zip(own, (4 * ends).tolist()):
+                found[i] = held[before:end]
+                before = end
+        return found
+
+    kept = Memo(encode_pieces, KEPT)
 
     def run(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, places = flat(texts)
@@ -93,7 +132,7 @@ def encoder(path: str):
         coded = slices(data, starts, np.append(starts[1:], len(data))[: len(starts)]).dictionary_encode()
         each = kept(coded.dictionary.to_pylist())
         codes = coded.indices.to_numpy()
-        sizes = np.array([len(x) // 4 for x in each], np.int64)
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
         at = np.concatenate([[0], np.cumsum(sizes)])
         ends = np.concatenate([[0], np.cumsum(sizes[codes])])
         take = np.repeat(at[codes] - ends[:-1], sizes[codes]) + np.arange(ends[-1])
@@ -127,7 +166,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id",
             row = {"part": part, "seq": seq, "at": at, "n_tokens": held, "ids": names, "counts": counts, "levels": to_levels(np.concatenate(ids))}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
-        for batch in steps(batches, text):
+        for batch in steps(batches, text, STEP):
             schema = pa.schema(
                 [("part", pa.int32()), ("seq", pa.int32()), ("at", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(batch.schema.field(id).type)),
                  ("counts", pa.list_(pa.int64())), ("levels", pa.list_(pa.struct([(n, pa.binary()) for n in ("chunks", "more", "ranks")])))]
