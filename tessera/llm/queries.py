@@ -107,3 +107,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.simhash import simhash_groups
 
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and model log probabilities of every document."""
+    from tessera.llm.lm import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"))
