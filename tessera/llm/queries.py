@@ -85,6 +85,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    from tessera.llm.language import languages
+
+    return languages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of every document."""
