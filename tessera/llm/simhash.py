@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.batches import LOWER, flat, steps, words
+from tessera.llm.batches import LOWER, flat, steps, window_hashes, word_hashes, words
 from tessera.operators.graph import components
 from tessera.runtime import cut
 
@@ -74,25 +74,32 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
 
 
 class Ring:
-    """Parts of the fingerprint, budgets of chains, and the keys that chains make."""
+    """Parts of the fingerprint, budgets of chains, and the keys that chains of ``chain`` parts make."""
 
-    def __init__(self, radius: int, segments: int):
-        if not 0 <= radius < segments or 64 % segments:
-            raise ValueError("segments must divide 64 and be more than radius")
+    def __init__(self, radius: int, segments: int, chain: int = 2):
+        if not 0 <= radius < segments or 64 % segments or not 2 <= chain <= segments:
+            raise ValueError("segments must divide 64 and be more than radius, and a chain has 2 or more")
         self.radius, self.segments, self.width = radius, segments, 64 // segments
-        self.pieces = 2 * radius // segments + 1
-        cuts = [round(k * self.width / self.pieces) for k in range(self.pieces + 1)]
+        self.pieces = chain * radius // segments + 1
+        rest = (chain - 1) * self.width
+        cuts = [round(k * rest / self.pieces) for k in range(self.pieces + 1)]
         self.cuts = list(zip(cuts[:-1], cuts[1:]))
 
     def keys(self, fingerprint: Column) -> Column:
         """The keys of a fingerprint: one for each chain start and piece of the next part."""
-        part = lambda at, size: F.shiftrightunsigned(fingerprint, at % 64).bitwiseAND(F.lit((1 << size) - 1))
+        def part(at: int, size: int) -> Column:
+            """``size`` bits of the ring from ``at`` on."""
+            own = F.shiftrightunsigned(fingerprint, at % 64)
+            if at % 64 + size > 64:
+                own = own.bitwiseOR(F.shiftleft(fingerprint, 64 - at % 64))
+            return own.bitwiseAND(F.lit((1 << size) - 1))
+
         made = []
         for i in range(self.segments):
             for j, (a, b) in enumerate(self.cuts):
                 tag = i * self.pieces + j
                 own = F.shiftleft(F.lit(tag).cast("long"), 48) + F.shiftleft(part(i * self.width, self.width), 24)
-                made.append(own + part((i + 1) % self.segments * self.width + a, b - a))
+                made.append(own + part((i + 1) * self.width + a, b - a))
         return F.array(*made)
 
     def close(self, tag: int, x: np.uint64, others: np.ndarray) -> np.ndarray:
@@ -126,16 +133,28 @@ def _forest(ring: Ring, tag: int, group: np.ndarray) -> Iterator[tuple[int, int]
             rest = np.delete(rest, near)
 
 
-def links(distinct: DataFrame, radius: int = 3, segments: int = 4) -> DataFrame:
+def _nearest(ring: Ring, group: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Each row and its nearest other row of ``group`` within the radius."""
+    for i in range(0, len(group), 256):
+        some = group[i : i + 256]
+        apart = np.bitwise_count(some[:, None] ^ group[None])
+        apart[np.arange(len(some)), i + np.arange(len(some))] = 65
+        best = apart.argmin(1)
+        for j in np.flatnonzero(apart[np.arange(len(some)), best] <= ring.radius):
+            yield int(some[j]), int(group[best[j]])
+
+
+def links(distinct: DataFrame, radius: int = 3, segments: int = 4, chain: int = 2, nearest: bool = False) -> DataFrame:
     """``src, dst``: links that connect the distinct fingerprints of ``distinct (fingerprint)`` as all links do.
 
     Every pair within ``radius`` bits is linked or connected by others; a
     group of like fingerprints gives about one link for each row of it, not
-    one for each pair.  Keys of one row are dropped after a count that tasks
+    one for each pair; with ``nearest``, each row is also linked to its nearest
+    among the rows it meets.  Keys of one row are dropped after a count that tasks
     pre-aggregate; keys of more than ``TILE`` rows are dealt to tiles, so no
     task holds such a key.
     """
-    ring = Ring(radius, segments)
+    ring = Ring(radius, segments, chain)
     keyed = cut(distinct.select("fingerprint", F.explode(ring.keys(F.col("fingerprint"))).alias("key")))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     met = keyed.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int"))
@@ -147,7 +166,11 @@ def links(distinct: DataFrame, radius: int = 3, segments: int = 4) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(columns: list[np.ndarray], bounds: np.ndarray) -> pa.RecordBatch:
             key, _, _, prints = columns
-            pairs = [p for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()) for p in _forest(ring, int(key[i]), prints[i:j])]
+            pairs = []
+            for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                pairs += _forest(ring, int(key[i]), prints[i:j])
+                if nearest and j - i > 2:
+                    pairs += _nearest(ring, prints[i:j])
             both = np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["src", "dst"])
 
@@ -189,3 +212,54 @@ def simhash_groups(
     least = parted.groupBy("__part").agg(F.min("__least").alias("component_id"))
     named = parted.join(least, "__part").select("fingerprint", "component_id")
     return rows.join(named, "fingerprint").select(id, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def similar_groups(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 5, segments: int = 8, chain: int = 3,
+    words_each: int = 5, similarity: float = 0.8,
+) -> DataFrame:
+    """``id, component_id`` of each row: groups of texts that resemble each other as word shingles do.
+
+    Fingerprints within ``radius`` bits propose links, from each row of a
+    dense place to one that is near and to the nearest; a link holds if the
+    sets of shingles of ``words_each`` words have a Jaccard index of at least
+    ``similarity``.  Texts of one fingerprint are compared with the one of the
+    smallest id.  Groups are what such links connect.  A pair whose
+    fingerprints differ more is not found (see README for measured shares).
+
+    ``id`` is an integer; rows of one id are one document, rows without an id
+    stand alone.  Texts of fewer words have one shingle, empty ones none, and
+    two without shingles are alike.
+    """
+    rows = cut(fingerprints(docs, id, text, shingle).select(F.col(id).alias("__id"), "fingerprint").filter("__id is not null"))
+    distinct = cut(rows.groupBy("fingerprint").agg(F.min("__id").alias("__least")))
+    near = links(distinct.select("fingerprint"), radius, segments, chain, nearest=True)
+    left = distinct.select(F.col("fingerprint").alias("src"), F.col("__least").alias("a"))
+    right = distinct.select(F.col("fingerprint").alias("dst"), F.col("__least").alias("b"))
+    same = rows.join(distinct, "fingerprint").filter("__id > __least").select(F.col("__least").alias("a"), F.col("__id").alias("b"))
+    pairs = cut(near.join(left, "src").join(right, "dst").select("a", "b").union(same).filter("a <> b").distinct())
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            data, places = flat(batch.column("text"))
+            starts, ends, before = words(LOWER[data], places)
+            hashes = word_hashes(LOWER[data], starts, ends)
+            whole = window_hashes(hashes, words_each)
+            sets = [
+                np.unique(whole[i : j - words_each + 1]) if j - i >= words_each else window_hashes(hashes[i:j], j - i)[: j > i]
+                for i, j in zip(before[:-1].tolist(), before[1:].tolist())
+            ]
+            held = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), held], ["id", "own"])
+
+    asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    named = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    held = cut(named.join(asked, "id", "left_semi").mapInArrow(take, "id long, own array<long>").dropDuplicates(["id"]))
+    both = pairs.join(held.select(F.col("id").alias("a"), F.col("own").alias("x")), "a").join(held.select(F.col("id").alias("b"), F.col("own").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    union = F.size("x") + F.size("y") - shared
+    firm = cut(both.filter((union == 0) | (shared >= similarity * union)).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    linked = firm.select(F.col("src").alias("id")).union(firm.select("dst")).distinct()
+    parts = components(firm, linked).select(F.col("id").alias("__one"), F.col("component").alias("component_id"))
+    found = docs.select(F.col(id)).join(parts, F.col(id) == F.col("__one"), "left")
+    return found.select(id, F.coalesce("component_id", F.col(id)).alias("component_id"))
