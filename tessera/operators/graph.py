@@ -9,6 +9,12 @@ from tessera.functions.columns import safe_ratio
 from tessera.runtime import cut, number_rows
 
 
+#: Gain in quality below which a move is not made.
+TOLERANCE = 1e-12
+#: Wishes for each move that touches no other from which moving half of them at once is tried.
+CROWD = 8
+
+
 def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """Component of each vertex: ``id, component`` (its smallest id).
 
@@ -84,48 +90,75 @@ def modularity(edges: DataFrame, labels: DataFrame, resolution: float = 1.0) ->
     return float((row[1] or 0.0) / row[0] - resolution * row[2] / (row[0] * row[0]))
 
 
-def _move(links: DataFrame, nodes: DataFrame, resolution: float, rounds: int) -> DataFrame:
-    """Local moving: ``nodes`` with a ``label``.
+def _wishes(links: DataFrame, state: DataFrame, resolution: float) -> DataFrame:
+    """``id, now, best, gain``: nodes that gain by a move, the best one (ties: smallest label) and its gain in quality."""
+    tot = state.groupBy("label").agg(F.sum("k").alias("tot"))
+    placed = state.join(tot, "label")
+    near = links.join(placed.select(F.col("id").alias("dst"), "label", "tot"), "dst").select(
+        F.col("src").alias("id"), "label", F.col("w").alias("to"), "tot", "k", "two_m", F.lit(False).alias("own")
+    )
+    own = placed.select("id", "label", F.lit(0.0).alias("to"), "tot", "k", "two_m", F.lit(True).alias("own"))
+    options = near.unionByName(own).groupBy("id", "label").agg(
+        F.sum("to").alias("to"), F.max("tot").alias("tot"), F.max("k").alias("k"), F.max("two_m").alias("two_m"), F.max("own").alias("own")
+    )
+    rest = F.col("tot") - F.when(F.col("own"), F.col("k")).otherwise(F.lit(0.0))
+    gain = 2 * (F.col("to") - F.lit(float(resolution)) * F.col("k") * rest / F.col("two_m")) / F.col("two_m")
+    chosen = options.withColumn("gain", gain).groupBy("id").agg(
+        F.max_by("label", F.struct("gain", -F.col("label"))).alias("best"),
+        F.max("gain").alias("most"),
+        F.max(F.when(F.col("own"), F.col("gain"))).alias("stay"),
+        F.max(F.when(F.col("own"), F.col("label"))).alias("now"),
+    )
+    better = F.col("most") > F.col("stay") + TOLERANCE
+    return chosen.filter(better).select("id", "now", "best", (F.col("most") - F.col("stay")).alias("gain"))
+
+
+def _alone(wishes: DataFrame) -> DataFrame:
+    """The wishes that are the best of both communities they touch: their gains add up exactly."""
+    touched = wishes.select("*", F.explode(F.array("now", "best")).alias("label"))
+    # Ties go by a hash, so that not all of them wait for the smallest id.
+    first = touched.groupBy("label").agg(F.max(F.struct("gain", F.xxhash64("id"), "id")).getField("id").alias("holder"))
+    held = touched.join(first, "label").filter("holder = id")
+    return held.groupBy("id", "best", "gain").agg(F.count("*").alias("n")).filter("n = 2").select("id", "best", "gain")
+
+
+def _score(links: DataFrame, state: DataFrame, label: str, resolution: float) -> float:
+    """Quality of ``label`` but for the nodes' own loops, which no label changes."""
+    lab = state.select("id", F.col(label).alias("a"))
+    within = links.join(lab.select(F.col("id").alias("src"), "a"), "src").join(
+        lab.select(F.col("id").alias("dst"), F.col("a").alias("b")), "dst"
+    ).filter("a = b").agg(F.sum(F.col("w") / F.col("two_m")).alias("q"))
+    share = F.sum(F.col("k") / F.col("two_m"))
+    spread = state.groupBy(label).agg(share.alias("s")).agg((-F.lit(float(resolution)) * F.sum(F.col("s") * F.col("s"))).alias("q"))
+    return within.unionByName(spread).agg(F.sum("q")).first()[0] or 0.0
 
-    Each round lets one hash half of the nodes move at the same time, each to
-    the neighbouring community of largest gain (ties: smallest label).
+
+def _move(links: DataFrame, nodes: DataFrame, resolution: float) -> tuple[DataFrame, int]:
+    """Move nodes (with a ``label``) until none gains by a move alone; their state and the number of rounds.
+
+    In a round the moves are made that touch no community twice, so the
+    quality rises by the sum of their gains and the rounds end.  If many wish
+    to move to few communities, all moves of a hash half are tried as well,
+    and made if that raises the quality more.
     """
-    # The round number travels as a column, so every round has the same plan and compiled code.
-    state = nodes.withColumns({"label": F.col("id"), "turn": F.lit(0)})
-    for _ in range(rounds):
-        tot = state.groupBy("label").agg(F.sum("k").alias("tot"))
-        placed = state.join(tot, "label")
-        near = links.join(placed.select(F.col("id").alias("dst"), "label", "tot"), "dst").select(
-            F.col("src").alias("id"), "label", F.col("w").alias("to"), "tot", "k", "two_m",
-            F.lit(None).cast("double").alias("loop"), F.lit(None).cast("int").alias("turn"),
-        )
-        own = placed.select("id", "label", F.lit(0.0).alias("to"), "tot", "k", "two_m", "loop", "turn")
-        options = near.unionByName(own).groupBy("id", "label").agg(
-            F.sum("to").alias("to"), F.max("tot").alias("tot"), F.max("k").alias("k"),
-            F.max("two_m").alias("two_m"), F.max("loop").alias("loop"), F.max("turn").alias("turn"),
-        )
-        here = F.col("loop").isNotNull()
-        rest = F.col("tot") - F.when(here, F.col("k")).otherwise(F.lit(0.0))
-        gain = F.col("to") - F.lit(float(resolution)) * F.col("k") * rest / F.col("two_m")
-        chosen = options.withColumn("gain", gain).groupBy("id").agg(
-            F.max_by("label", F.struct("gain", -F.col("label"))).alias("best"),
-            F.max("gain").alias("best_gain"),
-            F.max(F.when(here, F.col("gain"))).alias("stay"),
-            F.max(F.when(here, F.col("label"))).alias("now"),
-            F.max("k").alias("k"),
-            F.max("two_m").alias("two_m"),
-            F.max("loop").alias("loop"),
-            F.max("turn").alias("turn"),
-        )
-        active = F.pmod(F.xxhash64("id", F.floor(F.col("turn") / 2)), F.lit(2)) == F.col("turn") % 2
-        move = active & (F.col("best_gain") > F.col("stay") + 1e-12)
-        state = cut(
-            chosen.select(
-                "id", "k", "two_m", "loop", F.when(move, F.col("best")).otherwise(F.col("now")).alias("label"),
-                (F.col("turn") + 1).alias("turn"),
-            )
-        )
-    return state
+    state, rounds = cut(nodes), 0
+    links = cut(links.join(state.select(F.col("id").alias("src"), "k", "two_m"), "src").select("src", "dst", "w", "k", "two_m"))
+    while True:
+        wishes = cut(_wishes(links, state, resolution))
+        alone = cut(_alone(wishes))
+        n = wishes.count()
+        if not n:
+            return state, rounds
+        made, sure = alone.agg(F.count("*"), F.sum("gain")).first()
+        rounds += 1
+        if n > CROWD * made:
+            half = wishes.filter(F.pmod(F.xxhash64("id", F.lit(rounds)), F.lit(2)) == 0).select("id", F.col("best").alias("half"))
+            tried = cut(state.join(half, "id", "left").withColumn("half", F.coalesce("half", "label")))
+            if _score(links, tried, "half", resolution) - _score(links, tried, "label", resolution) > sure:
+                state = cut(tried.select("id", "k", "two_m", "loop", F.col("half").alias("label")))
+                continue
+        moved = state.join(alone.select("id", "best"), "id", "left")
+        state = cut(moved.select("id", "k", "two_m", "loop", F.coalesce("best", "label").alias("label")))
 
 
 def _merge(edges: DataFrame, moved: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -141,49 +174,50 @@ def _merge(edges: DataFrame, moved: DataFrame) -> tuple[DataFrame, DataFrame]:
     return edges, cut(nodes.join(loops, "id", "left").withColumn("loop", F.coalesce("loop", F.lit(0.0))))
 
 
-def _quality(nodes: DataFrame, resolution: float) -> tuple[float, int]:
-    """Modularity with every node a community, and the number of nodes."""
-    share = F.col("k") / F.col("two_m")
-    row = nodes.agg(F.sum(F.col("loop") / F.col("two_m") - F.lit(float(resolution)) * share * share), F.count("*")).first()
-    return row[0] or 0.0, row[1]
-
-
-def communities(edges: DataFrame, vertices: DataFrame, resolution: float = 1.0, levels: int = 10,
-                rounds: int = 4, group: str | None = None) -> DataFrame:
-    """Modularity communities ``id, label``; every community is connected.
+def communities(edges: DataFrame, vertices: DataFrame, resolution: float = 1.0, group: str | None = None) -> DataFrame:
+    """Modularity communities ``id, label``; every community is connected, and no single move raises the quality.
 
     ``edges`` holds both directions of each undirected edge as ``src, dst, w``.
     With ``group``, a column of ``vertices``, each group is a graph of its own
-    and no edge may leave it.  Local moving and aggregation to a smaller graph
-    are repeated until nothing merges any more; communities that are not
-    connected are split at the end, which never lowers the quality.
+    and no edge may leave it.  Vertices move until none gains by more than
+    ``TOLERANCE``, then whole communities do, at all levels of aggregation;
+    this starts again from the vertices until it changes nothing.  Communities
+    that are not connected are split, which raises the quality too.
     """
-    edges = first = cut(edges.select("src", "dst", F.col("w").cast("double").alias("w")))
+    edges = cut(edges.select("src", "dst", F.col("w").cast("double").alias("w")))
     groups = vertices.select("id", (F.col(group) if group else F.lit(0)).alias("g"))
     strength = edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
     nodes = groups.join(strength, "id", "left").withColumn("k", F.coalesce("k", F.lit(0.0)))
     mass = nodes.groupBy("g").agg(F.sum("k").alias("two_m"))
     two_m = F.when(F.col("two_m") > 0, F.col("two_m")).otherwise(F.lit(1.0)).alias("two_m")
     nodes = cut(nodes.join(mass, "g").select("id", "k", two_m, F.lit(0.0).alias("loop")))
+    links = cut(edges.filter("src <> dst"))
     members = nodes.select("id", F.col("id").alias("label"))
-    quality, size = _quality(nodes, resolution)
-    for level in range(levels):
-        links = cut(edges.filter("src <> dst").join(nodes.select(F.col("id").alias("src"), "k", "two_m"), "src"))
-        moved = _move(links, nodes, resolution, rounds if level == 0 else 2)
-        edges, nodes = _merge(edges, moved)
-        before, (quality, now) = quality, _quality(nodes, resolution)
-        # Simultaneous moves can lower the quality; such a level is not kept.
-        if quality < before - 1e-12:
-            break
-        up = moved.select(F.col("id").alias("label"), F.col("label").alias("up"))
-        members = cut(members.join(up, "label").select("id", F.col("up").alias("label")))
-        if now == size or quality - before < 1e-3 * abs(quality):
-            break
-        size = now
-    ends = members.select(F.col("id").alias("src"), F.col("label").alias("a"))
-    inside = first.join(ends, "src").join(ends.toDF("dst", "b"), "dst").filter("a = b")
-    parts = components(inside, members)
-    return parts.select("id", F.col("component").alias("label"))
+    settled = False
+    while True:
+        state, low = _move(links, nodes.join(members, "id"), resolution)
+        members = cut(state.select("id", "label"))
+        # Without a move of vertices, communities are where they have stopped before.
+        settled = settled and not low
+        if not settled:
+            above, moved, settled = edges, state, True
+            while True:
+                above, parts = _merge(above, moved)
+                moved, rounds = _move(above.filter("src <> dst"), parts.withColumn("label", F.col("id")), resolution)
+                if not rounds:
+                    break
+                settled = False
+                up = moved.select(F.col("id").alias("label"), F.col("label").alias("up"))
+                members = cut(members.join(up, "label").select("id", F.col("up").alias("label")))
+        if not settled:
+            settled = True
+            continue
+        ends = members.select(F.col("id").alias("src"), F.col("label").alias("a"))
+        inside = links.join(ends, "src").join(ends.toDF("dst", "b"), "dst").filter("a = b")
+        split = cut(components(inside, members).select("id", F.col("component").alias("label")))
+        if split.select("label").distinct().count() == members.select("label").distinct().count():
+            return split
+        members, settled = split, False
 
 
 def jaccard_graph(edges: DataFrame, k: int) -> DataFrame:

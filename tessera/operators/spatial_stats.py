@@ -158,11 +158,11 @@ def neighbourhood_enrichment(graph: DataFrame, labels: DataFrame, id: str = "cel
 
 
 def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster", limit: int = 1024,
-                   group: str | None = None) -> DataFrame:
+                   group: str | None = None, apart: bool = False) -> DataFrame:
     """Ordered pairs of distinct points per label pair and distance interval.
 
     Interval ``i`` is ``(edges[i], edges[i + 1]]``; with ``group`` only pairs
-    inside a group count.  Points of one label at one place are merged and
+    inside a group count, and with ``apart`` each group has rows of its own.  Points of one label at one place are merged and
     weighted.  Places are tiled; tiles in reach of each other are compared
     inside tasks of bounded size, which return counts, never pairs.
     """
@@ -193,7 +193,7 @@ def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster"
     bounds = np.array(edges, dtype=float)
 
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        shape = ["a", "b", "interval", "n"]
+        shape = ["group", "a", "b", "interval", "n"]
         if a.empty or b.empty:
             return pd.DataFrame(columns=shape)
         same = all(a[f"own_{c}"].iloc[0] == a[c].iloc[0] for c in ("depth", "ix", "iy", "part"))
@@ -218,13 +218,13 @@ def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster"
                 j = list(nb).index(na[i])
                 total[(i * len(nb) + j) * k + zero] -= int(c)
         hit = np.flatnonzero(total)
-        return pd.DataFrame({"a": na[hit // k // len(nb)], "b": nb[hit // k % len(nb)], "interval": hit % k, "n": total[hit]})
+        return pd.DataFrame({"group": a["group"].iloc[0], "a": na[hit // k // len(nb)], "b": nb[hit // k % len(nb)], "interval": hit % k, "n": total[hit]})
 
     counted = (
         left.toDF(*left.columns).groupBy(*pair).cogroup(right.toDF(*right.columns).groupBy(*pair))
-        .applyInPandas(count, "a string, b string, interval int, n bigint")
+        .applyInPandas(count, f"group {base.schema['group'].dataType.simpleString()}, a string, b string, interval int, n bigint")
     )
-    return counted.groupBy("a", "b", "interval").agg(F.sum("n").alias("n"))
+    return counted.groupBy(*(["group"] if apart else []), "a", "b", "interval").agg(F.sum("n").alias("n"))
 
 
 def co_occurrence(points: DataFrame, edges: list[float], label: str = "cluster") -> DataFrame:
@@ -272,16 +272,18 @@ def compartment_ratio(t: DataFrame) -> DataFrame:
     ).withColumn("radial_ratio", safe_ratio(F.col("n_cytoplasm"), F.col("n_nuclear")))
 
 
-def gene_pair_counts(t: DataFrame, radius: float = 4.16, mode: str = "radius") -> DataFrame:
-    """Ordered pairs of different transcripts of one cell within reach, per gene pair.
+def gene_pair_counts(t: DataFrame, radius: float = 4.16, mode: str = "radius", apart: bool = False) -> DataFrame:
+    """Ordered pairs of different transcripts of one cell within reach, per gene pair; with ``apart`` per cell as well.
 
     ``radius`` counts in tiles of bounded size.  ``nine_grid`` takes all of the
     3 by 3 squares around: counts per square and gene are multiplied.
     """
     inside = t.filter("cell_id is not null and x is not null and y is not null and gene is not null")
+    cell = ["cell_id"] if apart else []
     if mode == "radius":
-        found = pair_histogram(inside, [-1.0, float(radius)], "gene", group="cell_id")
-        return found.filter("n > 0").select(F.col("a").alias("gene_a"), F.col("b").alias("gene_b"), "n")
+        found = pair_histogram(inside, [-1.0, float(radius)], "gene", group="cell_id", apart=apart)
+        own = [F.col("group").alias("cell_id")] if apart else []
+        return found.filter("n > 0").select(*own, F.col("a").alias("gene_a"), F.col("b").alias("gene_b"), "n")
     if mode != "nine_grid":
         raise ValueError(f"unknown mode '{mode}'")
     side = F.lit(float(radius))
@@ -295,39 +297,96 @@ def gene_pair_counts(t: DataFrame, radius: float = 4.16, mode: str = "radius") -
                 F.col("gene").alias("gene_b"), F.col("c").alias("c_b"))
     )
     counted = squares.withColumnsRenamed({"gene": "gene_a", "c": "c_a"}).join(other, ["cell_id", "sx", "sy"]).groupBy(
-        "gene_a", "gene_b"
+        *cell, "gene_a", "gene_b"
     ).agg(F.sum(F.col("c_a") * F.col("c_b")).alias("n"))
-    alone = inside.groupBy(F.col("gene").alias("gene_a")).agg(F.count("*").alias("self"))
+    alone = inside.groupBy(*cell, F.col("gene").alias("gene_a")).agg(F.count("*").alias("self"))
     n = F.when(F.col("gene_a") == F.col("gene_b"), F.col("n") - F.col("self")).otherwise(F.col("n"))
-    return counted.join(alone, "gene_a").select("gene_a", "gene_b", n.alias("n")).filter("n > 0")
+    return counted.join(alone, [*cell, "gene_a"]).select(*cell, "gene_a", "gene_b", n.alias("n")).filter("n > 0")
+
+
+def _stirling_error(n: np.ndarray) -> np.ndarray:
+    """log(n!) less Stirling's formula."""
+    small = np.array([math.lgamma(i + 1) - (i + 0.5) * math.log(i) + i - 0.5 * math.log(2 * math.pi) if i else 0.0 for i in range(16)])
+    x = np.maximum(n, 1.0)
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - (1 / 1680) / x**2) / x**2) / x**2) / x
+    whole = (n <= 15) & (n == np.floor(n))
+    return np.where(whole, small[np.where(whole, n, 0).astype(int)], series)
+
+
+def _deviance(x: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """x log(x / mean) + mean - x without cancellation."""
+    apart = x - mean
+    v = apart / (x + mean)
+    total, power = apart * v, 2 * x * v
+    for j in range(1, 40):
+        power = power * v * v
+        total = total + power / (2 * j + 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plain = np.where(x > 0, x * np.log(x / mean), 0.0) + mean - x
+    return np.where(np.abs(v) < 0.1, total, plain)
+
+
+def _log_binomial(x: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Log probability of x of n, in saddle-point form (Loader 2000)."""
+    q = 1 - p
+    with np.errstate(divide="ignore", invalid="ignore"):
+        inner = (
+            _stirling_error(n) - _stirling_error(x) - _stirling_error(n - x) - _deviance(x, n * p) - _deviance(n - x, n * q)
+            - 0.5 * (math.log(2 * math.pi) + np.log(x) + np.log1p(-x / n))
+        )
+        return np.where(x <= 0, n * np.log1p(-p), np.where(x >= n, n * np.log(p), inner))
+
+
+def _log_hypergeometric(x: np.ndarray, total: np.ndarray, marked: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+    """Log probability of x hits; the three binomials have the same small deviances at any size."""
+    p = drawn / total
+    return _log_binomial(x, marked, p) + _log_binomial(drawn - x, total - marked, p) - _log_binomial(drawn, total, p)
+
+
+def _upper(x: np.ndarray, total: np.ndarray, marked: np.ndarray, drawn: np.ndarray, terms: int = 256) -> np.ndarray:
+    """P(X >= x) for x at or above the mean: the first terms by their ratios, the rest by quadrature.
+
+    Where the first terms have not died away their logarithm is so smooth that
+    the integral over half a step more at each end is their sum.
+    """
+    top = np.minimum(marked, drawn)
+    i = x[:, None] + np.arange(terms)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.clip((marked[:, None] - i) * (drawn[:, None] - i), 0, None) / ((i + 1) * (total - marked - drawn)[:, None] + (i + 1) * (i + 1))
+    held = np.concatenate([np.ones((len(x), 1)), np.cumprod(ratio, axis=1)], axis=1)
+    found = held[:, :terms].sum(1)
+    left = np.flatnonzero((held[:, terms] > 1e-17 * found) & (x + terms <= top))
+    if len(left):
+        a, big, m, d, first = x[left] + terms, total[left], marked[left], drawn[left], held[left, terms]
+        spread = np.sqrt(np.maximum(d * (m / big) * (1 - m / big) * (big - d) / np.maximum(big - 1, 1), 1.0))
+        b = np.minimum(top[left] + 0.5, a - 0.5 + 12 * spread)
+        nodes, weights = np.polynomial.legendre.leggauss(16)
+        panels = 24
+        width = (b - (a - 0.5)) / panels
+        middle = (a - 0.5)[:, None] + (np.arange(panels) + 0.5) * width[:, None]
+        at = (middle[:, :, None] + nodes * width[:, None, None] / 2).reshape(len(left), -1)
+        wide = [np.repeat(v[:, None], at.shape[1], 1) for v in (big, m, d)]
+        logs = _log_hypergeometric(np.minimum(at, np.repeat(top[left][:, None], at.shape[1], 1)), *wide) - _log_hypergeometric(a, big, m, d)[:, None]
+        area = (np.exp(logs).reshape(len(left), panels, -1) * weights).sum((1, 2)) * width / 2
+        found[left] += first * area
+    return np.exp(_log_hypergeometric(x, total, marked, drawn) + np.log(found))
 
 
 @F.pandas_udf(T.DoubleType())
 def hypergeometric_tail(k: pd.Series, total: pd.Series, marked: pd.Series, drawn: pd.Series) -> pd.Series:
-    """P(X >= k) for ``drawn`` out of ``total`` with ``marked`` hits; normal beyond 10,000 terms."""
-    out = []
-    for x, big, m, d in zip(k, total, marked, drawn):
-        x, big, m, d = int(x), int(big), int(m), int(d)
-        top = min(m, d)
-        if x <= max(0, d + m - big):
-            out.append(1.0)
-        elif x > top:
-            out.append(0.0)
-        elif top - x > 10000:
-            mean = d * m / big
-            sd = math.sqrt(max(mean * (1 - m / big) * (big - d) / max(big - 1, 1), 1e-300))
-            out.append(0.5 * math.erfc((x - 0.5 - mean) / sd / math.sqrt(2)))
-        else:
-            lg = math.lgamma
-
-            def term(i):
-                return (lg(m + 1) - lg(i + 1) - lg(m - i + 1) + lg(big - m + 1) - lg(d - i + 1) - lg(big - m - d + i + 1)
-                        - lg(big + 1) + lg(d + 1) + lg(big - d + 1))
-
-            logs = np.array([term(i) for i in range(x, top + 1)])
-            peak = logs.max()
-            out.append(float(min(1.0, math.exp(peak) * np.exp(logs - peak).sum())))
-    return pd.Series(out, dtype=float)
+    """P(X >= k) for ``drawn`` out of ``total`` with ``marked`` hits, for counts of any size."""
+    x, big, m, d = (v.to_numpy(dtype=float) for v in (k, total, marked, drawn))
+    out = np.full(len(x), np.nan)
+    least, most = np.maximum(0, d + m - big), np.minimum(m, d)
+    out[x <= least] = 1.0
+    out[x > most] = 0.0
+    inside = (x > least) & (x <= most)
+    high = np.flatnonzero(inside & (x >= d * (m / np.maximum(big, 1))))
+    out[high] = _upper(x[high], big[high], m[high], d[high])
+    # Below the mean the other tail is small: misses of at least d - x + 1.
+    low = np.flatnonzero(inside & (x < d * (m / np.maximum(big, 1))))
+    out[low] = 1 - _upper(d[low] - x[low] + 1, big[low], big[low] - m[low], d[low])
+    return pd.Series(np.clip(out, 0.0, 1.0))
 
 
 def false_discovery(df: DataFrame, p: str = "pvalue", name: str = "qvalue") -> DataFrame:
@@ -361,22 +420,26 @@ def colocalisation(t: DataFrame, radius: float = 4.16, mode: str = "radius", bac
     inside = t.filter("cell_id is not null")
     genes = inside.groupBy("gene").agg(F.count("*").alias("g")).filter(F.col("g") >= min_gene_number)
     inside = inside.join(genes.select("gene"), "gene", "left_semi")
-    pairs = cut(gene_pair_counts(inside, radius, mode))
+    per_pair = cut(gene_pair_counts(inside, radius, mode, apart=True))
+    pairs = cut(per_pair.groupBy("gene_a", "gene_b").agg(F.sum("n").alias("n")))
     if background == "cooccurrence":
-        per_cell = inside.groupBy("cell_id", "gene").agg(F.count("*").alias("c"))
+        per_cell = inside.groupBy("cell_id", "gene").agg(F.count("*").cast("double").alias("c"))
         size = per_cell.groupBy("cell_id").agg(F.sum("c").alias("s"))
-        held = per_cell.join(size, "cell_id")
-        # Genes of a cell are at most the panel; pairs are summed per gene pair before the shuffle.
-        pool = held.alias("l").join(held.alias("r"), "cell_id").groupBy(
-            F.col("l.gene").alias("gene_a"), F.col("r.gene").alias("gene_b")
-        ).agg(
-            F.sum(F.col("l.s") * (F.col("l.s") - 1)).alias("total"),
-            F.sum(F.col("l.c") * (F.col("l.s") - 1)).alias("marked"),
-            F.sum(F.col("r.c") * (F.col("r.s") - 1)).alias("targets"),
+        held = cut(per_cell.join(size, "cell_id"))
+        near = per_pair.groupBy("cell_id", "gene_a").agg(F.sum("n").cast("double").alias("reach"))
+        left = held.join(near, held["gene"].eqNullSafe(near["gene_a"]) & (held["cell_id"] == near["cell_id"]), "left").select(
+            held["cell_id"], F.col("gene").alias("gene_a"), F.coalesce("reach", F.lit(0.0)).alias("reach")
+        )
+        # Only pairs that are near somewhere are looked up in the cells of their first gene.
+        right = held.select("cell_id", F.col("gene").alias("gene_b"), F.col("c").alias("c_b"), "s")
+        both = left.join(pairs.select("gene_a", "gene_b"), "gene_a").join(right, ["cell_id", "gene_b"])
+        # One population for a pair: the cells that hold both genes.
+        pool = both.groupBy("gene_a", "gene_b").agg(
+            F.sum(F.col("s") * (F.col("s") - 1)).alias("total"),
+            F.sum(F.col("c_b") * (F.col("s") - 1)).alias("targets"),
+            F.sum("reach").alias("drawn"),
         )
-        # Expected share of neighbours b among all partners of a, scaled to the pairs of a within reach.
-        reach = pairs.groupBy("gene_a").agg(F.sum("n").alias("drawn"))
-        tested = pairs.join(pool, ["gene_a", "gene_b"]).join(reach, "gene_a")
+        tested = pairs.join(pool, ["gene_a", "gene_b"])
         scored = tested.withColumn("pvalue", hypergeometric_tail("n", "total", "targets", "drawn")).withColumn(
             "expected", F.col("drawn") * F.col("targets") / F.col("total")
         )

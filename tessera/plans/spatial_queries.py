@@ -280,11 +280,13 @@ def gene_pair_counts_nine_grid(t: Inputs):
 @query(
     "colocalisation_expected",
     """WITH c AS (SELECT cell_id, gene, count(*) AS c FROM seg GROUP BY 1, 2), z AS (SELECT cell_id, count(*) AS s FROM seg GROUP BY 1),
-    pool AS (SELECT l.gene AS gene_a, r.gene AS gene_b, sum(z.s * (z.s - 1)) AS total, sum(r.c * (z.s - 1)) AS targets FROM c l JOIN c r ON l.cell_id = r.cell_id JOIN z ON l.cell_id = z.cell_id GROUP BY 1, 2),
-    n AS (SELECT a.gene AS gene_a, b.gene AS gene_b, count(*) AS n FROM seg a JOIN seg b ON a.cell_id = b.cell_id AND a.row_id <> b.row_id
-      AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 17 GROUP BY 1, 2)
-    SELECT n.gene_a, n.gene_b, n, round(sum(n) OVER (PARTITION BY n.gene_a) * CAST(targets AS DOUBLE) / CAST(total AS DOUBLE), 5) AS expected
-    FROM n JOIN pool ON n.gene_a = pool.gene_a AND n.gene_b = pool.gene_b""",
+    n AS (SELECT a.cell_id, a.gene AS gene_a, b.gene AS gene_b, count(*) AS n FROM seg a JOIN seg b ON a.cell_id = b.cell_id AND a.row_id <> b.row_id
+      AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 17 GROUP BY 1, 2, 3),
+    p AS (SELECT gene_a, gene_b, sum(n) AS n FROM n GROUP BY 1, 2),
+    holding AS (SELECT p.gene_a, p.gene_b, l.cell_id, r.c, z.s FROM p JOIN c l ON l.gene = p.gene_a JOIN c r ON r.gene = p.gene_b AND r.cell_id = l.cell_id JOIN z ON z.cell_id = l.cell_id),
+    near AS (SELECT cell_id, gene_a, sum(n) AS reach FROM n GROUP BY 1, 2)
+    SELECT p.gene_a, p.gene_b, CAST(max(p.n) AS BIGINT) AS n, round(CAST(sum(coalesce(reach, 0)) AS DOUBLE) * CAST(sum(h.c * (h.s - 1)) AS DOUBLE) / CAST(sum(h.s * (h.s - 1)) AS DOUBLE), 5) AS expected
+    FROM p JOIN holding h ON p.gene_a = h.gene_a AND p.gene_b = h.gene_b LEFT JOIN near ON near.cell_id = h.cell_id AND near.gene_a = p.gene_a GROUP BY 1, 2""",
 )
 def colocalisation_expected(t: Inputs):
     return _coloc(t).select("gene_a", "gene_b", "n", r6("expected", 5).alias("expected"))

@@ -29,6 +29,57 @@ def test_hypergeometric_tail(spark):
     assert got == pytest.approx([sum(c(7, i) * c(13, 5 - i) for i in range(3, 6)) / c(20, 5), 1.0, 0.0])
 
 
+def test_hypergeometric_tail_against_fractions():
+    from fractions import Fraction
+
+    rng = np.random.default_rng(0)
+    rows = []
+    for _ in range(200):
+        n = int(rng.integers(2, 2500))
+        m, d = int(rng.integers(0, n + 1)), int(rng.integers(0, n + 1))
+        k = int(rng.integers(0, min(m, d) + 2))
+        hits = sum(math.comb(m, i) * math.comb(n - m, d - i) for i in range(k, min(m, d) + 1))
+        rows.append((k, n, m, d, float(Fraction(hits, math.comb(n, d)))))
+    k, n, m, d, want = (pd.Series(v) for v in zip(*rows))
+    got = sp.hypergeometric_tail.func(k, n, m, d)
+    good = want > 1e-250
+    assert got[good].to_numpy() == pytest.approx(want[good].to_numpy(), rel=1e-8)
+
+
+def test_hypergeometric_tail_of_large_counts():
+    """With an expected count of 10 the tail nears that of a Poisson variable as the population grows."""
+    poisson = lambda k: math.exp(-10) * sum(10.0**i / math.factorial(i) for i in range(k, k + 200) if i < 170)
+    for total in (10**9, 10**12, 10**15, 10**17, 10**18):
+        drawn = math.isqrt(total)
+        marked = total * 10 // drawn
+        for k in (5, 15, 60):
+            got = sp.hypergeometric_tail.func(*[pd.Series([v]) for v in (k, total, marked, drawn)])[0]
+            assert got == pytest.approx(poisson(k), rel=2e-3 if total < 10**10 else 1e-4)
+    # Both sides of the number of terms that are summed one by one.
+    for spread in (200, 260, 10**4, 10**6):
+        total = 4 * (4 * spread**2)
+        x = total // 4 + spread
+        got = sp.hypergeometric_tail.func(*[pd.Series([v]) for v in (x, total, total // 2, total // 2)])[0]
+        sd = math.sqrt(total / 16)
+        assert got == pytest.approx(0.5 * math.erfc((x - 0.5 - total / 4) / sd / math.sqrt(2)), rel=1e-3)
+
+
+def test_colocalisation_of_rarely_shared_cells(spark):
+    """A meets C in 40 cells, and B in one alone: the pairs of A with B are judged in that one."""
+    rows = []
+    for cell in range(40):
+        rows += [(f"c{cell}", "A", 0.0, float(i)) for i in range(3)] + [(f"c{cell}", "C", 1.0, float(i)) for i in range(3)]
+    rows += [("last", "A", 0.0, float(i)) for i in range(3)] + [("last", "B", 1.0, float(i)) for i in range(3)]
+    t = spark.createDataFrame(rows, "cell_id string, gene string, x double, y double")
+    got = {(r.gene_a, r.gene_b): r for r in sp.colocalisation(t).collect()}
+    # In the last cell all 30 ordered pairs are near: 15 start at A, 9 of which end at B.
+    for pair in (("A", "B"), ("B", "A")):
+        r = got[pair]
+        assert (r.n, r.expected) == (9, 15 * 15 / 30)
+        c = math.comb
+        assert r.pvalue == pytest.approx(sum(c(15, i) * c(15, 15 - i) for i in range(9, 16)) / c(30, 15))
+
+
 def test_enrichment_matches_all_relabellings(spark):
     import itertools
 
