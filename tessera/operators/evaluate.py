@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import safe_ratio
-from tessera.runtime import cut
+from tessera.runtime import cut, number_rows
 
 
 def evaluate_ingestion(raw: DataFrame) -> DataFrame:
@@ -103,25 +103,41 @@ def adjusted_rand(df: DataFrame, left: str, right: str) -> DataFrame:
     )
 
 
-def silhouette(df: DataFrame, vector: str, label: str, id: str = "cell_id", dims: int = 10, exact_rows: int = 50000,
-               block: int = 512) -> DataFrame:
+def _labelled(df: DataFrame, vector: str, label: str, id: str, dims: int) -> tuple[DataFrame, int | None]:
+    """Rows ``id, v, l`` and their number; None if a silhouette is not defined: fewer than 2 labels or dimensions."""
+    data = cut(df.select(F.col(id).alias("id"), F.slice(F.col(vector), 1, dims).alias("v"), F.col(label).cast("string").alias("l")))
+    one = data.agg(F.count("*"), F.countDistinct("l"), F.min(F.size("v"))).first()
+    return data, None if one[1] < 2 or one[2] < 2 or one[1] >= one[0] else one[0]
+
+
+def silhouette_squared(df: DataFrame, vector: str, label: str, id: str = "cell_id", dims: int = 10) -> DataFrame:
+    """Mean silhouette with squared Euclidean distances: ``metric, value``.
+
+    A row's mean squared distance to a label follows from the label's sums, so
+    one pass over the rows is enough at any size.  Null as in ``silhouette``.
+    """
+    data, rows = _labelled(df, vector, label, id, dims)
+    if rows is None:
+        return df.sparkSession.createDataFrame([("silhouette_squared_euclidean", None)], "metric string, value double")
+    # Labels get dense numbers: as many rows as there are labels.
+    numbers = number_rows(data.select("l").distinct(), F.col("l"), name="prediction", start=0)
+    ready = data.join(numbers, "l").select(array_to_vector("v").alias("features"), F.col("prediction").cast("double").alias("prediction"))
+    value = ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(ready)
+    return df.sparkSession.createDataFrame([("silhouette_squared_euclidean", value)], "metric string, value double")
+
+
+def silhouette(df: DataFrame, vector: str, label: str, id: str = "cell_id", dims: int = 10, block: int = 512) -> DataFrame:
     """Mean silhouette on the first ``dims`` dimensions: ``metric, value``.
 
-    Up to ``exact_rows`` rows: Euclidean distances, compared block by block in
-    tasks that return one sum per row and label.  Beyond that the squared
-    Euclidean form, which needs one pass, is reported under its own name.
-    Fewer than 2 labels or dimensions give null.
+    Euclidean distances, compared block by block in tasks that return one sum
+    per row and label; the work is that of all pairs, so ``silhouette_squared``
+    is the form for very many rows.  Fewer than 2 labels or dimensions give
+    null.
     """
-    data = cut(df.select(F.col(id).alias("id"), F.slice(F.col(vector), 1, dims).alias("v"), F.col(label).cast("string").alias("l")))
-    one = data.agg(F.count("*"), F.countDistinct("l"), F.min(F.size("v"))).first()
-    spark = df.sparkSession
-    if one[1] < 2 or one[2] < 2 or one[1] >= one[0]:
-        return spark.createDataFrame([("silhouette", None)], "metric string, value double")
-    if one[0] > exact_rows:
-        ready = data.withColumn("features", array_to_vector("v")).withColumn("prediction", F.hash("l").cast("double"))
-        value = ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(ready)
-        return spark.createDataFrame([("silhouette_squared_euclidean", value)], "metric string, value double")
-    n_blocks = -(-one[0] // block)
+    data, rows = _labelled(df, vector, label, id, dims)
+    if rows is None:
+        return df.sparkSession.createDataFrame([("silhouette", None)], "metric string, value double")
+    n_blocks = -(-rows // block)
     placed = cut(data.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int")))
     every = F.sequence(F.lit(0), F.lit(n_blocks - 1))
     left = placed.withColumn("o", F.explode(every))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
@@ -16,6 +18,9 @@ from tessera.operators.graph import canonical_labels, communities, rank_in_group
 from tessera.operators.neighbours import expression_k, symmetric, vector_knn
 from tessera.runtime import cut
 
+#: Rounds after which an iteration that has not met its tolerance is told of.
+ROUNDS = 1000
+
 
 def lognorm(counts: DataFrame, target: float = 1e4) -> DataFrame:
     """Counts scaled to ``target`` per cell, then ``log(1 + v)``; adds ``value``."""
@@ -93,15 +98,13 @@ def variable_genes_fitted(counts: DataFrame, n_top: int = 2000) -> DataFrame:
     return joined.orderBy(F.col("score").desc(), "gene").limit(n_top)
 
 
-def scaled_vectors(values: DataFrame, genes: DataFrame, cells: DataFrame, clip: float = 10.0, most: int = 20000) -> DataFrame:
+def scaled_vectors(values: DataFrame, genes: DataFrame, cells: DataFrame, clip: float = 10.0) -> DataFrame:
     """Dense standardised vector per cell over ``genes`` in name order, clipped.
 
-    ``genes`` is a gene selection; its size is checked because each cell's
-    vector and the statistics sent with the tasks grow with it.
+    ``genes`` is a gene selection (some 2,000 variable genes): the statistics
+    sent with the tasks are as long as one row of the result.
     """
     names = genes.select("gene")
-    if names.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} genes; select variable genes first")
     kept = values.join(names, "gene", "left_semi")
     n = cells.count()
     stats = gene_moments(kept, n).orderBy("gene").collect()
@@ -152,7 +155,10 @@ def display_coordinates(pcs: DataFrame) -> DataFrame:
 def kmeans_labels(df: DataFrame, vector: str, k: int, id: str = "cell_id", seed: int = 0) -> DataFrame:
     """K-means labels ``id, label``, numbered by size."""
     data = df.select(F.col(id), array_to_vector(F.col(vector)).alias("features"))
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="label", maxIter=50).fit(data)
+    # Stops by the tolerance; the count only ends a run that circles.
+    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="label", maxIter=ROUNDS, tol=1e-6).fit(data)
+    if model.summary.numIter >= ROUNDS:
+        warnings.warn(f"k-means has not converged in {ROUNDS} rounds", stacklevel=2)
     return canonical_labels(model.transform(data).select(F.col(id).alias("id"), "label")).withColumnRenamed("id", id)
 
 
@@ -180,23 +186,20 @@ def label_clusters(clusters: DataFrame) -> DataFrame:
     return clusters.withColumn("cell_type", F.concat(F.lit("Cluster_"), F.col("cluster").cast("string")))
 
 
-def rank_markers(values: DataFrame, clusters: DataFrame, most: int = 10000) -> DataFrame:
+def rank_markers(values: DataFrame, clusters: DataFrame) -> DataFrame:
     """Welch t score of every gene in every cluster against all other cells.
 
-    Entries that do not occur count as 0.  The result has clusters x genes
-    rows; the cluster list is read to the driver behind a check of its size.
+    Entries that do not occur count as 0, so the result has a row for each
+    cluster and gene.
     """
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n")).orderBy("cluster").limit(most + 1).collect()
-    if len(sizes) > most:
-        raise ValueError(f"more than {most} clusters")
-    total = float(sum(r["n"] for r in sizes))
-    names = F.array(*[F.struct(F.lit(r["cluster"]).alias("cluster"), F.lit(float(r["n"])).alias("n1")) for r in sizes])
+    sizes = clusters.groupBy("cluster").agg(F.count("*").cast("double").alias("n1"))
+    total = float(clusters.count())
     v = F.col("value")
     here = values.join(clusters.select("cell_id", "cluster"), "cell_id").groupBy("cluster", "gene").agg(
         F.sum(v).alias("s1"), F.sum(v * v).alias("q1")
     )
     overall = here.groupBy("gene").agg(F.sum("s1").alias("s"), F.sum("q1").alias("q"))
-    grid = overall.withColumn("c", F.explode(names)).select("gene", "s", "q", "c.cluster", "c.n1")
+    grid = overall.crossJoin(sizes).select("gene", "s", "q", "cluster", "n1")  # the rows of the result
     full = grid.join(here, ["cluster", "gene"], "left").fillna(0.0, ["s1", "q1"])
     n1, n2 = F.col("n1"), F.lit(total) - F.col("n1")
     s1, q1 = F.col("s1"), F.col("q1")
@@ -236,7 +239,9 @@ def annotate_from_reference(reference: DataFrame, cells: DataFrame, id: str = "c
     """Best matching label and its probability from a model trained on labelled rows."""
     train = reference.select(array_to_vector(F.col(vector)).alias("features"), F.col(label).cast("string").alias("name"))
     index = StringIndexer(inputCol="name", outputCol="target", stringOrderType="alphabetAsc").fit(train)
-    model = LogisticRegression(labelCol="target", maxIter=30, regParam=0.01).fit(index.transform(train))
+    model = LogisticRegression(labelCol="target", maxIter=ROUNDS, regParam=0.01).fit(index.transform(train))
+    if model.summary.totalIterations >= ROUNDS:
+        warnings.warn(f"the label model has not converged in {ROUNDS} rounds", stacklevel=2)
     scored = model.transform(cells.select(F.col(id), array_to_vector(F.col(vector)).alias("features")))
     named = IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels).transform(scored)
     return named.select(id, "predicted", F.array_max(vector_to_array("probability")).alias("confidence"))

@@ -42,16 +42,17 @@ def assign_patches(df: DataFrame, width: float = 500.0, overlap: float = 50.0) -
 
 
 def patched_segmentation(df: DataFrame, method: str = "provided_cells", width: float = 500.0,
-                         overlap: float = 50.0, keep_patch: bool = False) -> DataFrame:
+                         overlap: float = 50.0, keep_patch: bool = False, prefix: bool = True) -> DataFrame:
     """Segment every patch on its own; cell ids get the prefix ``P<col>x<row>_``.
 
-    Transcripts in an overlap occur once per patch.  With a single occupied
-    patch the plain segmentation is returned.
+    Transcripts in an overlap occur once per patch.  ``prefix=False`` is for
+    data known to lie in one patch, where ids are unique as they are.
     """
     segment = {"provided_cells": provided_cells, "fov_cell_id": fov_cells}[method]
     patched = assign_patches(df, width, overlap)
-    if patched.select("patch_col", "patch_row").distinct().limit(2).count() < 2:
-        return segment(df)
+    if not prefix:
+        named = segment(patched)
+        return named if keep_patch else named.drop("patch_col", "patch_row")
     cell = need_column(df, "cell_id")
     named = segment(patched).withColumn(
         cell,

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.functions.columns import safe_ratio
+from tessera.operators.graph import rank_in_group
 from tessera.operators.tiles import KEY, tile_points, tiles_in_reach
 from tessera.runtime import cut, number_rows
 
@@ -50,10 +51,15 @@ def morans_i(values: DataFrame, graph: DataFrame, cells: DataFrame, value: str =
 
     With x sparse, sum w (x_i - m)(x_j - m) = sum w x_i x_j
     - m sum x_i (w_i. + w_.i) + m^2 s0, so only non-zero entries meet.
-    Adds the normal z score and one-sided tail probability.
+    Adds the normal z score and one-sided tail probability; both are null where
+    the variance is not positive, and all scores are on a graph without edges.
     """
     one = graph_sums(graph).first()
     n = float(cells.count())
+    if n < 3 or not one["s0"]:
+        # Without edges, or with so few cells, nothing is defined.
+        null = F.lit(None).cast("double")
+        return values.select("gene").distinct().select("gene", null.alias("I"), null.alias("z_norm"), null.alias("pval_norm"))
     s0, s1, s2 = one["s0"], one["s1"], one["s2"]
     x = values.select(F.col(id).alias("id"), "gene", F.col(value).alias("v"))
     reach = (
@@ -75,7 +81,8 @@ def morans_i(values: DataFrame, graph: DataFrame, cells: DataFrame, value: str =
     expected = -1.0 / (n - 1)
     variance = (n * n * s1 - n * s2 + 3 * s0 * s0) / ((n * n - 1) * s0 * s0) - expected * expected
     score = F.when(spread > 1e-12, F.lit(n / s0) * over / spread)
-    z = (F.col("I") - F.lit(expected)) / F.lit(math.sqrt(variance))
+    spread_of_i = math.sqrt(variance) if variance > 0 else None
+    z = (F.col("I") - F.lit(expected)) / F.lit(spread_of_i).cast("double")
     return (
         sums.join(cross, "gene", "left").select("gene", score.alias("I"))
         .withColumn("z_norm", z).withColumn("pval_norm", upper_tail(F.abs("z_norm")))
@@ -87,21 +94,22 @@ def permuted_morans_i(values: DataFrame, graph: DataFrame, cells: DataFrame, per
     """Tail probability of Moran's I under random relabelling of the cells.
 
     Cells must be numbered 0..n-1.  In permutation p every cell takes the
-    expression of another one, by the order of a seeded hash.
+    expression of another one, by the order of a seeded hash.  All permutations
+    are one plan: each is a part of its own of the cells and of the genes.
     """
     ids = cells.select(F.col(id).alias("id"))
-    observed = morans_i(values, graph, cells, value, id).select("gene", F.col("I").alias("observed"))
+    observed = cut(morans_i(values, graph, cells, value, id).select("gene", F.col("I").alias("observed")))
     weighted = values.select(F.col(id).alias("id"), "gene", F.col(value).alias("v"))
-    above = None
-    for p in range(permutations):
-        # A distributed sort by a seeded hash is a permutation of the numbered cells.
-        order = number_rows(ids.withColumn("h", F.xxhash64("id", F.lit(seed * 1000003 + p))), F.col("h"), F.col("id"), name="to", start=0)
-        moved = weighted.join(order.select("id", "to"), "id").select(F.col("to").alias(id), "gene", F.col("v").alias(value))
-        one = cut(
-            morans_i(moved, graph, cells, value, id).join(observed, "gene").select("gene", (F.col("I") >= F.col("observed")).cast("int").alias("hit"))
-        )
-        above = one if above is None else above.unionByName(one)
-    hits = above.groupBy("gene").agg(((F.sum("hit") + 1) / F.lit(permutations + 1)).alias("pval_sim"))
+    drawn = ids.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
+    drawn = drawn.withColumn("h", F.xxhash64("id", F.lit(seed * 1000003) + F.col("p")))
+    order = rank_in_group(drawn, ["p"], [F.col("h"), F.col("id")], "to")
+    moved = weighted.join(order.select("id", "p", "to"), "id").select(
+        F.col("to").alias(id), F.struct("p", "gene").alias("gene"), F.col("v").alias(value)
+    )
+    each = morans_i(moved, graph, cells, value, id).select(F.col("gene.gene").alias("gene"), "I")
+    hits = each.join(observed, "gene").groupBy("gene").agg(
+        ((F.sum((F.col("I") >= F.col("observed")).cast("int")) + 1) / F.lit(permutations + 1)).alias("pval_sim")
+    )
     return observed.withColumnRenamed("observed", "I").join(hits, "gene", "left")
 
 
@@ -113,36 +121,33 @@ def top_spatial_genes(scores: DataFrame, n: int = 100) -> DataFrame:
 
 
 def neighbourhood_enrichment(graph: DataFrame, labels: DataFrame, id: str = "cell_no", label: str = "cluster",
-                             most: int = 10000) -> DataFrame:
+                             empty: bool = False) -> DataFrame:
     """Observed edges between labels against random labels: count, z and tail probability.
 
     Mean and variance over all relabellings with the same label sizes are
     closed sums of the degrees, so no permutations are drawn.  ``graph`` holds
-    both directions of each edge.  Pairs of labels without edges are included;
-    the label list is read behind a check of its size.
+    both directions of each edge.  With ``empty``, pairs of labels without
+    edges have rows as well, so the result has one for each two labels.
     """
     lab = labels.select(F.col(id).alias("id"), F.col(label).alias("l"))
-    sizes = lab.groupBy("l").agg(F.count("*").cast("double").alias("n")).orderBy("l").limit(most + 1).collect()
-    if len(sizes) > most:
-        raise ValueError(f"more than {most} labels")
-    n = sum(r["n"] for r in sizes)
+    sizes = lab.groupBy("l").agg(F.count("*").cast("double").alias("n"))
+    n = float(lab.count())
     degrees = graph.groupBy("src").agg(F.count("*").cast("double").alias("d")).agg(
         F.sum("d"), F.sum(F.col("d") * (F.col("d") - 1))
     ).first()
     s0, q = degrees[0] or 0.0, degrees[1] or 0.0
     apart = s0 * s0 - 2 * s0 - 4 * q
     f2, f3, f4 = n * (n - 1), n * (n - 1) * (n - 2), n * (n - 1) * (n - 2) * (n - 3)
-    names = F.array(*[F.struct(F.lit(r["l"]).alias("l"), F.lit(r["n"]).alias("n")) for r in sizes])
     seen = (
         graph.join(lab.select(F.col("id").alias("src"), F.col("l").alias("a")), "src")
         .join(lab.select(F.col("id").alias("dst"), F.col("l").alias("b")), "dst")
         .groupBy("a", "b").agg(F.count("*").alias("count"))
     )
-    all_pairs = (
-        lab.groupBy("l").agg(F.count("*").cast("double").alias("na"))
-        .withColumn("o", F.explode(names))
-        .select(F.col("l").alias("a"), "na", F.col("o.l").alias("b"), F.col("o.n").alias("nb"))
-    )
+    left, right = sizes.select(F.col("l").alias("a"), F.col("n").alias("na")), sizes.select(F.col("l").alias("b"), F.col("n").alias("nb"))
+    if empty:
+        joined = left.crossJoin(right).join(seen, ["a", "b"], "left")  # the rows of the result
+    else:
+        joined = seen.join(left, "a").join(right, "b")
     a, b, same = F.col("na"), F.col("nb"), F.col("a") == F.col("b")
     p2 = F.when(same, a * (a - 1)).otherwise(a * b) / F.lit(f2 or 1.0)
     p3 = F.when(same, F.lit(4.0) * a * (a - 1) * (a - 2)).otherwise(a * b * (b - 1) + b * a * (a - 1)) / F.lit(f3 or 1.0)
@@ -150,7 +155,7 @@ def neighbourhood_enrichment(graph: DataFrame, labels: DataFrame, id: str = "cel
     twice = F.when(same, F.lit(2.0)).otherwise(F.lit(1.0))
     mean = F.lit(s0) * p2
     variance = F.lit(s0) * twice * p2 + F.lit(q) * p3 + F.lit(apart) * p4 - mean * mean
-    joined = all_pairs.join(seen, ["a", "b"], "left").select(
+    joined = joined.select(
         "a", "b", F.coalesce("count", F.lit(0)).alias("count"), mean.alias("expected"), variance.alias("variance")
     )
     z = F.when(F.col("variance") > 1e-9, (F.col("count") - F.col("expected")) / F.sqrt("variance"))
@@ -472,7 +477,7 @@ def principal_tree(points: DataFrame, vector: str = "pcs", id: str = "cell_id",
     k = min(k, points.count())
     data = points.select(F.col(id), F.col(vector).alias("v"), array_to_vector(F.col(vector)).alias("features"))
     # The k centres are all that reaches the driver.
-    c = np.array(KMeans(k=k, seed=seed, maxIter=50).fit(data).clusterCenters())
+    c = np.array(KMeans(k=k, seed=seed, maxIter=1000, tol=1e-6).fit(data).clusterCenters())
     c = c[np.lexsort(c.T[::-1])]
     k = len(c)
     gap = np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(axis=2))

@@ -160,12 +160,12 @@ def nearest_neighbour_components(t: Inputs):
     """SELECT cell_id, src, dst, CAST(rk AS INTEGER) AS rank, round(sqrt(d2), 6) AS dist FROM
     (SELECT a.cell_id, a.row_id AS src, b.row_id AS dst, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2,
      row_number() OVER (PARTITION BY a.row_id ORDER BY (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y), b.row_id) AS rk
-     FROM seg a JOIN seg b ON a.cell_id = b.cell_id AND a.row_id <> b.row_id) WHERE rk <= 5""",
+     FROM seg a JOIN seg b ON a.cell_id = b.cell_id AND a.row_id <> b.row_id) WHERE rk <= 25""",
 )
 def transcript_knn(t: Inputs):
     """Nearest transcripts inside each cell."""
     inside = t.numbered().filter("cell_id is not null")
-    return nb.nearest(inside, 5, group="cell_id").withColumn("dist", r6("dist"))
+    return nb.nearest(inside, 25, group="cell_id").withColumn("dist", r6("dist"))
 
 
 @query(
@@ -451,6 +451,17 @@ def silhouette(t: Inputs):
     return ev.silhouette(t.embeddings(), "vector", "label").withColumn("value", r6("value", 9))
 
 
+@query(
+    "silhouette_squared",
+    """WITH e AS (SELECT cell_id, vector[1:10] AS v, label AS l FROM emb), n AS (SELECT l, count(*) AS n FROM e GROUP BY 1),
+    d AS (SELECT a.cell_id, a.l, b.l AS o, sum(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS s FROM e a CROSS JOIN e b GROUP BY 1, 2, 3),
+    r AS (SELECT cell_id, max(CASE WHEN d.l = o AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN d.l <> o THEN s / n END) AS b FROM d JOIN n ON n.l = o GROUP BY 1)
+    SELECT 'silhouette_squared_euclidean' AS metric, round(avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS value FROM r""",
+)
+def silhouette_squared(t: Inputs):
+    return ev.silhouette_squared(t.embeddings(), "vector", "label").withColumn("value", r6("value"))
+
+
 @query("contract_violations", """SELECT s AS source, g AS target, b AS "table", m AS missing FROM (VALUES
     ('spatial_domain', 'analysis', 'cells', 'x'), ('spatial_domain', 'analysis', 'cells', 'y'),
     ('subcellular_spatial_domain', 'analysis', 'segmented', 'subcellular_domain'),

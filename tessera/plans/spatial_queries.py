@@ -9,12 +9,12 @@ from tessera.operators import evaluate as ev
 from tessera.operators import expression as ex
 from tessera.operators import neighbours as nb
 from tessera.operators import spatial_stats as sp
-from tessera.operators.graph import modularity
+from tessera.operators.graph import communities, components, modularity
 from tessera.operators.transcripts import distribution
 from tessera.plans.cell_queries import _pcs
 from tessera.plans.inputs import Inputs, query, r6
 from tessera.sources import sinks
-from tessera.runtime import new_path
+from tessera.runtime import cut, new_path
 
 
 @query("domains_kmeans")
@@ -159,12 +159,12 @@ def morans_i_pvalues(t: Inputs):
 
 @query("morans_i_permuted")
 def morans_i_permuted(t: Inputs):
-    return sp.permuted_morans_i(*_moran(t), permutations=5)
+    return sp.permuted_morans_i(*_moran(t))
 
 
-@query("top_spatial_genes", _MORAN + ' SELECT gene, round(I, 8) AS "I", (SELECT count(*) FROM i) AS n_tested FROM i ORDER BY I DESC LIMIT 10')
+@query("top_spatial_genes", _MORAN + ' SELECT gene, round(I, 8) AS "I", (SELECT count(*) FROM i) AS n_tested FROM i ORDER BY I DESC LIMIT 100')
 def top_spatial_genes(t: Inputs):
-    return sp.top_spatial_genes(sp.morans_i(*_moran(t)), 10).select("gene", r6("I", 8).alias("I"), "n_tested")
+    return sp.top_spatial_genes(sp.morans_i(*_moran(t))).select("gene", r6("I", 8).alias("I"), "n_tested")
 
 
 _ENRICH = """WITH k AS (SELECT cluster, CAST(count(*) AS DOUBLE) AS n FROM cells GROUP BY 1),
@@ -185,7 +185,7 @@ _ENRICH = """WITH k AS (SELECT cluster, CAST(count(*) AS DOUBLE) AS n FROM cells
     round((c - s0 * p2) / sqrt(s0 * CASE WHEN a = b THEN 2 ELSE 1 END * p2 + q * p3 + r * p4 - s0 * p2 * s0 * p2), 6) AS z_score FROM m""",
 )
 def neighbourhood_enrichment(t: Inputs):
-    e = sp.neighbourhood_enrichment(t.graph(), t.cells())
+    e = sp.neighbourhood_enrichment(t.graph(), t.cells(), empty=True)
     return e.select("a", "b", "count", r6("expected").alias("expected"), r6("z_score").alias("z_score"))
 
 
@@ -334,5 +334,33 @@ def modularity_of_labels(t: Inputs):
 def spatial_results_sink(t: Inputs):
     """Enrichment written as JSON documents and read back."""
     path = new_path(t.spark, "neighbourhood.json")
-    sp.neighbourhood_enrichment(t.graph(), t.cells()).write.json(path)
+    sp.neighbourhood_enrichment(t.graph(), t.cells(), empty=True).write.json(path)
     return t.spark.read.schema("a string, b string, count bigint").json(path)
+
+
+@query("community_properties", "SELECT (SELECT count(*) FROM cells) AS n_cells, (SELECT count(*) FROM cells) AS n_labelled, 0::BIGINT AS better_moves, 0::BIGINT AS parted")
+def community_properties(t: Inputs):
+    """Communities of the neighbour graph: each cell has one, none is in parts, and no move of a cell is better."""
+    graph = t.graph().select("src", "dst", F.lit(1.0).alias("w"))
+    cells = t.cells().select(F.col("cell_no").alias("id"))
+    label = cut(communities(graph, cells))
+    ends = graph.join(label.select(F.col("id").alias("src"), F.col("label").alias("a")), "src").join(
+        label.select(F.col("id").alias("dst"), F.col("label").alias("b")), "dst"
+    )
+    degree = graph.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("k"))
+    tot = ends.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("tot"))
+    to = ends.groupBy(F.col("src").alias("id"), "a", "b").agg(F.count("*").alias("to")).join(degree, "id").join(tot, "b")
+    edges = graph.agg(F.count("*").alias("m2"))
+    rest = F.col("tot") - F.when(F.col("a") == F.col("b"), F.col("k")).otherwise(F.lit(0))
+    worth = to.crossJoin(edges).withColumn("worth", F.col("to") - F.col("k") * rest / F.col("m2"))
+    # A cell that has no neighbour in its own community is worth less there than nothing.
+    own = label.join(degree, "id").join(tot.withColumnRenamed("b", "label"), "label").crossJoin(edges).select(
+        "id", (-F.col("k") * (F.col("tot") - F.col("k")) / F.col("m2")).alias("alone")
+    )
+    best = worth.groupBy("id").agg(F.max("worth").alias("best"), F.max(F.when(F.col("a") == F.col("b"), F.col("worth"))).alias("here"))
+    better = best.join(own, "id").filter(F.col("best") > F.coalesce("here", "alone") + 1e-9).agg(F.count("*").alias("better_moves"))
+    parts = components(ends.filter("a = b").select("src", "dst"), label).select("component").distinct().agg(F.count("*").alias("parts"))
+    counts = label.agg(F.countDistinct("id").alias("n_labelled"), F.countDistinct("label").alias("n"))
+    total = cells.agg(F.count("*").alias("n_cells"))
+    # Four tables of one row each.
+    return total.crossJoin(counts).crossJoin(better).crossJoin(parts).select("n_cells", "n_labelled", "better_moves", (F.col("parts") - F.col("n")).alias("parted"))

@@ -116,7 +116,7 @@ def type_coercion(t: Inputs):
 
 @query(
     "count_expansion",
-    "SELECT gene, CAST(sum(c) AS BIGINT) AS n FROM (SELECT gene, CAST(fov * 20 - 30 AS BIGINT) AS c FROM transcripts) WHERE c > 0 AND c <= 100 GROUP BY gene",
+    "SELECT gene, CAST(sum(c) AS BIGINT) AS n FROM (SELECT gene, CAST(fov * 20 - 30 AS BIGINT) AS c FROM transcripts) WHERE c > 0 GROUP BY gene",
 )
 def count_expansion(t: Inputs):
     counted = t.transcripts().withColumn("count", F.col("fov") * 20 - 30)
@@ -126,10 +126,10 @@ def count_expansion(t: Inputs):
 @query(
     "first_cells",
     """SELECT row_id, cell_id, gene FROM transcripts WHERE cell_id IN
-    (SELECT cell_id FROM transcripts WHERE cell_id IS NOT NULL GROUP BY cell_id ORDER BY min(row_id) LIMIT 50)""",
+    (SELECT cell_id FROM transcripts WHERE cell_id IS NOT NULL GROUP BY cell_id ORDER BY min(row_id) LIMIT 1000)""",
 )
 def first_cells(t: Inputs):
-    return src.first_cells(t.numbered(), 50).select("row_id", "cell_id", "gene")
+    return src.first_cells(t.numbered()).select("row_id", "cell_id", "gene")
 
 
 @query(

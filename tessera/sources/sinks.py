@@ -59,10 +59,15 @@ def boundary_export(boundaries: DataFrame) -> DataFrame:
     )
 
 
-def as_map(counts: DataFrame, key: str = "value", n: str = "n", most: int = 10000) -> DataFrame:
-    """Counts as one row holding a map.  For label counts; the number of labels is checked."""
-    if counts.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} labels for one report field")
+def one_row(df: DataFrame, name: str) -> DataFrame:
+    """``df`` if it has one row."""
+    if len(df.select(F.lit(1)).limit(2).collect()) != 1:
+        raise ValueError(f"'{name}' must have one row")
+    return df
+
+
+def as_map(counts: DataFrame, key: str = "value", n: str = "n") -> DataFrame:
+    """Counts as one row holding a map, which is as long as there are keys: for counts of labels in a report."""
     return counts.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, n)))).alias("counts"))
 
 
@@ -70,7 +75,7 @@ def report(sections: dict[str, DataFrame]) -> DataFrame:
     """One row with a struct per section; every section is a one-row table."""
     whole = None
     for name, df in sections.items():
-        one = df.select(F.struct(*df.columns).alias(name))
+        one = one_row(df, name).select(F.struct(*df.columns).alias(name))
         whole = one if whole is None else whole.join(F.broadcast(one), F.lit(True))
     return whole
 
@@ -84,7 +89,7 @@ def results_summary(platform: str, layers: dict[str, list[str]], totals: DataFra
     """Layers of a result with cell and gene totals and the counts of each labelling."""
     spark = totals.sparkSession
     head = spark.createDataFrame([(platform, *layers.values())], "platform string, " + ", ".join(f"{k} array<string>" for k in layers))
-    whole = head.join(F.broadcast(totals), F.lit(True))
+    whole = head.join(F.broadcast(one_row(totals, "totals")), F.lit(True))
     for name, counts in labels.items():
         whole = whole.join(F.broadcast(as_map(counts).withColumnRenamed("counts", name)), F.lit(True))
     return whole

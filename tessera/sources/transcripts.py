@@ -207,11 +207,21 @@ def ingest(spark: SparkSession, path: str, platform: str | None = None, cell_id_
     return check_points(points, platform).withColumn("row_id", F.monotonically_increasing_id())
 
 
-def expand_counts(df: DataFrame, count: str = "count", largest: int = 100) -> DataFrame:
-    """One row of count 1 per counted molecule, for counts in (0, largest]."""
+def split_counts(df: DataFrame, largest: int, count: str = "count") -> tuple[DataFrame, DataFrame]:
+    """Rows whose count is at most ``largest``, and those that are above it."""
+    above = F.coalesce(F.col(count).try_cast("double") > largest, F.lit(False))
+    return df.filter(~above), df.filter(above)
+
+
+def expand_counts(df: DataFrame, count: str = "count") -> DataFrame:
+    """One row of count 1 per counted molecule; counts below 1 and what is no number give none.
+
+    Every count is expanded.  ``split_counts`` takes rows of unlikely counts
+    aside where they are to be looked at first.
+    """
     n = F.col(count).try_cast("double").cast("bigint")
     return (
-        df.filter((n > 0) & (n <= largest))
+        df.filter(n > 0)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), n)))
         .drop("__copy")
         .withColumn(count, F.lit(1).cast("bigint"))

@@ -34,3 +34,51 @@ def test_graph_metrics(spark):
     edges, vertices = _two_cliques(spark)
     m = gr.graph_metrics(edges, vertices).first()
     assert (m["n_nodes"], m["n_edges"], m["connected_components"], m["median_degree"]) == (13, 31, 2, 5.0)
+
+
+def _both_ways(spark, edges):
+    return spark.createDataFrame(edges + [(b, a) for a, b in edges], "src bigint, dst bigint").withColumn("w", F.lit(1.0))
+
+
+def _improving(edges, label):
+    """Vertices that one move would better, by the definition of modularity."""
+    around, m2 = {}, len(edges)
+    for a, b in edges:
+        around.setdefault(a, []).append(b)
+    tot = {}
+    for v, near in around.items():
+        tot[label[v]] = tot.get(label[v], 0) + len(near)
+
+    def worth(v, c):
+        rest = tot[c] - len(around[v]) * (label[v] == c)
+        return sum(label[u] == c for u in around[v]) - len(around[v]) * rest / m2
+
+    return [v for v in around if any(worth(v, label[u]) > worth(v, label[v]) + 1e-9 for u in around[v])]
+
+
+def test_communities_of_a_grid_are_as_good_as_its_quarters(spark):
+    n = 10
+    edges = [(i * n + j, i * n + j + 1) for i in range(n) for j in range(n - 1)] + [(i * n + j, i * n + n + j) for i in range(n - 1) for j in range(n)]
+    graph = _both_ways(spark, edges)
+    found = gr.communities(graph, spark.range(n * n))
+    label = {r["id"]: r["label"] for r in found.collect()}
+    assert len(label) == n * n
+    assert gr.modularity(graph, found) >= 0.63
+    assert _improving(edges + [(b, a) for a, b in edges], label) == []
+
+
+def test_communities_of_a_ring_of_cliques_are_the_cliques(spark):
+    k, m = 6, 5
+    edges = [(c * m + i, c * m + j) for c in range(k) for i in range(m) for j in range(i)] + [(c * m, (c + 1) % k * m + 1) for c in range(k)]
+    label = {r["id"]: r["label"] for r in gr.communities(_both_ways(spark, edges), spark.range(k * m + 1)).collect()}
+    assert len(set(label.values())) == k + 1
+    assert all(len({label[c * m + i] for i in range(m)}) == 1 for c in range(k))
+
+
+def test_communities_of_a_star_and_of_groups(spark):
+    """A hub that many wish to join is one community, and groups do not meet."""
+    star = [(0, i) for i in range(1, 60)]
+    graph = _both_ways(spark, star + [(100 + a, 100 + b) for a, b in star])
+    vertices = spark.range(60).union(spark.range(100, 160)).withColumn("g", F.floor(F.col("id") / 100))
+    label = {r["id"]: r["label"] for r in gr.communities(graph, vertices, group="g").collect()}
+    assert len({label[i] for i in range(60)}) == 1 and len({label[100 + i] for i in range(60)}) == 1 and label[0] != label[100]

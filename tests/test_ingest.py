@@ -67,3 +67,13 @@ def test_distribution_fractions(spark):
     df = spark.createDataFrame([(v,) for v in "aabccc"], "v string")
     got = {r["value"]: r["fraction"] for r in tr.fractions(df, "v").collect()}
     assert got == pytest.approx({"a": 2 / 6, "b": 1 / 6, "c": 3 / 6})
+
+
+def test_every_count_is_expanded(spark):
+    from tessera.sources.transcripts import expand_counts, split_counts
+
+    df = spark.createDataFrame([("A", "3"), ("B", "250"), ("C", "0"), ("D", "-1"), ("E", "x"), ("F", None)], "gene string, count string")
+    got = expand_counts(df).groupBy("gene").count().collect()
+    assert {r["gene"]: r["count"] for r in got} == {"A": 3, "B": 250}
+    below, above = split_counts(df, 100)
+    assert [r.gene for r in above.collect()] == ["B"] and below.count() == 5

@@ -88,7 +88,7 @@ def test_enrichment_matches_all_relabellings(spark):
     labels = "aabbb"
     got = sp.neighbourhood_enrichment(
         spark.createDataFrame(both, "src bigint, dst bigint"),
-        spark.createDataFrame(list(enumerate(labels)), "cell_no bigint, cluster string"),
+        spark.createDataFrame(list(enumerate(labels)), "cell_no bigint, cluster string"), empty=True,
     ).toPandas().set_index(["a", "b"])
     for pair in (("a", "a"), ("a", "b"), ("b", "b")):
         counts = [sum((l[i], l[j]) == pair for i, j in both) for l in itertools.permutations(labels)]
@@ -126,7 +126,7 @@ def test_silhouette_in_blocks_and_degenerate(spark):
     b = np.array([d[i, own != own[i]].mean() for i in range(60)])
     assert ev.silhouette(df, "vector", "label", block=16).first()["value"] == pytest.approx(((b - a) / np.maximum(a, b)).mean())
     assert ev.silhouette(df.withColumn("label", F.lit("x")), "vector", "label").first()["value"] is None
-    assert ev.silhouette(df, "vector", "label", exact_rows=10).first()["metric"] == "silhouette_squared_euclidean"
+    assert ev.silhouette_squared(df.withColumn("label", F.lit("x")), "vector", "label").first()["value"] is None
 
 
 def test_components_recover_variance_and_sign(spark):
@@ -157,3 +157,11 @@ def test_changes(spark):
     rows = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id int, v string")
     changes = spark.createDataFrame([(1, None, "update"), (3, None, "delete"), (4, "d", "insert"), (9, "x", "update"), (2, "z", "insert")], "id int, v string, action string")
     assert sorted((r["id"], r["v"]) for r in apply_changes(rows, changes).fillna("-").collect()) == [(1, "-"), (2, "z"), (4, "d")]
+
+
+def test_morans_i_without_edges_is_null(spark):
+    values = spark.createDataFrame([(0, "A", 1.0), (1, "B", 2.0), (2, "A", 3.0)], "cell_no bigint, gene string, value double")
+    cells = spark.createDataFrame([(i,) for i in range(4)], "cell_no bigint")
+    none = spark.createDataFrame([], "src bigint, dst bigint, w double")
+    got = sp.morans_i(values, none, cells).collect()
+    assert sorted(r.gene for r in got) == ["A", "B"] and all(r.I is None and r.pval_norm is None for r in got)
