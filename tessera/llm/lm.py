@@ -27,7 +27,7 @@ CLASSES = 1 + FREQUENT + ENDINGS
 #: Features of a token, and hash buckets of each.
 FEATURES, BUCKETS = 4, 1 << 12
 #: Tokens of one gradient update, and its rate.
-UPDATE, RATE = 4096, 0.3
+UPDATE, RATE = 16384, 0.3
 #: Bytes of text of a block of documents, of a step, and for which there is a bucket of words.
 BLOCK_BYTES, STEP_BYTES, BUCKET_BYTES = 6 << 20, 4 << 20, 16 << 20
 
