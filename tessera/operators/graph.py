@@ -11,7 +11,7 @@ from tessera.runtime import cut, number_rows
 
 #: Gain in quality below which a move is not made.
 TOLERANCE = 1e-12
-#: Wishes for each move that touches no other from which moving half of them at once is tried.
+#: Wishes for each wished community from which moving half of them at once is tried.
 CROWD = 8
 
 
@@ -145,13 +145,14 @@ def _move(links: DataFrame, nodes: DataFrame, resolution: float) -> tuple[DataFr
     links = cut(links.join(state.select(F.col("id").alias("src"), "k", "two_m"), "src").select("src", "dst", "w", "k", "two_m"))
     while True:
         wishes = cut(_wishes(links, state, resolution))
-        alone = cut(_alone(wishes))
-        n = wishes.count()
+        n, targets = wishes.agg(F.count("*"), F.countDistinct("best")).first()
         if not n:
             return state, rounds
-        made, sure = alone.agg(F.count("*"), F.sum("gain")).first()
         rounds += 1
-        if n > CROWD * made:
+        alone = _alone(wishes).select("id", "best", "gain")
+        if n > CROWD * targets:
+            alone = cut(alone)
+            sure = alone.agg(F.sum("gain")).first()[0]
             half = wishes.filter(F.pmod(F.xxhash64("id", F.lit(rounds)), F.lit(2)) == 0).select("id", F.col("best").alias("half"))
             tried = cut(state.join(half, "id", "left").withColumn("half", F.coalesce("half", "label")))
             if _score(links, tried, "half", resolution) - _score(links, tried, "label", resolution) > sure:
