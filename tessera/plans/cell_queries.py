@@ -429,17 +429,50 @@ def evaluate_clustering(t: Inputs):
     return ev.evaluate_groups(t.cells(), "cluster", "cluster").withColumn("largest_cluster_fraction", r6("largest_cluster_fraction", 9))
 
 
-@query(
-    "adjusted_rand_index",
-    """WITH c AS (SELECT cluster AS a, spatial_domain AS b, count(*) AS n FROM cells GROUP BY 1, 2),
+_RAND = """WITH c AS (SELECT cluster AS a, spatial_domain AS b, count(*) AS n FROM cells GROUP BY 1, 2),
     s AS (SELECT (SELECT sum(n * (n - 1) / 2.0) FROM c) AS ij, (SELECT sum(k * (k - 1) / 2.0) FROM (SELECT sum(n) AS k FROM c GROUP BY a)) AS pa,
       (SELECT sum(k * (k - 1) / 2.0) FROM (SELECT sum(n) AS k FROM c GROUP BY b)) AS pb, (SELECT sum(n) * (sum(n) - 1) / 2.0 FROM c) AS t)
-    SELECT round((ij - pa * pb / t) / ((pa + pb) / 2 - pa * pb / t), 9) AS adjusted_rand_index FROM s""",
-)
+    SELECT round((ij - pa * pb / t) / ((pa + pb) / 2 - pa * pb / t), 9) AS adjusted_rand_index FROM s"""
+
+
+@query("adjusted_rand_index", _RAND)
 def adjusted_rand_index(t: Inputs):
     return ev.adjusted_rand(t.cells(), "cluster", "spatial_domain").withColumn("adjusted_rand_index", r6("adjusted_rand_index", 9))
 
 
+@query(
+    "evaluate_annotation",
+    """SELECT count(*) AS n_cell_types, round(max(n) / CAST(sum(n) AS DOUBLE), 9) AS largest_cell_type_fraction
+    FROM (SELECT 'Cluster_' || cluster AS cell_type, count(*) AS n FROM cells GROUP BY 1)""",
+)
+def evaluate_annotation(t: Inputs):
+    found = ev.evaluate_groups(ex.label_clusters(t.cells()), "cell_type", "cell_type")
+    return found.withColumn("largest_cell_type_fraction", r6("largest_cell_type_fraction", 9))
+
+
+@query(
+    "evaluate_spatial_domain",
+    f"""SELECT n_spatial_domains, largest_spatial_domain_fraction, adjusted_rand_index AS domain_cluster_ari FROM
+    (SELECT count(*) AS n_spatial_domains, round(max(n) / CAST(sum(n) AS DOUBLE), 9) AS largest_spatial_domain_fraction
+     FROM (SELECT spatial_domain, count(*) AS n FROM cells GROUP BY 1)), ({_RAND})""",
+)
+def evaluate_spatial_domain(t: Inputs):
+    """Domains, the share of the largest, and their agreement with the clusters."""
+    cells = t.cells()
+    agreement = ev.adjusted_rand(cells, "cluster", "spatial_domain").select(r6("adjusted_rand_index", 9).alias("domain_cluster_ari"))
+    # Two tables of one row.
+    return ev.evaluate_groups(cells, "spatial_domain", "spatial_domain").withColumn(
+        "largest_spatial_domain_fraction", r6("largest_spatial_domain_fraction", 9)
+    ).crossJoin(agreement)
+
+
+@query("minimum_cells", "SELECT n_obs_after_qc, n_obs_after_qc >= 2 AS enough FROM (SELECT count(*) AS n_obs_after_qc FROM (SELECT cell_id FROM counts GROUP BY 1 HAVING sum(n) >= 10 AND count(*) >= 5))")
+def minimum_cells(t: Inputs):
+    """Whether quality control leaves enough cells to analyse."""
+    kept = ce.qc_filter(ce.qc_per_cell(t.counts()).select("cell_id", F.col("total_counts").alias("n_transcripts"), F.col("n_genes_by_counts").alias("n_genes")), 10, 5)
+    return kept.agg(F.count("*").alias("n_obs_after_qc")).withColumn("enough", F.lit(ce.enough_cells(kept)))
+
+
 @query(
     "silhouette",
     """WITH e AS (SELECT cell_id, vector[1:10] AS v, label AS l FROM emb), n AS (SELECT l, count(*) AS n FROM e GROUP BY 1),

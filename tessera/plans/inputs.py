@@ -18,6 +18,11 @@ ORACLES: dict[str, str] = {}
 _KEPT: dict[tuple, DataFrame] = {}
 
 
+def forget() -> None:
+    """Drop the derived tables that queries of a session share, for timing each on its own."""
+    _KEPT.clear()
+
+
 def query(name: str, sql: str | None = None):
     """Register a query ``(Inputs) -> DataFrame`` and its SQL twin."""
 
