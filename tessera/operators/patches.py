@@ -241,12 +241,48 @@ def _hull_area(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series([_area_centroid(np.asarray(a), np.asarray(b))[0] if len(a) > 2 else 0.0 for a, b in zip(x, y)], dtype=float)
 
 
+def _candidates(boxes: DataFrame) -> DataFrame:
+    """Pairs ``src, dst`` of different patches whose boxes meet, each once.
+
+    An outline lies on the grid whose squares are its own size, rounded up to
+    a power of two, so in four squares at most; it looks for others on its own
+    grid and on all that are coarser.  A very large outline thus meets what it
+    covers, and adds no meetings among that.  A pair counts in the square that
+    holds the lower corner of the common box.
+    """
+    size = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.lit(2.0**-60))
+    own = boxes.select("id", "patch_col", "patch_row", "x1", "x2", "y1", "y2", F.ceil(F.log2(size)).cast("int").alias("level"))
+    # Sizes between the least and the largest double: no more than some hundred levels.
+    levels = [r[0] for r in own.select("level").distinct().collect()]
+
+    def placed(df: DataFrame, side: Column) -> DataFrame:
+        def squares(low: str, high: str) -> Column:
+            return F.explode(F.sequence(F.floor(F.col(low) / side), F.floor(F.col(high) / side)))
+
+        return df.withColumn("gx", squares("x1", "x2")).withColumn("gy", squares("y1", "y2"))
+
+    asking = own.withColumn("grid", F.explode(F.filter(F.array(*[F.lit(v) for v in levels]), lambda v: v >= F.col("level"))))
+    a = placed(asking, F.pow(F.lit(2.0), F.col("grid")))
+    b = placed(own.withColumn("grid", F.col("level")), F.pow(F.lit(2.0), F.col("grid")))
+    key = ["grid", "gx", "gy"]
+    rest = [c for c in own.columns]
+    met = a.select(*key, *[F.col(c).alias(f"{c}_a") for c in rest]).join(b.select(*key, *[F.col(c).alias(f"{c}_b") for c in rest]), key)
+    left, low = F.greatest("x1_a", "x1_b"), F.greatest("y1_a", "y1_b")
+    side = F.pow(F.lit(2.0), F.col("grid"))
+    return met.filter(
+        # On a common grid both ask.
+        ((F.col("level_a") < F.col("level_b")) | (F.col("id_a") < F.col("id_b")))
+        & ((F.col("patch_col_a") != F.col("patch_col_b")) | (F.col("patch_row_a") != F.col("patch_row_b")))
+        & (left <= F.least("x2_a", "x2_b")) & (low <= F.least("y2_a", "y2_b"))
+        & (F.floor(left / side) == F.col("gx")) & (F.floor(low / side) == F.col("gy"))
+    ).select(F.least("id_a", "id_b").alias("src"), F.greatest("id_a", "id_b").alias("dst"))
+
+
 def overlapping_cells(outlines: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Pairs of outlines of different patches whose overlap exceeds ``threshold`` of the smaller one.
 
-    ``outlines``: ``id, patch_col, patch_row, hull_x, hull_y``.  Candidates meet
-    on a grid sized by the outlines; a pair counts only in the grid square that
-    holds the lower corner of the common box.
+    ``outlines``: ``id, patch_col, patch_row, hull_x, hull_y``.  Ids and boxes
+    meet first; hulls join the pairs that are left.
     """
     boxes = cut(
         outlines.filter(F.size("hull_x") > 2).select(
@@ -256,27 +292,17 @@ def overlapping_cells(outlines: DataFrame, threshold: float = 0.5) -> DataFrame:
             _hull_area("hull_x", "hull_y").alias("area"),
         )
     )
-    side = boxes.agg(F.max(F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))).first()[0] or 1.0
-    s = F.lit(float(side))
-
-    def squares(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / s), F.floor(F.col(high) / s)))
-
-    grid = boxes.withColumn("gx", squares("x1", "x2")).withColumn("gy", squares("y1", "y2"))
-    a = grid.select("gx", "gy", *[F.col(c).alias(f"{c}_a") for c in boxes.columns])
-    b = grid.select("gx", "gy", *[F.col(c).alias(f"{c}_b") for c in boxes.columns])
-    left, low = F.greatest("x1_a", "x1_b"), F.greatest("y1_a", "y1_b")
-    pairs = a.join(b, ["gx", "gy"]).filter(
-        (F.col("id_a") < F.col("id_b"))
-        & ((F.col("patch_col_a") != F.col("patch_col_b")) | (F.col("patch_row_a") != F.col("patch_row_b")))
-        & (left <= F.least("x2_a", "x2_b")) & (low <= F.least("y2_a", "y2_b"))
-        & (F.floor(left / s) == F.col("gx")) & (F.floor(low / s) == F.col("gy"))
-    )
-    shared = pairs.withColumn("shared", _overlap_area("hull_x_a", "hull_y_a", "hull_x_b", "hull_y_b"))
-    smaller = F.least("area_a", "area_b")
-    return shared.filter((smaller > 0) & (F.col("shared") / smaller > threshold)).select(
-        F.col("id_a").alias("src"), F.col("id_b").alias("dst"), "shared", smaller.alias("smaller")
-    )
+    shape = ["hull_x", "hull_y", "area", "x1", "x2", "y1", "y2"]
+    pairs = _candidates(boxes)
+    for end in ("src", "dst"):
+        pairs = pairs.join(boxes.select(F.col("id").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in shape]), end)
+    smaller = F.least("area_src", "area_dst")
+    wide = F.least("x2_src", "x2_dst") - F.greatest("x1_src", "x1_dst")
+    high = F.least("y2_src", "y2_dst") - F.greatest("y1_src", "y1_dst")
+    # No more than the common box is shared.
+    hopeful = pairs.filter((smaller > 0) & (wide * high > F.lit(threshold) * smaller))
+    shared = hopeful.withColumn("shared", _overlap_area("hull_x_src", "hull_y_src", "hull_x_dst", "hull_y_dst"))
+    return shared.filter(F.col("shared") / smaller > threshold).select("src", "dst", "shared", smaller.alias("smaller"))
 
 
 def resolve_patch_cells(segmented: DataFrame, threshold: float = 0.5) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import patches as pt
 
@@ -50,3 +51,33 @@ def test_patch_needs_a_positive_stride(spark):
     with pytest.raises(ValueError):
         pt.assign_patches(df, 10.0, 10.0)
     assert pt.patched_segmentation(df).count() == 1
+
+
+def _squares(spark, cells):
+    """Outlines of axis-aligned squares ``(id, patch, x, y, side)``."""
+    rows = [(i, p, 0, [x, x + s, x + s, x], [y, y, y + s, y + s]) for i, p, x, y, s in cells]
+    return spark.createDataFrame(rows, "id string, patch_col bigint, patch_row bigint, hull_x array<double>, hull_y array<double>")
+
+
+def test_overlaps_of_squares_of_all_sizes(spark):
+    rng = np.random.default_rng(3)
+    cells = [(f"c{i:03d}", int(rng.integers(0, 3)), *rng.uniform(-20, 60, 2).tolist(), float(2.0 ** rng.uniform(-3, 6))) for i in range(150)]
+    want = set()
+    for i, a in enumerate(cells):
+        for b in cells[i + 1 :]:
+            w = min(a[2] + a[4], b[2] + b[4]) - max(a[2], b[2])
+            h = min(a[3] + a[4], b[3] + b[4]) - max(a[3], b[3])
+            if a[1] != b[1] and w > 0 and h > 0 and w * h / min(a[4], b[4]) ** 2 > 0.5:
+                want.add((a[0], b[0]))
+    got = [(r.src, r.dst) for r in pt.overlapping_cells(_squares(spark, cells)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
+
+
+def test_a_slide_wide_outline_adds_its_own_pairs_alone(spark):
+    cells = [(f"c{i:04d}", i % 2, float(i % 40 * 2), float(i // 40 * 2), 1.0) for i in range(1200)]
+    boxes = lambda some: _squares(spark, some).select(
+        "id", "patch_col", "patch_row", F.array_min("hull_x").alias("x1"), F.array_max("hull_x").alias("x2"),
+        F.array_min("hull_y").alias("y1"), F.array_max("hull_y").alias("y2"),
+    )
+    assert pt._candidates(boxes(cells)).count() == 0
+    assert pt._candidates(boxes([*cells, ("all", 7, -5.0, -5.0, 100.0)])).count() == 1200
