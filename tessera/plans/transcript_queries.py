@@ -339,6 +339,29 @@ def overlapping_cells_resolved(t: Inputs):
     return mapping.join(merged.select("resolved_id", "n_points"), "resolved_id")
 
 
+@query(
+    "overlapping_boxes",
+    _GRID
+    + """, o AS (SELECT 'P' || patch_col || 'x' || patch_row || '_' || cell_id AS id, patch_col, patch_row, min(x) AS x1, max(x) AS x2, min(y) AS y1, max(y) AS y2
+      FROM p WHERE cell_id IS NOT NULL GROUP BY patch_col, patch_row, cell_id HAVING min(x) < max(x) AND min(y) < max(y)),
+    m AS (SELECT a.id AS src, b.id AS dst, (least(a.x2, b.x2) - greatest(a.x1, b.x1)) * (least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS shared,
+      least((a.x2 - a.x1) * (a.y2 - a.y1), (b.x2 - b.x1) * (b.y2 - b.y1)) AS smaller
+      FROM o a JOIN o b ON a.id < b.id AND (a.patch_col <> b.patch_col OR a.patch_row <> b.patch_row) AND a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2 AND b.y1 < a.y2)
+    SELECT src, dst, round(shared, 6) AS shared, round(smaller, 6) AS smaller FROM m WHERE shared > 0.5 * smaller""",
+)
+def overlapping_boxes(t: Inputs):
+    """Boxes around the cells of each patch that cover each other by more than half of the smaller one."""
+    named = patches.patched_segmentation(t.transcripts(), keep_patch=True).filter("cell_id is not null")
+    boxes = named.groupBy(F.col("cell_id").alias("id"), "patch_col", "patch_row").agg(
+        *[f(c).alias(f"{n}_{c}") for c in ("x", "y") for n, f in (("low", F.min), ("high", F.max))]
+    ).filter("low_x < high_x and low_y < high_y")
+    corners = boxes.select(
+        "id", "patch_col", "patch_row", F.array("low_x", "high_x", "high_x", "low_x").alias("hull_x"),
+        F.array("low_y", "low_y", "high_y", "high_y").alias("hull_y"),
+    )
+    return patches.overlapping_cells(corners).select("src", "dst", r6("shared").alias("shared"), r6("smaller").alias("smaller"))
+
+
 @query("union_of_patches", _GRID + "SELECT patch_col, count(*) AS n FROM p GROUP BY 1")
 def union_of_patches(t: Inputs):
     patched = patches.assign_patches(t.transcripts())
