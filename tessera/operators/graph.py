@@ -11,8 +11,6 @@ from tessera.runtime import cut, number_rows
 
 #: Gain in quality below which a move is not made.
 TOLERANCE = 1e-12
-#: Wishes for each wished community from which moving half of them at once is tried.
-CROWD = 8
 
 
 def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -91,7 +89,7 @@ def modularity(edges: DataFrame, labels: DataFrame, resolution: float = 1.0) ->
 
 
 def _wishes(links: DataFrame, state: DataFrame, resolution: float) -> DataFrame:
-    """``id, now, best, gain``: nodes that gain by a move, the best one (ties: smallest label) and its gain in quality."""
+    """``id, now, best, gain, rank``: nodes that gain by a move, the best one (ties: smallest label) and its gain in quality."""
     tot = state.groupBy("label").agg(F.sum("k").alias("tot"))
     placed = state.join(tot, "label")
     near = links.join(placed.select(F.col("id").alias("dst"), "label", "tot"), "dst").select(
@@ -108,57 +106,69 @@ def _wishes(links: DataFrame, state: DataFrame, resolution: float) -> DataFrame:
         F.max("gain").alias("most"),
         F.max(F.when(F.col("own"), F.col("gain"))).alias("stay"),
         F.max(F.when(F.col("own"), F.col("label"))).alias("now"),
+        F.max("k").alias("k"),
+        F.max("two_m").alias("two_m"),
     )
     better = F.col("most") > F.col("stay") + TOLERANCE
-    return chosen.filter(better).select("id", "now", "best", (F.col("most") - F.col("stay")).alias("gain"))
+    # Ties go by a hash, so that not all of them wait for the smallest id.
+    return chosen.filter(better).select(
+        "id", "now", "best", "k", "two_m", (F.col("most") - F.col("stay")).alias("gain"),
+        F.struct((F.col("most") - F.col("stay")).alias("gain"), F.xxhash64("id").alias("tie"), "id").alias("rank"),
+    )
+
+
+def _apart(links: DataFrame, wishes: DataFrame) -> DataFrame:
+    """The wishes that no neighbour's wish outranks: no two of them are neighbours."""
+    theirs = wishes.select(F.col("id").alias("dst"), F.col("rank").alias("other"))
+    best = links.select("src", "dst").join(theirs, "dst").groupBy(F.col("src").alias("id")).agg(F.max("other").alias("other"))
+    return wishes.join(best, "id", "left").filter(F.col("other").isNull() | (F.col("rank") > F.col("other"))).drop("other")
 
 
 def _alone(wishes: DataFrame) -> DataFrame:
     """The wishes that are the best of both communities they touch: their gains add up exactly."""
     touched = wishes.select("*", F.explode(F.array("now", "best")).alias("label"))
-    # Ties go by a hash, so that not all of them wait for the smallest id.
-    first = touched.groupBy("label").agg(F.max(F.struct("gain", F.xxhash64("id"), "id")).getField("id").alias("holder"))
-    held = touched.join(first, "label").filter("holder = id")
-    return held.groupBy("id", "best", "gain").agg(F.count("*").alias("n")).filter("n = 2").select("id", "best", "gain")
+    first = touched.groupBy("label").agg(F.max("rank").alias("first"))
+    held = touched.join(first, "label").filter("rank = first")
+    return held.groupBy("id", "best").agg(F.count("*").alias("n")).filter("n = 2").select("id", "best")
 
 
-def _score(links: DataFrame, state: DataFrame, label: str, resolution: float) -> float:
-    """Quality of ``label`` but for the nodes' own loops, which no label changes."""
-    lab = state.select("id", F.col(label).alias("a"))
-    within = links.join(lab.select(F.col("id").alias("src"), "a"), "src").join(
-        lab.select(F.col("id").alias("dst"), F.col("a").alias("b")), "dst"
-    ).filter("a = b").agg(F.sum(F.col("w") / F.col("two_m")).alias("q"))
-    share = F.sum(F.col("k") / F.col("two_m"))
-    spread = state.groupBy(label).agg(share.alias("s")).agg((-F.lit(float(resolution)) * F.sum(F.col("s") * F.col("s"))).alias("q"))
-    return within.unionByName(spread).agg(F.sum("q")).first()[0] or 0.0
+def _gain(moves: DataFrame, resolution: float) -> tuple[int, float, float]:
+    """Number of moves of nodes that are no neighbours, the sum of their gains alone, and their gain together.
+
+    The two differ by what communities gain or lose in total strength at once.
+    """
+    ends = moves.select(
+        F.explode(F.array(F.struct(F.col("best").alias("label"), F.col("k").alias("net")), F.struct(F.col("now").alias("label"), (-F.col("k")).alias("net")))).alias("e"),
+        "k", "two_m", "gain",
+    )
+    each = ends.groupBy("e.label").agg(
+        F.count("*").alias("n"), F.sum("gain").alias("gain"), F.sum("e.net").alias("net"), F.sum(F.col("k") * F.col("k")).alias("square"), F.max("two_m").alias("two_m")
+    )
+    row = each.agg(F.sum("n"), F.sum("gain"), F.sum((F.col("net") * F.col("net") - F.col("square")) / (F.col("two_m") * F.col("two_m")))).first()
+    if not row[0]:
+        return 0, 0.0, 0.0
+    return row[0] // 2, row[1] / 2, row[1] / 2 - resolution * row[2]
 
 
 def _move(links: DataFrame, nodes: DataFrame, resolution: float) -> tuple[DataFrame, int]:
     """Move nodes (with a ``label``) until none gains by a move alone; their state and the number of rounds.
 
-    In a round the moves are made that touch no community twice, so the
-    quality rises by the sum of their gains and the rounds end.  If many wish
-    to move to few communities, all moves of a hash half are tried as well,
-    and made if that raises the quality more.
+    In a round all nodes move that no neighbour outranks, if together they
+    gain at least half of what they gain alone; else those that touch no
+    community twice, whose gains add up.  So each round raises the quality,
+    and the rounds end.
     """
     state, rounds = cut(nodes), 0
     links = cut(links.join(state.select(F.col("id").alias("src"), "k", "two_m"), "src").select("src", "dst", "w", "k", "two_m"))
     while True:
-        wishes = cut(_wishes(links, state, resolution))
-        n, targets = wishes.agg(F.count("*"), F.countDistinct("best")).first()
+        wishes = _wishes(links, state, resolution)
+        moves = cut(_apart(links, wishes))
+        n, alone, together = _gain(moves, resolution)
         if not n:
             return state, rounds
         rounds += 1
-        alone = _alone(wishes).select("id", "best", "gain")
-        if n > CROWD * targets:
-            alone = cut(alone)
-            sure = alone.agg(F.sum("gain")).first()[0]
-            half = wishes.filter(F.pmod(F.xxhash64("id", F.lit(rounds)), F.lit(2)) == 0).select("id", F.col("best").alias("half"))
-            tried = cut(state.join(half, "id", "left").withColumn("half", F.coalesce("half", "label")))
-            if _score(links, tried, "half", resolution) - _score(links, tried, "label", resolution) > sure:
-                state = cut(tried.select("id", "k", "two_m", "loop", F.col("half").alias("label")))
-                continue
-        moved = state.join(alone.select("id", "best"), "id", "left")
+        made = moves.select("id", "best") if 2 * together >= alone else _alone(wishes)
+        moved = state.join(made, "id", "left")
         state = cut(moved.select("id", "k", "two_m", "loop", F.coalesce("best", "label").alias("label")))
 
 

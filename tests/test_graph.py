@@ -56,29 +56,25 @@ def _improving(edges, label):
     return [v for v in around if any(worth(v, label[u]) > worth(v, label[v]) + 1e-9 for u in around[v])]
 
 
-def test_communities_of_a_grid_are_as_good_as_its_quarters(spark):
-    n = 10
-    edges = [(i * n + j, i * n + j + 1) for i in range(n) for j in range(n - 1)] + [(i * n + j, i * n + n + j) for i in range(n - 1) for j in range(n)]
-    graph = _both_ways(spark, edges)
-    found = gr.communities(graph, spark.range(n * n))
-    label = {r["id"]: r["label"] for r in found.collect()}
-    assert len(label) == n * n
-    assert gr.modularity(graph, found) >= 0.63
-    assert _improving(edges + [(b, a) for a, b in edges], label) == []
-
-
-def test_communities_of_a_ring_of_cliques_are_the_cliques(spark):
-    k, m = 6, 5
-    edges = [(c * m + i, c * m + j) for c in range(k) for i in range(m) for j in range(i)] + [(c * m, (c + 1) % k * m + 1) for c in range(k)]
-    label = {r["id"]: r["label"] for r in gr.communities(_both_ways(spark, edges), spark.range(k * m + 1)).collect()}
-    assert len(set(label.values())) == k + 1
-    assert all(len({label[c * m + i] for i in range(m)}) == 1 for c in range(k))
-
-
-def test_communities_of_a_star_and_of_groups(spark):
-    """A hub that many wish to join is one community, and groups do not meet."""
-    star = [(0, i) for i in range(1, 60)]
-    graph = _both_ways(spark, star + [(100 + a, 100 + b) for a, b in star])
-    vertices = spark.range(60).union(spark.range(100, 160)).withColumn("g", F.floor(F.col("id") / 100))
-    label = {r["id"]: r["label"] for r in gr.communities(graph, vertices, group="g").collect()}
-    assert len({label[i] for i in range(60)}) == 1 and len({label[100 + i] for i in range(60)}) == 1 and label[0] != label[100]
+def test_communities_of_known_graphs(spark):
+    """Four graphs as groups of one call: a grid, a ring of cliques, a star, and a vertex alone."""
+    n, k, m = 4, 3, 4
+    grid = [(i * n + j, i * n + j + 1) for i in range(n) for j in range(n - 1)] + [(i * n + j, i * n + n + j) for i in range(n - 1) for j in range(n)]
+    ring = [(c * m + i, c * m + j) for c in range(k) for i in range(m) for j in range(i)] + [(c * m, (c + 1) % k * m + 1) for c in range(k)]
+    star = [(0, i) for i in range(1, 12)]
+    graphs = [grid, ring, star, []]
+    edges = [(1000 * g + a, 1000 * g + b) for g, own in enumerate(graphs) for a, b in own]
+    vertices = sorted({v for e in edges for v in e} | {3000})
+    named = spark.createDataFrame([(v, v // 1000) for v in vertices], "id bigint, g bigint")
+    rows = gr.communities(_both_ways(spark, edges), named, group="g").collect()
+    label = {r["id"]: r["label"] for r in rows}
+    assert len(rows) == len(label) == len(vertices)
+    # The quarters of the grid, with 16 of 24 edges inside, have 0.417.
+    both = [(a, b) for e in grid for a, b in (e, e[::-1])]
+    tot = {}
+    for a, _ in both:
+        tot[label[a]] = tot.get(label[a], 0) + 1
+    assert sum(label[a] == label[b] for a, b in both) / len(both) - sum((t / len(both)) ** 2 for t in tot.values()) >= 0.4
+    assert _improving(both, label) == []
+    assert all(len({label[1000 + c * m + i] for i in range(m)}) == 1 for c in range(k)) and len({label[1000 + v] for v in range(k * m)}) == k
+    assert len({label[2000 + v] for v in range(12)}) == 1
