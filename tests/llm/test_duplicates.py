@@ -166,6 +166,43 @@ def test_similar_groups_hold_by_shingles(spark, odd):
     assert pair == {3: 3, 5: 3, 9: 9}
 
 
+def shingles(text, width=5):
+    w = words((text or "").translate(LOWER))
+    return {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} - {()}
+
+
+def grouped(rows):
+    """The smallest id that links of all pairs reach, by brute force."""
+    sets = [shingles(t) for _, t in rows]
+    part = {i: i for i, _ in rows}
+    for a, (i, _) in enumerate(rows):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both) and part[i] != part[rows[b][0]]:
+                old, new = sorted((part[i], part[rows[b][0]]), reverse=True)
+                part = {k: new if v == old else v for k, v in part.items()}
+    return part
+
+
+def edited(rng, text, share):
+    own = list(text)
+    for k in rng.sample(range(len(own)), int(share * len(own))):
+        own[k] = f"e{rng.randrange(10**6)}"
+    return own
+
+
+def test_similar_groups_are_those_of_all_pairs(spark):
+    """Edited copies with an index from 0.75 up, whose fingerprints differ by many bits."""
+    rng = random.Random(21)
+    rows = []
+    for i in range(60):
+        text = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(20, 200))]
+        rows += [(4 * i + k, " ".join(edited(rng, text, rng.choice([0, 0.005, 0.01, 0.02, 0.03])))) for k in range(3)]
+    want = grouped(rows)
+    assert 40 < len(rows) - len(set(want.values())) < 120
+    assert {r.doc_id: r.component_id for r in similar_groups(frame(spark, rows)).collect()} == want
+
+
 def distance(item, text):
     """The least edits between the item and any passage of the text."""
     row = [0] * (len(text) + 1)
