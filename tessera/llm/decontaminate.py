@@ -11,6 +11,7 @@ equal an item's are candidates, and the exact edit distance decides.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.batches import flat, mixed, steps, word_hashes
 
-#: Steps of a walk and samples of it (fewer for items of fewer words).
+#: Steps of a walk and samples of it (fewer for items of fewer words, see ``lengths``).
 STEPS, SAMPLES = 12, 4
 #: Repetitions at most; 64 give a recall of over 0.99 at one edit in four words.
 MOST = 64
@@ -97,12 +98,19 @@ class Items:
         self.sizes = np.array([len(x) for x in self.items], np.int64)
         self.budgets = np.floor(self.sizes * rate).astype(np.int64)
         self.kinds = []
-        for length in sorted({min(STEPS, n) for n in self.sizes.tolist()}):
-            which = np.flatnonzero(np.minimum(self.sizes, STEPS) == length)
+        lengths = self.lengths()
+        # Short items of other budgets are simulated alone, so that easy ones do not hide what others lose.
+        budgets = np.where(lengths < STEPS, self.budgets, -1)
+        for length, budget in sorted(set(zip(lengths.tolist(), budgets.tolist()))):
+            which = np.flatnonzero((lengths == length) & (budgets == budget))
             walks = Walks(len(self.words) + 1, length, MOST, seed)
             n = self.repetitions(walks, which, recall, seed)
             self.kinds.append((walks, n, which, [self.table(walks, which, r) for r in range(n)]))
 
+    def lengths(self) -> np.ndarray:
+        """Steps of each item's walks: of more starts than edits are allowed, so that no edited words are in the way of all."""
+        return np.where(self.sizes - STEPS >= self.budgets, STEPS, np.maximum(self.sizes - 2 * self.budgets, 1))
+
     def table(self, walks: Walks, which: np.ndarray, r: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
         """Known keys after each sample; the items (and their starts) in the order of their last key."""
         starts = np.array([walks.start(int(n), r) for n in self.sizes[which]], np.int64)
@@ -113,13 +121,13 @@ class Items:
         return [np.unique(k) for k in keys], keys[-1][order], which[order], starts[order]
 
     def repetitions(self, walks: Walks, which: np.ndarray, recall: float, seed: int) -> int:
-        """Repetitions that find ``recall`` of items edited at random as much as is allowed (of 400 copies at most)."""
+        """Repetitions that find ``recall`` of items edited at random as much as is allowed (of 400 copies or a few more)."""
         rng = np.random.default_rng(seed)
         met = np.zeros(MOST, np.int64)
         some = which[np.linspace(0, len(which) - 1, min(len(which), 100)).astype(int)]
         tries = 0
         for i in some:
-            for _ in range(4):
+            for _ in range(-(-400 // len(some))):
                 item, copy, at = self.items[i], [], []
                 left = rng.choice(len(item), min(int(self.budgets[i]), len(item)), replace=False)
                 kinds = dict(zip(left.tolist(), rng.integers(0, 3, len(left)).tolist()))
@@ -139,7 +147,10 @@ class Items:
                         met[r] += 1
                         break
         reached = np.cumsum(met) >= recall * tries
-        return int(np.argmax(reached)) + 1 if reached.any() else MOST
+        if not reached.any():
+            warnings.warn(f"{MOST} repetitions find {met.sum() / tries:.3f} of passages of items of {self.sizes[which].min()} to {self.sizes[which].max()} words, not {recall}")
+            return MOST
+        return int(np.argmax(reached)) + 1
 
     def candidates(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Items and the places of their first words that equal keys suggest; each once."""

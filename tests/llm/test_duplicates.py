@@ -249,6 +249,20 @@ def test_leaks_are_exact_and_found(spark, monkeypatch):
     assert leaks(frame(spark, []), texts).count() == 0
 
 
+def test_short_leaks_without_their_first_word(spark):
+    """Copies of short items whose first words are edited as much as is allowed."""
+    rng = random.Random(23)
+    items = {i: [f"w{rng.randrange(2000)}" for _ in range(5 + i % 9)] for i in range(90)}
+    docs = []
+    for i, own in items.items():
+        budget = len(own) // 5
+        for k, copy in enumerate((own[budget:], ["new"] * budget + own[budget:], ["new"] * budget + own)):
+            docs.append((3 * i + k, " ".join(["before"] * 20 + copy + ["after"] * 20)))
+    texts = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks(frame(spark, docs), texts).collect()}
+    assert sum((d, d // 3) in got for d, _ in docs) >= 0.98 * len(docs)
+
+
 def test_empty_tables(spark, none):
     for operator in (exact_groups, remove_repeats, simhash_groups, similar_groups):
         assert operator(none).count() == 0
