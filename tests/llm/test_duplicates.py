@@ -203,6 +203,29 @@ def test_similar_groups_are_those_of_all_pairs(spark):
     assert {r.doc_id: r.component_id for r in similar_groups(frame(spark, rows)).collect()} == want
 
 
+def test_rows_that_meet_are_all_verified(spark, monkeypatch):
+    """Texts of one fingerprint or template whose smallest id is another text, and keys of more rows than a block."""
+    monkeypatch.setattr(simhash, "TILE", 8)
+    monkeypatch.setattr(simhash, "FEW", 3)
+    monkeypatch.setattr(simhash, "ROUNDS", (0, 1, 2, 1 << 62))
+    rng = random.Random(22)
+    draw = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, template = draw(5) * 300, draw(120)  # of an odd number of shingles, so that no bit is even
+    own = draw(150)
+    rows = [(1, line + draw(150)), (2, line + own), (3, line + own[:-1] + ["other"])]
+    prints = {r.fingerprint for r in simhash.fingerprints(frame(spark, [(i, " ".join(t)) for i, t in rows])).collect()}
+    assert len(prints) == 1
+    for i in range(40):  # pairs of like texts among texts that are half alike
+        tail = draw(100) if i % 2 == 0 else tail[:-1] + ["other"]
+        rows.append((100 - i, template + tail))
+    rows += [(200 + i, edited(rng, template, 0.02)) for i in range(30)]
+    rng.shuffle(rows)
+    rows = [(i, " ".join(t)) for i, t in rows]
+    want = grouped(rows)
+    assert want[1] == 1 and want[3] == 2 and want[100] == 99
+    assert {r.doc_id: r.component_id for r in similar_groups(frame(spark, rows)).collect()} == want
+
+
 def distance(item, text):
     """The least edits between the item and any passage of the text."""
     row = [0] * (len(text) + 1)
