@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text that one step of a batch function looks at; a single longer text is a step of its own.
 STEP_BYTES = 2 << 20
@@ -17,10 +18,16 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-#: One random number for each byte, and the odd base of the running byte hash.
+#: One random number for each byte, and the odd base of the running byte hash (counts letters' runs; it tells no words apart).
 _NUMBERS = np.random.default_rng(20240607).integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
+#: Two odd factors and a seed for each of the two word hashes.
+_MIXERS = np.random.default_rng(20241130).integers(1, 2**63, (2, 3), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Masks of the first k of eight bytes, and the bytes of a word that numpy hashes.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+LONG = 64
+
 
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of ``column``, so that memory does not follow the row count."""
@@ -128,10 +135,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of each word; ``which`` picks one of two independent hashes."""
-    sums, down = running(data, which)
-    own = (sums[ends] - sums[starts]) * down[starts]
-    return mixed(own + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+    """A 64-bit hash of each word; ``which`` picks one of two hashes without a common structure.
+
+    Eight bytes are taken in at a time, each between two mixings of all bits,
+    so that no sum of powers can cancel; words of up to eight bytes and one
+    length never collide.  The rest of a word of over ``LONG`` bytes is
+    hashed by XXH64.
+    """
+    odd, more, seed = _MIXERS[which]
+    sizes = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    # The eight bytes from every place on.
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    found = mixed(sizes.astype(np.uint64) * odd + seed)
+    found = mixed(found ^ (eight[starts] & _FIRST[np.minimum(sizes, 8)]) * odd)
+    at, left = 8, np.flatnonzero(sizes > 8)
+    while len(left) and at < LONG:
+        rest = sizes[left] - at
+        found[left] = mixed(found[left] * more ^ (eight[starts[left] + at] & _FIRST[np.minimum(rest, 8)]) * odd)
+        at, left = at + 8, left[rest > 8]
+    for i in left.tolist():
+        found[i] = mixed(found[i : i + 1] * more ^ np.uint64(xxhash.xxh64_intdigest(data[starts[i] + at : ends[i]].tobytes(), int(seed))))[0]
+    return found
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
