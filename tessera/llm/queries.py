@@ -123,3 +123,60 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.lm import lm_scores
 
     return lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    from tessera.llm.negatives import hard_negatives
+
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_hard_negatives"] = r"""
+WITH t AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM t a JOIN t b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS place FROM s WHERE same),
+n AS (SELECT p.anchor_id, positive_id, positive_score, s.other AS negative_id, s.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other) AS INTEGER) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+                   AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+      WHERE place <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@query
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The set size and the near-duplicate class of every document."""
+    from tessera.llm.minhash import minhash_groups
+
+    return minhash_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_minhash"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                 '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+r AS (SELECT doc_id AS d, doc_id AS m FROM documents UNION SELECT r.d, e.b FROM r JOIN e ON e.a = r.m),
+c AS (SELECT d, min(m) AS component_id FROM r GROUP BY d)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN c ON d = doc_id
+"""
+
+
+@query
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and the repaired text of every conversation, after damage."""
+    from tessera.llm.conversations import damaged, repaired
+
+    return repaired(damaged(table(spark, sf_dir, "conversations")))
