@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.batches import mixed, steps
-from tessera.llm.verified import class_of, links, set_name, shingle_sets
+from tessera.llm.verified import Once, class_of, links, set_name, shingle_sets
 from tessera.runtime import cut
 
 #: Bands, minima of each, and minima of a batch of verification.
@@ -80,6 +80,19 @@ def least_matches(similarity: float, miss: float, total: int = BANDS * ROWS, bat
     return [(n, next(m for m in range(n + 1) if reached(m, n) >= miss)) for n in range(batch, total + 1, batch)]
 
 
+class FirstBand(Once):
+    """A pair is compared where the first band that it shares is the key's."""
+
+    def prepare(self, sketch: np.ndarray) -> np.ndarray:
+        """The bands that all rows of the tile share; the key's own is one of them."""
+        bands = sketch.reshape(len(sketch), BANDS, ROWS)
+        return (bands == bands[0]).all(2).all(0)
+
+    def here(self, one: np.ndarray, others: np.ndarray, about: np.ndarray) -> np.ndarray:
+        same = (others.reshape(len(others), BANDS, ROWS) == one.reshape(BANDS, ROWS)).all(2)
+        return about[same.argmax(1)]
+
+
 def minhash_groups(
     docs: DataFrame, id: str = "doc_id", text: str = "text", words_each: int = 5, percent: int = 85, miss: float = 1e-9
 ) -> DataFrame:
@@ -148,7 +161,7 @@ def minhash_groups(
         return some.mapInArrow(whole, "name binary, members binary").join(asked.select("own", "name"), "name").dropDuplicates(["own"]).select("own", "members")
 
     firm = links(
-        sets, sets.select(F.explode("keys").alias("key"), "own", "n"), load, test, lambda x, y, both: 100 * both >= percent * (x + y - both), similarity
+        sets, sets.select(F.explode("keys").alias("key"), "own", "n"), load, test, lambda x, y, both: 100 * both >= percent * (x + y - both), similarity, FirstBand()
     )
     classes = class_of(sets, firm)
     found = rows.select("id", "name", "n").join(classes, "name", "left")

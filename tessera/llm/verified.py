@@ -1,11 +1,12 @@
 """Links between sets of word shingles: rows that meet under keys, and exact verification.
 
-Candidates come from keys that like sets share.  Where few rows have a key all
-of its pairs are candidates; where many have, rows go in order of size and each
-is first paired with the next ones, which connects groups of near copies; only
-rows that verified links do not connect yet are compared further, in tiles, and
-the last turn leaves none out.  So components are those of all links among
-candidates, without a list of all pairs of a group.
+Candidates come from keys that like sets share.  Rows of a key go in order of
+size and each is first paired with the next ones: all pairs where few rows have
+the key, and what connects groups of near copies where many have.  Keys whose
+rows verified links do not connect are then compared whole, in tiles of two
+blocks whose sets are at hand: a pair is verified where it is found, and a tile
+gives as many links as connect its rows.  So components are those of all links
+among candidates, without a list of all pairs of a group.
 """
 
 from __future__ import annotations
@@ -24,9 +25,7 @@ from tessera.runtime import cut
 #: Rows of a key with which a row is paired at once, so keys of one row more have all their pairs.
 NEXT = 2
 #: Rows of a block of a key; larger keys are compared in tiles of two blocks.
-TILE = 2048
-#: Partners of other groups that a row is paired with in each later turn (the last: all).
-TURNS = (4, 64, 1 << 62)
+TILE = 512
 #: Partners of one row that are verified in a row.
 TOGETHER = 256
 
@@ -142,44 +141,80 @@ def verified(pairs: DataFrame, held: DataFrame, good: Callable[[int, int, int],
     return runs.mapInArrow(run, "a long, b long")
 
 
-def _across(tiled: DataFrame, test: Test, ratio: float, most: int) -> DataFrame:
-    """Pairs of rows of one tile and unlike ``part`` that the test allows; of each row the next ``most``."""
+def _resolved(tiled: DataFrame, test: Test, once: Once | None, good: Callable[[int, int, int], bool], ratio: float) -> DataFrame:
+    """``src, dst``: verified links of rows of one tile that connect what all its good pairs connect, beyond what parts do."""
+
+    def tile(held: pa.Table) -> list[tuple[int, int]]:
+        own, n, part, block = (held[k].to_numpy() for k in ("own", "n", "part", "block"))
+        sketch = np.frombuffer(b"".join(held["sketch"].to_pylist()), np.uint8).reshape(len(own), -1)
+        members = [np.frombuffer(x.as_buffer(), np.uint64) for x in held["members"].combine_chunks()]
+        crossed = held["x"][0].as_py() != held["y"][0].as_py()
+        about = once.prepare(sketch) if once else None
+        part, found = part.copy(), []
+        for i in range(len(own) - 1):
+            j = np.arange(i + 1, i + 1 + np.searchsorted(n[i + 1 :], n[i] / ratio, "right"))
+            j = j[part[j] != part[i]]
+            if crossed:
+                j = j[block[j] != block[i]]
+            if not len(j):
+                continue
+            j = j[test(np.full(len(j), n[i]), n[j], np.broadcast_to(sketch[i], (len(j), sketch.shape[1])), sketch[j])]
+            if once and len(j):
+                j = j[once.here(sketch[i], sketch[j], about)]
+            for k in j.tolist():
+                if part[k] != part[i]:
+                    a, b = members[i], members[k]
+                    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+                    if good(len(a), len(b), both):
+                        found.append((int(own[i]), int(own[k])))
+                        part[part == part[k]] = part[i]
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def tile(held: pa.Table) -> list[np.ndarray]:
-            own, n, part, block = (held[k].to_numpy() for k in ("own", "n", "part", "block"))
-            sketch = np.frombuffer(b"".join(held["sketch"].to_pylist()), np.uint8).reshape(len(own), -1)
-            crossed = held["x"][0].as_py() != held["y"][0].as_py()
-            found = []
-            for i in range(len(own) - 1):
-                j = np.arange(i + 1, i + 1 + np.searchsorted(n[i + 1 :], n[i] / ratio, "right"))
-                j = j[part[j] != part[i]]
-                if crossed:
-                    j = j[block[j] != block[i]]
-                if len(j):
-                    j = j[test(np.full(len(j), n[i]), n[j], np.broadcast_to(sketch[i], (len(j), sketch.shape[1])), sketch[j])][:most]
-                    found.append(np.stack([np.minimum(own[i], own[j]), np.maximum(own[i], own[j])], axis=1))
-            return found
-
-        def out(found: list[np.ndarray]) -> pa.RecordBatch:
-            both = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
-
-        held: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-            keys = [held[k].to_numpy() for k in ("key", "x", "y")]
-            edges = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-            # The last tile may go on in the next batch.
-            bounds = [0, *edges.tolist()]
-            if len(bounds) > 1:
-                yield out([f for i, j in zip(bounds[:-1], bounds[1:]) for f in tile(held.slice(i, j - i))])
-                held = held.slice(bounds[-1])
-        if held is not None and len(held):
-            yield out(tile(held))
-
-    return tiled.mapInArrow(run, "a long, b long").distinct()
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["src", "dst"])
+
+        held: list[pa.RecordBatch] = []
+        for whole in batches:
+            for batch in steps(iter([whole]), "members"):
+                keys = [batch.column(k).to_numpy() for k in ("key", "x", "y")]
+                edges = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+                bounds = [0, *edges.tolist(), batch.num_rows]
+                for i, j in zip(bounds[:-1], bounds[1:]):
+                    # A tile may go on in the next batch.
+                    if held and any(held[0].column(k)[0] != batch.column(k)[i] for k in ("key", "x", "y")):
+                        yield out(tile(pa.Table.from_batches(held)))
+                        held = []
+                    held.append(batch.slice(i, j - i))
+        if held:
+            yield out(tile(pa.Table.from_batches(held)))
+
+    return tiled.mapInArrow(run, "src long, dst long")
+
+
+class Once:
+    """Which of the keys that a pair shares compares it."""
+
+    def prepare(self, sketch: np.ndarray):
+        """What is known of a tile by the sketches of its rows."""
+        raise NotImplementedError
+
+    def here(self, one: np.ndarray, others: np.ndarray, about) -> np.ndarray:
+        """The pairs that are compared in this tile; each pair is in one of its tiles at least."""
+        raise NotImplementedError
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Rows of open keys in tiles ``x, y`` of two blocks; two blocks of the key's largest part do not meet."""
+    sizes = rows.groupBy("key", "part").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("key").agg(F.max_by("part", F.struct("size", "part")).alias("large"), F.sum("size").alias("rows"), F.max("size").alias("most"))
+    rows = rows.join(largest.filter("most < rows"), "key")
+    blocks = lambda c: F.ceil(c / TILE).cast("int")
+    first, others = blocks(F.col("most")), blocks(F.col("rows") - F.col("most"))
+    inside = F.col("part") == F.col("large")
+    own = F.when(inside, F.pmod(F.xxhash64("own"), first)).otherwise(first + F.pmod(F.xxhash64("own"), others)).cast("int")
+    rows = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.when(inside, first).otherwise(F.lit(0)), first + others - 1)))
+    return rows.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "own", "part")
 
 
 def links(
@@ -189,6 +224,7 @@ def links(
     test: Test,
     good: Callable[[int, int, int], bool],
     similarity: float,
+    once: Once | None = None,
 ) -> DataFrame:
     """``src, dst``: verified links among ``sets (own, n, sketch)`` that connect what all links among candidates connect.
 
@@ -198,29 +234,17 @@ def links(
     """
     ratio = similarity - 1e-9
     met = pairs_and_crowds(keyed, ratio)
-    crowds = met.filter("crowd").select(F.col("a").alias("key"), F.col("b").alias("own"))
     pairs = cut(filtered(met.filter("NOT crowd").select("a", "b").distinct(), sets, test))
-    firm, tested = None, None
-    for turn, most in enumerate((NEXT, *TURNS)):
-        if turn:
-            vertices = firm.select(F.col("src").alias("id")).union(firm.select("dst")).distinct()
-            parts = components(firm, vertices).select(F.col("id").alias("own"), F.col("component").alias("part"))
-            rows = crowds.join(parts, "own", "left").withColumn("part", F.coalesce("part", "own"))
-            several = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("rows")).filter("low <> high")
-            rows = rows.join(several.select("key", "rows"), "key").join(sets.select("own", "n", "sketch"), "own")
-            blocks = F.ceil(F.col("rows") / TILE).cast("int")
-            rows = rows.withColumn("block", F.pmod(F.xxhash64("own"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            tiled = rows.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")).drop("other", "rows")
-            tiled = tiled.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "n", "own")
-            pairs = cut(_across(tiled, test, ratio, most).join(tested, ["a", "b"], "left_anti"))
-            if pairs.isEmpty():
-                # Nothing was cut off, so no later turn has more.
-                break
-        held = cut(load(pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct()))
-        found = verified(pairs, held, good).select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        firm = cut(found if firm is None else firm.union(found))
-        tested = pairs if tested is None else tested.union(pairs)
-    return firm
+    held = cut(load(pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct()))
+    firm = cut(verified(pairs, held, good).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    vertices = firm.select(F.col("src").alias("id")).union(firm.select("dst")).distinct()
+    parts = components(firm, vertices).select(F.col("id").alias("own"), F.col("component").alias("part"))
+    crowds = met.filter("crowd").select(F.col("a").alias("key"), F.col("b").alias("own"))
+    tiled = cut(_tiles(crowds.join(parts, "own", "left").withColumn("part", F.coalesce("part", "own"))))
+    held = cut(load(tiled.select("own").distinct()))
+    rows = tiled.join(sets.select("own", "n", "sketch"), "own").join(held, "own")
+    rows = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "n", "own")
+    return cut(firm.union(_resolved(rows, test, once, good, ratio)))
 
 
 def class_of(sets: DataFrame, firm: DataFrame) -> DataFrame:

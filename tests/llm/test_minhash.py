@@ -38,7 +38,6 @@ def test_odd_rows(spark, odd):
 
 def test_edited_copies_and_templates(spark, monkeypatch):
     monkeypatch.setattr(verified, "TILE", 8)
-    monkeypatch.setattr(verified, "TURNS", (1, 3, 1 << 62))
     monkeypatch.setattr(verified, "TOGETHER", 3)
     rng = random.Random(31)
     draw = lambda n: [f"w{rng.randrange(10**5)}" for _ in range(n)]
