@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.batches import LOWER, flat, mixed, steps, window_hashes, word_hashes, words
+from tessera.llm.batches import LOWER, flat, steps, words
+from tessera.llm.verified import links as verified_links
+from tessera.llm.verified import set_name, shingle_sets
 from tessera.operators.graph import components
 from tessera.runtime import cut
 
@@ -28,8 +30,6 @@ TILE = 2048
 SEED = 42
 #: Buckets of hashes by which shingles are put in order, and of the parities of a set.
 ORDER, BITS = 1 << 20, 512
-#: Rows of a key that are all compared at once; rows of larger keys are compared with so many others in each round, at last with all.
-FEW, ROUNDS = 9, (0, 2, 16, 256, 1 << 62)
 
 
 def _fingerprints(data: np.ndarray, places: np.ndarray, shingle: int) -> np.ndarray:
@@ -204,23 +204,6 @@ def simhash_groups(
     return rows.join(named, "fingerprint").select(id, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _sets(batch: pa.RecordBatch, text: str, words_each: int) -> list[np.ndarray]:
-    """The sorted distinct hashes of each text's shingles of ``words_each`` words; fewer words make one shingle, none an empty set."""
-    data, places = flat(batch.column(text))
-    starts, ends, before = words(LOWER[data], places)
-    hashes = word_hashes(LOWER[data], starts, ends)
-    whole = window_hashes(hashes, words_each)
-    return [
-        np.unique(whole[i : j - words_each + 1]) if j - i >= words_each else window_hashes(hashes[i:j], j - i)[: j > i]
-        for i, j in zip(before[:-1].tolist(), before[1:].tolist())
-    ]
-
-
-def _name(own: np.ndarray) -> np.uint64:
-    """A hash of a set of hashes."""
-    return mixed(np.array([mixed(own ^ np.uint64(SEED)).sum(dtype=np.uint64) + np.uint64(len(own))], np.uint64))[0]
-
-
 def _bits(own: np.ndarray) -> bytes:
     """Parities of the set's members by bucket: two sets differ in at least as many members as their parities do."""
     return np.packbits(np.bincount((own >> np.uint64(8) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
@@ -232,7 +215,7 @@ def _levels(named: DataFrame, words_each: int) -> np.ndarray:
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(ORDER, np.int64)
         for batch in steps(batches, "text"):
-            counts += np.bincount((np.concatenate(_sets(batch, "text", words_each)) >> np.uint64(64 - ORDER.bit_length() + 1)).astype(np.int64), minlength=ORDER)
+            counts += np.bincount((np.concatenate(shingle_sets(batch.column("text"), words_each)) >> np.uint64(64 - ORDER.bit_length() + 1)).astype(np.int64), minlength=ORDER)
         parts = counts.astype(np.uint32).reshape(256, -1)
         some = np.flatnonzero(parts.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([parts[i].tobytes() for i in some], pa.binary())], ["part", "counts"])
@@ -251,81 +234,6 @@ def _levels(named: DataFrame, words_each: int) -> np.ndarray:
     return levels.ravel()
 
 
-def _alike(keys: list[np.ndarray], own: np.ndarray, n: np.ndarray, bits: np.ndarray, part: np.ndarray, block: np.ndarray, low: int, high: int, similarity: float, few: int) -> np.ndarray:
-    """Places of pairs of rows of one group (equal ``keys``, sorted by ``n``) that sizes and parities allow, of unlike ``part``.
-
-    Groups of up to ``few`` rows give all such pairs if ``low`` is 0; of larger ones each row gives those with the next rows
-    that are allowed, from the ``low``-th to before the ``high``-th, within a tile of two blocks between them only.
-    """
-    new = np.ones(len(own), bool)
-    if len(own):
-        new[1:] = np.any([k[1:] != k[:-1] for k in keys[:3]], axis=0)
-    heads = np.append(np.flatnonzero(new), len(own))
-    group = np.cumsum(new) - 1
-    whole = keys[3]  # rows of the whole key
-    apart = (1 - similarity) / (1 + similarity) + 1e-9
-    found = []
-
-    def allowed(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        good = n[i] >= (similarity - 1e-9) * n[j]
-        i, j = i[good], j[good]
-        good = np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= apart * (n[i] + n[j])
-        return i[good], j[good]
-
-    if low == 0:
-        small = np.flatnonzero(whole <= few)
-        for d in range(1, few):
-            i = small[small + d < len(own)]
-            i = i[group[i] == group[i + d]]
-            if not len(i):
-                break
-            i, j = allowed(i, i + d)
-            found.append(np.stack([i, j]))
-    for a, b in zip(heads[:-1], heads[1:]):
-        if whole[a] <= few:
-            continue
-        cross = keys[1][a] != keys[2][a]
-        ends = np.searchsorted(n[a:b], n[a:b] / (similarity - 1e-9), "right") + a
-        for i in range(a, b - 1):
-            j = np.arange(i + 1, ends[i - a])
-            if cross:
-                j = j[block[j] != block[i]]
-            _, j = allowed(np.full(len(j), i), j)
-            j = j[low:high]
-            if len(j):
-                found.append(np.stack([np.full(len(j), i), j]))
-    both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    return both[:, (part[both[0]] != part[both[1]]) & (own[both[0]] != own[both[1]])]
-
-
-def _candidates(tiled: DataFrame, low: int, high: int, similarity: float, few: int) -> DataFrame:
-    """``a, b``: sets of the tiles that may be alike, see ``_alike``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(held: pa.Table) -> pa.RecordBatch:
-            at = {name: held[name].to_numpy() for name in ("key", "a", "b", "rows", "own", "n", "part", "block")}
-            bits = np.frombuffer(b"".join(held["bits"].to_pylist()), np.uint64).reshape(len(held), -1)
-            both = _alike([at["key"], at["a"], at["b"], at["rows"]], at["own"], at["n"], bits, at["part"], at["block"], low, high, similarity, few)
-            x, y = at["own"][both[0]], at["own"][both[1]]
-            both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
-
-        held: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            keys = [held[k].to_numpy() for k in ("key", "a", "b")]
-            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-            # The last group may go on in the next batch.
-            if len(new):
-                yield pairs(held.slice(0, new[-1]))
-                held = held.slice(new[-1])
-        if held is not None and len(held):
-            yield pairs(held)
-
-    return tiled.mapInArrow(run, "a long, b long").distinct()
-
-
 def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words_each: int = 5, similarity: float = 0.8) -> DataFrame:
     """``id, component_id`` of each row: groups of texts that resemble each other as word shingles do.
 
@@ -334,102 +242,60 @@ def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", word
     All such pairs are found: if each set is put in one common order, rarest
     first, two such sets share a member among the first n - ceil(similarity n)
     + 1 of n.  Rows meet under these; sizes and parities of sets, which refuse
-    no such pair, are asked before the sets themselves.  Where many rows meet,
-    rounds verify each row with ever more others, and rows that verified links
-    connect already are not compared again; the last round leaves none out.
+    no such pair, are asked before the sets themselves (see ``verified``).
 
     ``id`` is an integer; rows of one id are one document, rows without an id
     stand alone.  Texts of fewer words have one shingle, empty ones none, and
-    two without shingles are alike.  Sets are told apart by 64-bit hashes.
+    two without shingles are alike.  Sets are told apart by 128-bit hashes,
+    shingles by 64-bit ones.
     """
     named = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null")
+    levels = docs.sparkSession.sparkContext.broadcast(_levels(named, words_each))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = levels.value
         for batch in steps(batches, "text"):
-            sets = _sets(batch, "text", words_each)
-            own = np.array([_name(x) for x in sets], np.uint64).view(np.int64)
+            sets = shingle_sets(batch.column("text"), words_each)
+            keys = []
+            for x in sets:
+                take = len(x) - int(np.ceil(similarity * len(x) - 1e-6)) + 1
+                keys.append(x[np.argsort(order[x >> np.uint64(64 - ORDER.bit_length() + 1)], kind="stable")[:take]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(own), pa.array([len(x) for x in sets], pa.int64()), pa.array([_bits(x) for x in sets], pa.binary())], ["id", "own", "n", "bits"]
+                [batch.column("id"), batch.column("row"), pa.array([set_name(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64()),
+                 pa.array([_bits(x) for x in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["id", "row", "name", "n", "sketch", "keys"],
             )
 
-    rows = cut(named.mapInArrow(describe, "id long, own long, n long, bits binary"))
-    sets = cut(rows.groupBy("own").agg(F.min("id").alias("least"), F.min("n").alias("n"), F.min("bits").alias("bits")))
-    levels = docs.sparkSession.sparkContext.broadcast(_levels(named, words_each))
+    described = named.select("id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(
+        describe, "id long, row long, name binary, n long, sketch binary, keys array<long>"
+    )
+    rows = cut(described)
+    sets = rows.groupBy("name").agg(F.min("row").alias("own"), F.min("id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
+    sets = cut(sets)
+    apart = (1 - similarity) / (1 + similarity) + 1e-9
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = levels.value
-        for batch in steps(batches, "text"):
-            found = []
-            for x in _sets(batch, "text", words_each):
-                take = len(x) - int(np.ceil(similarity * len(x) - 1e-6)) + 1
-                rare = np.argsort(order[x >> np.uint64(64 - ORDER.bit_length() + 1)], kind="stable")[:take]
-                found.append((_name(x), x[rare]))
-            own = np.repeat(np.array([o for o, _ in found], np.uint64).view(np.int64), [len(k) for _, k in found])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k for _, k in found]).view(np.int64)), pa.array(own)], ["key", "own"])
-
-    def several_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of sorted rows, those of keys of two sets or more, each once."""
-        # The last row, which goes out once its key has another; 0: none, 1: held, 2: gone out.
-        last_key = last_own = state = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, own = (np.append(x, batch.column(k).to_numpy()) for k, x in enumerate((last_key, last_own)))
-            key, own = (key, own) if state else (key[1:], own[1:])
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
-            key, own = key[new], own[new]
-            same = key[1:] == key[:-1]
-            shared = np.append(False, same) | np.append(same, False)
-            last_key, last_own = key[-1], own[-1]
-            if state == 2:
-                shared[0] = False
-                state = 2 if len(key) == 1 or shared[-1] else 1
-            else:
-                state = 2 if shared[-1] else 1
-            yield pa.RecordBatch.from_arrays([pa.array(key[shared]), pa.array(own[shared])], ["key", "own"])
-
-    keyed = named.mapInArrow(first, "key long, own long").repartition("key").sortWithinPartitions("key", "own")
-    met = cut(keyed.mapInArrow(several_sets, "key long, own long"))
-    sizes = met.groupBy("key").agg(F.count("*").alias("rows"))
-    met = cut(met.join(sizes, "key").join(sets.select("own", "n", "bits"), "own"))
-    named_sets = sets.select("own", "least")
+    def test(na: np.ndarray, nb: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        good = np.minimum(na, nb) >= (similarity - 1e-9) * np.maximum(na, nb)
+        good[good] = np.bitwise_count(a[good] ^ b[good]).sum(1) <= apart * (na[good] + nb[good])
+        return good
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            sets = _sets(batch, "text", words_each)
-            own = np.array([_name(x) for x in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], ["own", "set"])
-
-    firm, open_rows = None, met.withColumn("part", F.col("own"))
-    for turn, (low, high) in enumerate(zip(ROUNDS[:-1], ROUNDS[1:])):
-        if turn:
-            vertices = firm.select(F.col("src").alias("id")).union(firm.select("dst")).distinct()
-            parts = components(firm, vertices).select(F.col("id").alias("own"), F.col("component").alias("part"))
-            open_rows = met.filter(F.col("rows") > FEW).join(parts, "own", "left").withColumn("part", F.coalesce("part", "own"))
-            several = open_rows.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("key")
-            open_rows = cut(open_rows.join(several, "key", "left_semi"))
-            if open_rows.isEmpty():
-                break
-        blocks = F.ceil(F.col("rows") / TILE).cast("int")
-        tiled = open_rows.withColumn("block", F.pmod(F.xxhash64("own"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        tiled = tiled.withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other")).drop("other")
-        # Blocks that are not neighbours wait for the second round, when most rows of copies are connected.
-        tiled = tiled if turn else tiled.filter("b - a <= 1")
-        tiled = tiled.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "n", "own")
-        pairs = cut(_candidates(tiled, low if turn > 1 else 0, high, similarity, FEW))
-        asked = pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct()
-        ids = named_sets.join(asked, "own").select(F.col("least").alias("id")).distinct()
-        held = named.join(ids, "id", "left_semi").mapInArrow(whole, "own long, set array<long>").join(asked, "own", "left_semi").dropDuplicates(["own"])
-        held = cut(held)
-        both = pairs.join(held.select(F.col("own").alias("a"), F.col("set").alias("x")), "a").join(held.select(F.col("own").alias("b"), F.col("set").alias("y")), "b")
-        overlap = F.size(F.array_intersect("x", "y"))
-        good = overlap >= similarity * (F.size("x") + F.size("y") - overlap)
-        found = both.filter(good).select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        firm = cut(found if firm is None else firm.union(found))
-    least = lambda name, to: named_sets.select(F.col("own").alias(name), F.col("least").alias(to))
+            own = shingle_sets(batch.column("text"), words_each)
+            yield pa.RecordBatch.from_arrays([pa.array([set_name(x) for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())], ["name", "members"])
+
+    def load(owns: DataFrame) -> DataFrame:
+        """Whole sets, from one row each that has the set."""
+        asked = sets.join(owns, "own").select("own", "name", "least")
+        some = named.join(asked.select(F.col("least").alias("id")).distinct(), "id", "left_semi")
+        return some.mapInArrow(whole, "name binary, members binary").join(asked.select("own", "name"), "name").dropDuplicates(["own"]).select("own", "members")
+
+    firm = verified_links(
+        sets, sets.select(F.explode("keys").alias("key"), "own", "n"), load, test, lambda x, y, both: both >= similarity * (x + y - both), similarity
+    )
+    least = lambda name, to: sets.select(F.col("own").alias(name), F.col("least").alias(to))
     edges = firm.join(least("src", "x"), "src").join(least("dst", "y"), "dst").select(F.col("x").alias("src"), F.col("y").alias("dst"))
-    edges = cut(edges.union(rows.join(named_sets, "own").select(F.col("least").alias("src"), F.col("id").alias("dst"))).filter("src <> dst").distinct())
+    edges = cut(edges.union(rows.select("id", "name").join(sets.select("name", "least"), "name").select(F.col("least").alias("src"), F.col("id").alias("dst"))).filter("src <> dst").distinct())
     linked = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
     parts = components(edges, linked).select(F.col("id").alias("__one"), F.col("component").alias("component_id"))
     found = docs.select(F.col(id)).join(parts, F.col(id) == F.col("__one"), "left")
