@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 from pyspark.sql.window import Window
 
 
@@ -52,10 +53,20 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the copy.
 
     The copy survives the loss of executors, so iterative operators call this
-    once per round instead of growing the plan.
+    once per round instead of growing the plan.  It is a table of its own: a
+    checkpoint keeps the estimated size of the plan it comes from, which for
+    joins is a product, and over rounds of joins that number alone grows until
+    planning takes longer than the work.  Columns are written by position, so
+    that names may clash.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    if any(isinstance(f.dataType, NullType) for f in df.schema):
+        shared_folder(spark)
+        return df.checkpoint(eager=True)
+    path = new_path(spark, "cut")
+    placed = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path).toDF(*df.columns)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
