@@ -15,7 +15,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.batches import mixed, steps
@@ -90,53 +90,28 @@ class FirstBand(Once):
 
     def here(self, one: np.ndarray, others: np.ndarray, about: np.ndarray) -> np.ndarray:
         same = (others.reshape(len(others), BANDS, ROWS) == one.reshape(BANDS, ROWS)).all(2)
-        return about[same.argmax(1)]
+        # Rows may also meet under keys that are no bands.
+        return about[same.argmax(1)] | ~same.any(1)
 
 
-def minhash_groups(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", words_each: int = 5, percent: int = 85, miss: float = 1e-9
-) -> DataFrame:
-    """``id, n_shingles, component_id, kept`` of each row.
+SKETCHED = "name binary, n long, sketch binary, keys array<long>"
 
-    A text's set has its shingles of ``words_each`` words (ASCII letters
-    lowered); fewer words are one shingle.  Sets link if 100 times their
-    intersection is at least ``percent`` times their union, counted on whole
-    sets; ``component_id`` is the smallest id that links reach, and ``kept``
-    says whether that is the row's own.  Two sets at the threshold share no
-    band with a probability of 7e-9 for 85 percent, and are refused by their
-    signatures with about ``miss`` for each batch.
 
-    Null and empty texts and texts without words have empty sets, which link
-    with nothing.  A row without an id takes part with its set; its
-    ``component_id`` is null where no row of the class has an id, and it is
-    ``kept`` only then.  Rows of one id are rows of their own; equal ones have
-    equal results.  One row per input row.
-    """
-    kind = docs.schema[id].dataType.simpleString()
-    similarity = percent / 100
-    bounds = least_matches(similarity, miss)
+def sketched(texts: pa.Array, width: int) -> list[pa.Array]:
+    """The columns of ``SKETCHED`` of texts: names of their sets, sizes, minima by one byte each, and keys of the bands."""
+    sets = shingle_sets(texts, width)
+    minima = signatures(sets)
+    keys = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * BANDS, band_keys(minima).view(np.int64).ravel())
+    sketches = minima.astype(np.uint8)
+    return [pa.array([set_name(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sketches], pa.binary()), keys]
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
-            sets = shingle_sets(batch.column("text"), words_each)
-            minima = signatures(sets)
-            keys = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * BANDS, band_keys(minima).view(np.int64).ravel())
-            sketches = minima.astype(np.uint8)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("row"), pa.array([set_name(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array([x.tobytes() for x in sketches], pa.binary()), keys],
-                ["id", "row", "name", "n", "sketch", "keys"],
-            )
 
-    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    rows = texts.select("id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(
-        describe, f"id {kind}, row long, name binary, n long, sketch binary, keys array<long>"
-    )
-    rows = cut(rows)
-    sets = rows.filter("n > 0").groupBy("name").agg(
-        F.min("row").alias("own"), F.min("id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys")
-    )
-    sets = cut(sets)
+def set_links(texts: DataFrame, sets: DataFrame, keys: Column, words_each: int, percent: int, miss: float) -> DataFrame:
+    """``src, dst``: verified links that connect ``sets (own, least, name, n, sketch)`` which meet under ``keys``.
+
+    ``texts (id, text)`` has a row with the id ``least`` that has the set.
+    """
+    bounds = least_matches(percent / 100, miss)
 
     def test(na: np.ndarray, nb: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         good = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
@@ -157,13 +132,48 @@ def minhash_groups(
         """Whole sets, from one row each that has the set."""
         asked = sets.join(owns, "own").select("own", "name", "least")
         ids = asked.select(F.col("least").alias("one")).distinct()
-        some = texts.join(ids, F.col("id").eqNullSafe(F.col("one")), "left_semi")
+        some = texts.join(ids, F.col("id").eqNullSafe(F.col("one")), "left_semi").select("text")
         return some.mapInArrow(whole, "name binary, members binary").join(asked.select("own", "name"), "name").dropDuplicates(["own"]).select("own", "members")
 
-    firm = links(
-        sets, sets.select(F.explode("keys").alias("key"), "own", "n"), load, test, lambda x, y, both: 100 * both >= percent * (x + y - both), similarity, FirstBand()
-    )
-    classes = class_of(sets, firm)
+    keyed = sets.filter("n > 0").select(F.explode(keys).alias("key"), "own", "n")
+    return links(sets, keyed, load, test, lambda x, y, both: 100 * both >= percent * (x + y - both), percent / 100, FirstBand())
+
+
+def distinct_sets(rows: DataFrame, *more: str) -> DataFrame:
+    """A row for each set of ``rows``: its number ``own``, its smallest id ``least``, and its sketch."""
+    held = [F.first(c).alias(c) for c in ("n", "sketch", "keys", *more)]
+    return cut(rows.groupBy("name").agg(F.min("row").alias("own"), F.min("id").alias("least"), *held))
+
+
+def minhash_groups(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", words_each: int = 5, percent: int = 85, miss: float = 1e-9
+) -> DataFrame:
+    """``id, n_shingles, component_id, kept`` of each row.
+
+    A text's set has its shingles of ``words_each`` words (ASCII letters
+    lowered); fewer words are one shingle.  Sets link if 100 times their
+    intersection is at least ``percent`` times their union, counted on whole
+    sets; ``component_id`` is the smallest id that links reach, and ``kept``
+    says whether that is the row's own.  Two sets at the threshold share no
+    band with a probability of 7e-9 for 85 percent, and are refused by their
+    signatures with about ``miss`` for each batch.
+
+    Null and empty texts and texts without words have empty sets, which link
+    with nothing.  A row without an id takes part with its set; its
+    ``component_id`` is null where no row of the class has an id, and it is
+    ``kept`` only then.  Rows of one id are rows of their own; equal ones have
+    equal results.  One row per input row.
+    """
+    kind = docs.schema[id].dataType.simpleString()
+    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), *sketched(batch.column("text"), words_each)], ["id", "row", "name", "n", "sketch", "keys"])
+
+    rows = cut(texts.select("id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(describe, f"id {kind}, row long, {SKETCHED}"))
+    sets = distinct_sets(rows.filter("n > 0"))
+    classes = class_of(sets, set_links(texts, sets, F.col("keys"), words_each, percent, miss))
     found = rows.select("id", "name", "n").join(classes, "name", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return found.select(

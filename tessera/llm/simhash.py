@@ -18,8 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.batches import LOWER, flat, steps, words
-from tessera.llm.verified import links as verified_links
-from tessera.llm.verified import set_name, shingle_sets
+from tessera.llm.minhash import SKETCHED, distinct_sets, set_links, sketched
 from tessera.operators.graph import components
 from tessera.runtime import cut
 
@@ -28,8 +27,6 @@ BLOCK = 1 << 17
 #: Rows of a key that one task compares; more are compared in tiles of two such blocks.
 TILE = 2048
 SEED = 42
-#: Buckets of hashes by which shingles are put in order, and of the parities of a set.
-ORDER, BITS = 1 << 20, 512
 
 
 def _fingerprints(data: np.ndarray, places: np.ndarray, shingle: int) -> np.ndarray:
@@ -204,45 +201,17 @@ def simhash_groups(
     return rows.join(named, "fingerprint").select(id, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _bits(own: np.ndarray) -> bytes:
-    """Parities of the set's members by bucket: two sets differ in at least as many members as their parities do."""
-    return np.packbits(np.bincount((own >> np.uint64(8) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
-
-
-def _levels(named: DataFrame, words_each: int) -> np.ndarray:
-    """How common the shingles of each bucket of hashes are (a fixed number of buckets, logarithms): makes an order, not a choice."""
-
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(ORDER, np.int64)
-        for batch in steps(batches, "text"):
-            counts += np.bincount((np.concatenate(shingle_sets(batch.column("text"), words_each)) >> np.uint64(64 - ORDER.bit_length() + 1)).astype(np.int64), minlength=ORDER)
-        parts = counts.astype(np.uint32).reshape(256, -1)
-        some = np.flatnonzero(parts.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([parts[i].tobytes() for i in some], pa.binary())], ["part", "counts"])
-
-    def merge(table: pa.Table) -> pa.Table:
-        total = np.zeros(ORDER // 256, np.int64)
-        for x in table["counts"]:
-            total += np.frombuffer(x.as_buffer(), np.uint32)
-        held = (4 * np.log2(1 + total)).astype(np.uint8)
-        return pa.table({"part": table["part"].slice(0, 1), "counts": pa.array([held.tobytes()], pa.binary())})
-
-    schema = "part long, counts binary"
-    levels = np.zeros((256, ORDER // 256), np.uint8)
-    for r in named.select("text").mapInArrow(take, schema).groupBy("part").applyInArrow(merge, schema).collect():
-        levels[r["part"]] = np.frombuffer(r["counts"], np.uint8)
-    return levels.ravel()
-
-
-def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words_each: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_groups(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", words_each: int = 5, percent: int = 80, radius: int = 3, segments: int = 4, miss: float = 1e-9
+) -> DataFrame:
     """``id, component_id`` of each row: groups of texts that resemble each other as word shingles do.
 
     Texts are linked if their sets of shingles of ``words_each`` words have a
-    Jaccard index of at least ``similarity``; groups are what links connect.
-    All such pairs are found: if each set is put in one common order, rarest
-    first, two such sets share a member among the first n - ceil(similarity n)
-    + 1 of n.  Rows meet under these; sizes and parities of sets, which refuse
-    no such pair, are asked before the sets themselves (see ``verified``).
+    Jaccard index of at least ``percent`` in a hundred, counted on whole sets;
+    groups are what links connect.  Candidates are texts whose fingerprints
+    meet under a key of the ring, which all within ``radius`` bits do, and,
+    as like texts may be further apart, texts that share a band of minima:
+    at 80 percent, all but 3 in a million pairs do.
 
     ``id`` is an integer; rows of one id are one document, rows without an id
     stand alone.  Texts of fewer words have one shingle, empty ones none, and
@@ -250,52 +219,21 @@ def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", word
     shingles by 64-bit ones.
     """
     named = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null")
-    levels = docs.sparkSession.sparkContext.broadcast(_levels(named, words_each))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = levels.value
-        for batch in steps(batches, "text"):
-            sets = shingle_sets(batch.column("text"), words_each)
-            keys = []
-            for x in sets:
-                take = len(x) - int(np.ceil(similarity * len(x) - 1e-6)) + 1
-                keys.append(x[np.argsort(order[x >> np.uint64(64 - ORDER.bit_length() + 1)], kind="stable")[:take]].view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("row"), pa.array([set_name(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array([_bits(x) for x in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "row", "name", "n", "sketch", "keys"],
-            )
-
-    described = named.select("id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(
-        describe, "id long, row long, name binary, n long, sketch binary, keys array<long>"
-    )
-    rows = cut(described)
-    sets = rows.groupBy("name").agg(F.min("row").alias("own"), F.min("id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
-    sets = cut(sets)
-    apart = (1 - similarity) / (1 + similarity) + 1e-9
-
-    def test(na: np.ndarray, nb: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        good = np.minimum(na, nb) >= (similarity - 1e-9) * np.maximum(na, nb)
-        good[good] = np.bitwise_count(a[good] ^ b[good]).sum(1) <= apart * (na[good] + nb[good])
-        return good
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            own = shingle_sets(batch.column("text"), words_each)
-            yield pa.RecordBatch.from_arrays([pa.array([set_name(x) for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())], ["name", "members"])
-
-    def load(owns: DataFrame) -> DataFrame:
-        """Whole sets, from one row each that has the set."""
-        asked = sets.join(owns, "own").select("own", "name", "least")
-        some = named.join(asked.select(F.col("least").alias("id")).distinct(), "id", "left_semi")
-        return some.mapInArrow(whole, "name binary, members binary").join(asked.select("own", "name"), "name").dropDuplicates(["own"]).select("own", "members")
-
-    firm = verified_links(
-        sets, sets.select(F.explode("keys").alias("key"), "own", "n"), load, test, lambda x, y, both: both >= similarity * (x + y - both), similarity
-    )
+            prints = _fingerprints(*flat(batch.column("text")), 3).view(np.int64)
+            columns = [batch.column("id"), batch.column("row"), *sketched(batch.column("text"), words_each), pa.array(prints)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "row", "name", "n", "sketch", "keys", "fingerprint"])
+
+    rows = cut(named.select("id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(describe, f"id long, row long, {SKETCHED}, fingerprint long"))
+    sets = distinct_sets(rows, "fingerprint")
+    keys = F.concat("keys", Ring(radius, segments).keys(F.col("fingerprint")))
+    firm = set_links(named, sets, keys, words_each, percent, miss)
     least = lambda name, to: sets.select(F.col("own").alias(name), F.col("least").alias(to))
     edges = firm.join(least("src", "x"), "src").join(least("dst", "y"), "dst").select(F.col("x").alias("src"), F.col("y").alias("dst"))
-    edges = cut(edges.union(rows.select("id", "name").join(sets.select("name", "least"), "name").select(F.col("least").alias("src"), F.col("id").alias("dst"))).filter("src <> dst").distinct())
+    same = rows.select("id", "name").join(sets.select("name", "least"), "name").select(F.col("least").alias("src"), F.col("id").alias("dst"))
+    edges = cut(edges.union(same).filter("src <> dst").distinct())
     linked = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
     parts = components(edges, linked).select(F.col("id").alias("__one"), F.col("component").alias("component_id"))
     found = docs.select(F.col(id)).join(parts, F.col(id) == F.col("__one"), "left")

@@ -64,6 +64,18 @@ def test_near_leaves_one_of_each_group_and_the_rest(stages):
     assert sorted(ids(stages["near"]), key=str) == sorted((i for i in ids(stages["exact"]) if groups[i] == i or i is None), key=str)
 
 
+def test_near_groups_are_those_of_all_pairs_of_a_given_table(spark):
+    from tessera.llm.queries import ORACLES
+    from tessera.llm.simhash import similar_groups
+
+    folder = DATA.replace("0.001", "0.01")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    want = dict(con.execute(ORACLES["op12_minhash"].replace(">= 85 *", ">= 80 *")).df()[["doc_id", "component_id"]].itertuples(index=False))
+    got = {r.doc_id: r.component_id for r in similar_groups(spark.read.parquet(f"{folder}/documents.parquet").filter("trim(text) <> ''")).collect()}
+    assert len(set(got.values())) < len(got) and got == {i: want[i] for i in got}
+
+
 def test_clean_drops_leaks_alone(stages):
     from tessera.llm.decontaminate import leaks
 
