@@ -13,7 +13,7 @@ from tessera.functions.columns import safe_ratio
 from tessera.operators.expression import kmeans_labels
 from tessera.operators.graph import canonical_labels, communities, components, jaccard_graph, rank_in_group
 from tessera.operators.neighbours import location_knn, nearest, symmetric
-from tessera.runtime import cut
+from tessera.runtime import cut, number_rows
 
 
 def domain_count(n: int, most: int = 12) -> int:
@@ -35,28 +35,35 @@ def spatial_communities(graph: DataFrame, cells: DataFrame, resolution: float =
     return canonical_labels(found).select(F.col("id").alias(id), F.col("label").alias("spatial_domain"))
 
 
-def communities_for_count(graph: DataFrame, cells: DataFrame, target: int, id: str = "id",
-                          lowest: float = 0.1, highest: float = 3.0, step: float = 0.01) -> tuple[DataFrame, float]:
-    """Communities at a resolution that gives ``target`` of them, and that resolution.
+def communities_for_count(graph: DataFrame, cells: DataFrame, target: int, id: str = "id", lowest: float = 0.1, highest: float = 3.0,
+                          step: float = 0.01, together: int = 100) -> tuple[DataFrame, float]:
+    """Communities ``id, label`` at the first of the resolutions lowest, lowest + step, ... that gives ``target`` of them, and that resolution.
 
-    Bisects the resolutions lowest, lowest + step, ... from 1 on; if none
-    gives the exact number, the closest one seen is used.
+    If none does, the closest number is used (of equals the lowest
+    resolution).  ``together`` resolutions are tried in one run, each on its
+    own copy of the graph, so their rounds are shared; numbers of communities
+    need not rise with the resolution, so none is passed over.
     """
-    low, high = 0, round((highest - lowest) / step)
-    start = round((1.0 - lowest) / step)
+    steps = round((highest - lowest) / step) + 1
+    named = cut(number_rows(cells.select(F.col(id).alias("name")).distinct(), "name", name="v", start=0))
+    of = named.select(F.col("name").alias("src"), F.col("v").alias("a"))
+    ends = graph.select("src", "dst").join(of, "src").join(of.toDF("dst", "b"), "dst").select("a", "b")
+    ends = cut(ends)
     best = None
-    weighted = cut(graph.select("src", "dst", F.lit(1.0).alias("w")))
-    vertices = cells.select(F.col(id).alias("id"))
-    while low <= high:
-        middle = start if best is None and low <= start <= high else (low + high) // 2
-        resolution = round(lowest + middle * step, 10)
-        found = cut(communities(weighted, vertices, resolution))
-        n = found.select("label").distinct().count()
-        if best is None or abs(n - target) < best[0]:
-            best = (abs(n - target), found, resolution)
-        if n == target:
+    for first in range(0, steps, together):
+        tries = F.explode(F.sequence(F.lit(first), F.lit(min(first + together, steps) - 1)))
+        copies = named.select("name", "v", tries.alias("try")).withColumn("id", F.col("v") * steps + F.col("try"))
+        copies = cut(copies.withColumn("resolution", F.round(F.lit(lowest) + F.col("try") * F.lit(step), 10)))
+        edges = ends.withColumn("try", tries).select((F.col("a") * steps + F.col("try")).alias("src"), (F.col("b") * steps + F.col("try")).alias("dst"), F.lit(1.0).alias("w"))
+        found = communities(edges, copies, "resolution", group="try")
+        found = cut(found.join(copies, "id").select("try", F.col("name").alias("id"), "label"))
+        # One row for each resolution of the run.
+        counts = found.groupBy("try").agg(F.countDistinct("label").alias("n")).collect()
+        away, at = min(((abs(r["n"] - target), r["try"]) for r in counts), default=(0, 0))
+        if best is None or away < best[0]:
+            best = (away, found.filter(F.col("try") == at).select("id", "label"), round(lowest + at * step, 10))
+        if not away:
             break
-        low, high = (middle + 1, high) if n < target else (low, middle - 1)
     return best[1], best[2]
 
 

@@ -6,14 +6,14 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.functions.columns import safe_ratio
 from tessera.operators.graph import rank_in_group
-from tessera.operators.tiles import KEY, tile_points, tiles_in_reach
+from tessera.operators.tiles import KEY, Tiling, tile_points
 from tessera.runtime import cut, number_rows
 
 
@@ -162,14 +162,86 @@ def neighbourhood_enrichment(graph: DataFrame, labels: DataFrame, id: str = "cel
     return joined.withColumn("z_score", z).withColumn("pvalue", F.least(F.lit(1.0), upper_tail(F.abs("z_score")) * 2))
 
 
+def distance_edges(points: DataFrame, intervals: int = 50) -> list[float]:
+    """Edges of equal distance intervals from 0 to the diagonal of the points' extent, so that no pair is beyond them."""
+    r = points.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    longest = float(np.hypot(r[1] - r[0], r[3] - r[2])) if r[0] is not None else 0.0
+    return [i * (longest or 1.0) / intervals for i in range(intervals + 1)]
+
+
+_SIDES = [[f"{side}_{c}" for c in ("depth", "ix", "iy")] for side in ("a", "b")]
+
+
+def _tile_pairs(tiling: Tiling, edges: list[float]) -> tuple[DataFrame, DataFrame]:
+    """Counts of label pairs of tile pairs that fall into one interval as a whole, and the pairs of smallest tiles that do not.
+
+    Goes down from the whole square, two tiles at a time.  The boxes of two
+    tiles' content bound the distances between them: if both bounds are in
+    one interval, the pairs are a product of label counts; if they are out
+    of all intervals there are none; only the rest is divided further.
+    """
+    leaves = tiling.points.groupBy(*KEY, "l").agg(
+        F.sum("w").alias("w"), F.min("x").alias("x1"), F.max("x").alias("x2"), F.min("y").alias("y1"), F.max("y").alias("y2")
+    )
+    up = leaves.withColumn("d", F.explode(F.sequence(F.lit(0), F.col("depth"))))
+    at = [F.expr(f"shiftright({c}, depth - d)").alias(c) for c in ("ix", "iy")]
+    up = cut(up.select("group", F.col("d").alias("depth"), *at, (F.col("d") == F.col("depth")).alias("leaf"), "l", "w", "x1", "x2", "y1", "y2"))
+    box = [F.min("x1").alias("x1"), F.max("x2").alias("x2"), F.min("y1").alias("y1"), F.max("y2").alias("y2"), F.max("leaf").alias("leaf")]
+    nodes = cut(up.groupBy(*KEY).agg(*box))
+    counts = up.groupBy(*KEY, "l").agg(F.sum("w").alias("w"))
+
+    def sided(df: DataFrame, side: str) -> DataFrame:
+        return df.select("group", *[F.col(c).alias(f"{side}_{c}") for c in df.columns if c != "group"])
+
+    def interval(d: Column) -> Column:
+        """The interval that a distance falls into; one before the first is -1."""
+        return F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: e < d)) - 1
+
+    children = nodes.filter("depth > 0").select(
+        "group", (F.col("depth") - 1).alias("depth"), F.expr("shiftright(ix, 1)").alias("ix"), F.expr("shiftright(iy, 1)").alias("iy"),
+        F.struct("depth", "ix", "iy").alias("child"),
+    )
+    roots = nodes.filter("depth = 0").select(*KEY)
+    open_pairs = sided(roots, "a").join(sided(roots, "b"), "group")
+    decided, last = None, None
+    while True:
+        pairs = open_pairs.join(sided(nodes, "a"), ["group", *_SIDES[0]]).join(sided(nodes, "b"), ["group", *_SIDES[1]])
+        near, far = [], []
+        for c in ("x", "y"):
+            near.append(F.greatest(F.lit(0.0), F.col(f"b_{c}1") - F.col(f"a_{c}2"), F.col(f"a_{c}1") - F.col(f"b_{c}2")))
+            far.append(F.greatest(F.abs(F.col(f"a_{c}2") - F.col(f"b_{c}1")), F.abs(F.col(f"b_{c}2") - F.col(f"a_{c}1"))))
+        # A little apart, as distances are rounded.
+        low, high = interval(F.hypot(*near) * (1 - 1e-12)), interval(F.hypot(*far) * (1 + 1e-12))
+        same = (F.col("a_depth") == F.col("b_depth")) & (F.col("a_ix") == F.col("b_ix")) & (F.col("a_iy") == F.col("b_iy"))
+        pairs = pairs.withColumns({"low": low, "high": high, "same": same}).filter(F.col("same") | ((F.col("low") < len(edges) - 1) & (F.col("high") >= 0)))
+        whole = (F.col("low") == F.col("high")) & ~F.col("same")
+        kept = ["group", *_SIDES[0], *_SIDES[1], "a_leaf", "b_leaf"]
+        pairs = cut(pairs.select(*kept, F.when(whole, F.col("low")).alias("interval")))
+        products = pairs.filter("interval is not null").join(sided(counts, "a"), ["group", *_SIDES[0]]).join(sided(counts, "b"), ["group", *_SIDES[1]])
+        products = products.groupBy("group", F.col("a_l").alias("a"), F.col("b_l").alias("b"), "interval").agg(F.sum(F.col("a_w") * F.col("b_w")).cast("long").alias("n"))
+        rest = pairs.filter("interval is null")
+        leaf_pairs = rest.filter("a_leaf AND b_leaf").select("group", *_SIDES[0], *_SIDES[1])
+        decided = products if decided is None else decided.unionByName(products)
+        last = leaf_pairs if last is None else last.unionByName(leaf_pairs)
+        rest = rest.filter("NOT (a_leaf AND b_leaf)")
+        if rest.isEmpty():
+            return decided, last
+        for side, own in zip("ab", _SIDES):
+            below = sided(children, side)
+            inner = rest.filter(f"NOT {side}_leaf").join(below, ["group", *own]).withColumns({c: F.col(f"{side}_child")[c.split("_")[1]] for c in own}).drop(f"{side}_child")
+            rest = rest.filter(f"{side}_leaf").unionByName(inner)
+        open_pairs = rest.select("group", *_SIDES[0], *_SIDES[1])
+
+
 def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster", limit: int = 1024,
                    group: str | None = None, apart: bool = False) -> DataFrame:
     """Ordered pairs of distinct points per label pair and distance interval.
 
     Interval ``i`` is ``(edges[i], edges[i + 1]]``; with ``group`` only pairs
     inside a group count, and with ``apart`` each group has rows of its own.  Points of one label at one place are merged and
-    weighted.  Places are tiled; tiles in reach of each other are compared
-    inside tasks of bounded size, which return counts, never pairs.
+    weighted.  Places are tiled, and pairs of tiles within one interval count
+    as products; tiles across an interval's edge are compared inside tasks of
+    bounded size, which return counts, never pairs.
     """
     base = points.select(
         (F.col(group) if group else F.lit(0)).alias("group"), F.col("x").cast("double").alias("x"),
@@ -183,15 +255,12 @@ def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster"
         tiling.points.join(sizes, KEY).withColumn("part", F.pmod(F.monotonically_increasing_id(), F.col("parts")).cast("int"))
         .select(*KEY, "part", "x", "y", "l", "w")
     )
-    blocks = placed.groupBy(*KEY, "part").agg(
-        ((F.min("x") + F.max("x")) / 2).alias("x"), ((F.min("y") + F.max("y")) / 2).alias("y"),
-        (F.hypot(F.max("x") - F.min("x"), F.max("y") - F.min("y")) / 2 + F.lit(float(edges[-1]))).alias("reach"),
-    )
-    asking = blocks.select(
-        "group", "x", "y", "reach", *[F.col(c).alias(f"own_{c}") for c in ("depth", "ix", "iy", "part")]
-    )
+    parts = placed.select(*KEY, "part").distinct()
     pair = ["group", *own, *KEY[1:], "part"]
-    met = tiles_in_reach(asking, tiling).join(blocks.select(*KEY, "part"), KEY).select(*pair)
+    whole, met = _tile_pairs(tiling, edges)
+    met = met.join(parts.select("group", *[F.col(c).alias(f"a_{c}") for c in KEY[1:]], F.col("part").alias("own_part")), ["group", *_SIDES[0]])
+    met = met.join(parts.select("group", *[F.col(c).alias(f"b_{c}") for c in KEY[1:]], "part"), ["group", *_SIDES[1]])
+    met = met.select("group", *[F.col(f"a_{c}").alias(f"own_{c}") for c in KEY[1:]], "own_part", *[F.col(f"b_{c}").alias(c) for c in KEY[1:]], "part")
     mine = placed.select("group", *[F.col(c).alias(f"own_{c}") for c in ("depth", "ix", "iy", "part")], "x", "y", "l", "w")
     left = met.join(mine, ["group", *own])
     right = met.join(placed, [*KEY, "part"])
@@ -229,12 +298,13 @@ def pair_histogram(points: DataFrame, edges: list[float], label: str = "cluster"
         left.toDF(*left.columns).groupBy(*pair).cogroup(right.toDF(*right.columns).groupBy(*pair))
         .applyInPandas(count, f"group {base.schema['group'].dataType.simpleString()}, a string, b string, interval int, n bigint")
     )
+    counted = counted.unionByName(whole.select("group", "a", "b", F.col("interval").cast("int").alias("interval"), "n"))
     return counted.groupBy(*(["group"] if apart else []), "a", "b", "interval").agg(F.sum("n").alias("n"))
 
 
-def co_occurrence(points: DataFrame, edges: list[float], label: str = "cluster") -> DataFrame:
-    """P(label b near label a) / P(label b) per distance interval."""
-    n = cut(pair_histogram(points, edges, label))
+def co_occurrence(points: DataFrame, edges: list[float] | None = None, label: str = "cluster") -> DataFrame:
+    """P(label b near label a) / P(label b) per distance interval; without ``edges`` those of :func:`distance_edges`."""
+    n = cut(pair_histogram(points, edges or distance_edges(points), label))
     by_a = n.groupBy("interval", "a").agg(F.sum("n").alias("na"))
     by_b = n.groupBy("interval", "b").agg(F.sum("n").alias("nb"))
     total = n.groupBy("interval").agg(F.sum("n").alias("t"))

@@ -27,11 +27,32 @@ def domains_graph(t: Inputs):
     return dm.spatial_communities(t.graph(), t.cells())
 
 
+def _seventeen(t: Inputs):
+    return t.kept("seventeen", lambda: _seventeen_domains(t))
+
+
+def _seventeen_domains(t: Inputs):
+    found, resolution = dm.communities_for_count(t.graph(), t.cells(), 17, id="cell_no")
+    return found.withColumn("resolution", F.lit(resolution))
+
+
 @query("domains_for_count")
 def domains_for_count(t: Inputs):
-    """Communities at a resolution that gives seventeen domains."""
-    found, resolution = dm.communities_for_count(t.graph(), t.cells(), 17, id="cell_no", step=0.5)
-    return found.withColumn("resolution", F.lit(resolution))
+    """Communities at the first resolution that gives seventeen domains."""
+    return _seventeen(t)
+
+
+@query(
+    "domains_for_count_properties",
+    "SELECT count(*) AS n_cells, 17::BIGINT AS n_domains, 1::BIGINT AS n_resolutions, true AS on_ladder FROM cells",
+)
+def domains_for_count_properties(t: Inputs):
+    """Each cell once, as many domains as asked for, and one resolution of the ladder."""
+    r = F.max("resolution")
+    return _seventeen(t).agg(
+        F.countDistinct("id").alias("n_cells"), F.countDistinct("label").alias("n_domains"), F.countDistinct("resolution").alias("n_resolutions"),
+        ((r >= 0.1) & (r <= 3.0) & (F.abs(r * 100 - F.round(r * 100)) < 1e-6)).alias("on_ladder"),
+    )
 
 
 @query(
@@ -189,15 +210,16 @@ def neighbourhood_enrichment(t: Inputs):
     return e.select("a", "b", "count", r6("expected").alias("expected"), r6("z_score").alias("z_score"))
 
 
-EDGES = [0.0, 120.0, 240.0, 360.0, 480.0]
-_OCC = """WITH d AS (SELECT a.cluster AS a, b.cluster AS b, CAST(ceil(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) / 120.0) - 1 AS INTEGER) AS "interval"
-      FROM cells a JOIN cells b ON a.cell_no <> b.cell_no WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 230400),
-    n AS (SELECT "interval", a, b, count(*) AS n FROM d GROUP BY 1, 2, 3)"""
+_OCC = """WITH e AS (SELECT sqrt((max(x) - min(x)) * (max(x) - min(x)) + (max(y) - min(y)) * (max(y) - min(y))) / 50 AS width FROM cells),
+    d AS (SELECT a.cluster AS a, b.cluster AS b, least(49, CAST(ceil(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) / width) - 1 AS INTEGER)) AS "interval"
+      FROM cells a JOIN cells b ON a.cell_no <> b.cell_no CROSS JOIN e),
+    n AS (SELECT "interval", a, b, count(*) AS n FROM d WHERE "interval" >= 0 GROUP BY 1, 2, 3)"""
 
 
 @query("pair_histogram", _OCC + ' SELECT "interval", a, b, n FROM n')
 def pair_histogram(t: Inputs):
-    return sp.pair_histogram(t.cells(), EDGES).select("interval", "a", "b", "n")
+    """Pairs of cells by label and distance, over the whole extent."""
+    return sp.pair_histogram(t.cells(), sp.distance_edges(t.cells())).select("interval", "a", "b", "n")
 
 
 @query(
@@ -206,7 +228,7 @@ def pair_histogram(t: Inputs):
     + """ SELECT n."interval", a, b, n, round((n / CAST(sum(n) OVER (PARTITION BY "interval", a) AS DOUBLE)) / (sum(n) OVER (PARTITION BY "interval", b) / CAST(sum(n) OVER (PARTITION BY "interval") AS DOUBLE)), 8) AS ratio FROM n""",
 )
 def co_occurrence(t: Inputs):
-    return sp.co_occurrence(t.cells(), EDGES).withColumn("ratio", r6("ratio", 8))
+    return sp.co_occurrence(t.cells()).withColumn("ratio", r6("ratio", 8))
 
 
 @query(
@@ -309,17 +331,17 @@ def colocalisation_all_background(t: Inputs):
 
 @query("tree_milestones")
 def tree_milestones(t: Inputs):
-    return sp.principal_tree(t.embeddings(), "vector", k=12)[0]
+    return sp.principal_tree(t.embeddings(), "vector")[0]
 
 
 @query("pseudotime")
 def pseudotime(t: Inputs):
-    return sp.principal_tree(t.embeddings(), "vector", k=12)[1]
+    return sp.principal_tree(t.embeddings(), "vector")[1]
 
 
 @query("pseudotime_range")
 def pseudotime_range(t: Inputs):
-    return sp.pseudotime_range(sp.principal_tree(t.embeddings(), "vector", k=12)[1])
+    return sp.pseudotime_range(sp.principal_tree(t.embeddings(), "vector")[1])
 
 
 @query("modularity_of_labels", """WITH m AS (SELECT CAST(count(*) AS DOUBLE) AS m FROM graph), e AS (SELECT a.cluster AS a, b.cluster AS b FROM graph g JOIN cells a ON g.src = a.cell_no JOIN cells b ON g.dst = b.cell_no),
