@@ -24,6 +24,8 @@ from tessera.runtime import cut
 
 #: Rows of a key with which a row is paired at once, so keys of one row more have all their pairs.
 NEXT = 2
+#: Rows of other groups, among so many that follow in a key, with which a row is paired before tiles are made.
+FEW, REACH = 4, 16
 #: Rows of a block of a key; larger keys are compared in tiles of two blocks.
 TILE = 512
 #: Partners of one row that are verified in a row.
@@ -141,26 +143,35 @@ def verified(pairs: DataFrame, held: DataFrame, good: Callable[[int, int, int],
     return runs.mapInArrow(run, "a long, b long")
 
 
+def _neighbours(rows: DataFrame, ratio: float) -> DataFrame:
+    """``a, b``: each row of ``rows (key, n, own, part)`` with the next ``FEW`` of other parts among the ``REACH`` that follow in its key."""
+    ordered = rows.select("key", "n", "own", "part").repartition("key").sortWithinPartitions("key", "n", "own")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 4
+        for batch in batches:
+            before = len(held[0])
+            key, n, own, part = held = [np.concatenate([h, batch.column(k).to_numpy()]) for h, k in zip(held, ("key", "n", "own", "part"))]
+            used, found = np.zeros(len(key), np.int64), []
+            for d in range(1, min(REACH, len(key) - 1) + 1):
+                i = np.arange(max(before - d, 0), len(key) - d)
+                i = i[(key[i] == key[i + d]) & (part[i] != part[i + d]) & (n[i] >= ratio * n[i + d]) & (used[i] < FEW)]
+                used[i] += 1
+                found.append(np.stack([np.minimum(own[i], own[i + d]), np.maximum(own[i], own[i + d])], axis=1))
+            both = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
+            held = [h[-REACH:] for h in held]
+
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
 def _resolved(tiled: DataFrame, test: Test, once: Once | None, good: Callable[[int, int, int], bool], ratio: float) -> DataFrame:
     """``src, dst``: verified links of rows of one tile that connect what all its good pairs connect, beyond what parts do."""
 
     def tile(held: pa.Table) -> list[tuple[int, int]]:
-        own, n, part, block = (held[k].to_numpy() for k in ("own", "n", "part", "block"))
-        sketch = np.frombuffer(b"".join(held["sketch"].to_pylist()), np.uint8).reshape(len(own), -1)
-        members = [np.frombuffer(x.as_buffer(), np.uint64) for x in held["members"].combine_chunks()]
-        crossed = held["x"][0].as_py() != held["y"][0].as_py()
-        about = once.prepare(sketch) if once else None
-        part, found = part.copy(), []
-        for i in range(len(own) - 1):
-            j = np.arange(i + 1, i + 1 + np.searchsorted(n[i + 1 :], n[i] / ratio, "right"))
-            j = j[part[j] != part[i]]
-            if crossed:
-                j = j[block[j] != block[i]]
-            if not len(j):
-                continue
-            j = j[test(np.full(len(j), n[i]), n[j], np.broadcast_to(sketch[i], (len(j), sketch.shape[1])), sketch[j])]
-            if once and len(j):
-                j = j[once.here(sketch[i], sketch[j], about)]
+        own, part, found = held["own"].to_numpy(), held["part"].to_numpy().copy(), []
+        members = [np.frombuffer(x.as_buffer(), np.uint64) for x in held["members"]]
+        for i, j in _partners(held, test, once, ratio):
             for k in j.tolist():
                 if part[k] != part[i]:
                     a, b = members[i], members[k]
@@ -171,27 +182,66 @@ def _resolved(tiled: DataFrame, test: Test, once: Once | None, good: Callable[[i
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["src", "dst"])
-
-        held: list[pa.RecordBatch] = []
-        for whole in batches:
-            for batch in steps(iter([whole]), "members"):
-                keys = [batch.column(k).to_numpy() for k in ("key", "x", "y")]
-                edges = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-                bounds = [0, *edges.tolist(), batch.num_rows]
-                for i, j in zip(bounds[:-1], bounds[1:]):
-                    # A tile may go on in the next batch.
-                    if held and any(held[0].column(k)[0] != batch.column(k)[i] for k in ("key", "x", "y")):
-                        yield out(tile(pa.Table.from_batches(held)))
-                        held = []
-                    held.append(batch.slice(i, j - i))
-        if held:
-            yield out(tile(pa.Table.from_batches(held)))
+        for held in _each_tile(batches, "members"):
+            found = tile(held)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["src", "dst"])
 
     return tiled.mapInArrow(run, "src long, dst long")
 
 
+def _each_tile(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """The rows of each tile, from rows in the order of tiles."""
+    held: list[pa.RecordBatch] = []
+    for whole in batches:
+        for batch in steps(iter([whole]), column):
+            keys = [batch.column(k).to_numpy() for k in ("key", "x", "y")]
+            edges = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            bounds = [0, *edges.tolist(), batch.num_rows]
+            for i, j in zip(bounds[:-1], bounds[1:]):
+                # A tile may go on in the next batch.
+                if held and any(held[0].column(k)[0].as_py() != batch.column(k)[i].as_py() for k in ("key", "x", "y")):
+                    yield pa.Table.from_batches(held)
+                    held = []
+                held.append(batch.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _partners(held: pa.Table, test: Test, once: Once | None, ratio: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a tile with the later ones of other parts that the test allows and that are compared here."""
+    n, part, block = (held[k].to_numpy() for k in ("n", "part", "block"))
+    sketch = np.frombuffer(b"".join(held["sketch"].to_pylist()), np.uint8).reshape(len(n), -1)
+    crossed = held["x"][0].as_py() != held["y"][0].as_py()
+    about = once.prepare(sketch) if once else None
+    for i in range(len(n) - 1):
+        j = np.arange(i + 1, i + 1 + np.searchsorted(n[i + 1 :], n[i] / ratio, "right"))
+        j = j[part[j] != part[i]]
+        if crossed:
+            j = j[block[j] != block[i]]
+        if len(j):
+            j = j[test(np.full(len(j), n[i]), n[j], np.broadcast_to(sketch[i], (len(j), sketch.shape[1])), sketch[j])]
+        if once and len(j):
+            j = j[once.here(sketch[i], sketch[j], about)]
+        if len(j):
+            yield i, j
+
+
+def _wanted(tiled: DataFrame, test: Test, once: Once | None, ratio: float) -> DataFrame:
+    """The rows of tiles that have a partner; only their whole sets are fetched."""
+    names = ["key", "x", "y", "block", "own", "part"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _each_tile(batches, "sketch"):
+            some = np.zeros(len(held), bool)
+            for i, j in _partners(held, test, once, ratio):
+                some[i] = True
+                some[j] = True
+            if some.any():
+                yield from held.select(names).filter(pa.array(some)).combine_chunks().to_batches()
+
+    return tiled.mapInArrow(run, "key long, x int, y int, block int, own long, part long")
+
+
 class Once:
     """Which of the keys that a pair shares compares it."""
 
@@ -237,14 +287,27 @@ def links(
     pairs = cut(filtered(met.filter("NOT crowd").select("a", "b").distinct(), sets, test))
     held = cut(load(pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct()))
     firm = cut(verified(pairs, held, good).select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    vertices = firm.select(F.col("src").alias("id")).union(firm.select("dst")).distinct()
-    parts = components(firm, vertices).select(F.col("id").alias("own"), F.col("component").alias("part"))
     crowds = met.filter("crowd").select(F.col("a").alias("key"), F.col("b").alias("own"))
-    tiled = cut(_tiles(crowds.join(parts, "own", "left").withColumn("part", F.coalesce("part", "own"))))
-    held = cut(load(tiled.select("own").distinct()))
-    rows = tiled.join(sets.select("own", "n", "sketch"), "own").join(held, "own")
-    rows = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "n", "own")
-    return cut(firm.union(_resolved(rows, test, once, good, ratio)))
+
+    def parted() -> DataFrame:
+        """Rows of crowds with the part that links put them in; keys of one part are done."""
+        vertices = firm.select(F.col("src").alias("id")).union(firm.select("dst")).distinct()
+        parts = components(firm, vertices).select(F.col("id").alias("own"), F.col("component").alias("part"))
+        rows = crowds.join(parts, "own", "left").withColumn("part", F.coalesce("part", "own"))
+        several = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+        return cut(rows.join(several.select("key"), "key", "left_semi"))
+
+    def in_order(rows: DataFrame) -> DataFrame:
+        return rows.join(sets.select("own", "n", "sketch"), "own").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "n", "own")
+
+    # Rows that the first pairs left out of a group meet a few of its members before any are compared with all.
+    near = _neighbours(parted().join(sets.select("own", "n"), "own"), ratio)
+    pairs = cut(filtered(near.join(pairs, ["a", "b"], "left_anti"), sets, test))
+    held = cut(load(pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct()))
+    firm = cut(firm.union(verified(pairs, held, good).select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+    wanted = cut(_wanted(in_order(_tiles(parted())), test, once, ratio))
+    held = cut(load(wanted.select("own").distinct()))
+    return cut(firm.union(_resolved(in_order(wanted.join(held, "own")), test, once, good, ratio)))
 
 
 def class_of(sets: DataFrame, firm: DataFrame) -> DataFrame:
