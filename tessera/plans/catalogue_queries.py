@@ -325,6 +325,18 @@ def benchmark_documents(t: Inputs):
     return rows.select("source", F.get_json_object("document", "$.n_obs").cast("bigint").alias("n_obs"))
 
 
+@query("benchmark_summary_file", f"WITH {_RUNS} SELECT step || '_' || backend AS source, n * 10 AS n_obs FROM runs")
+def benchmark_summary_file(t: Inputs):
+    """The summary file of a benchmark, where there is one, in place of its reports."""
+    path = new_path(t.spark, "benchmark")
+    runs = _reports(t).select(F.col("path").alias("source"), F.try_variant_get("report", "$.n_obs", "bigint").alias("n_obs"))
+    # One document; a benchmark has a run for each step and backend.
+    runs.agg(F.to_json(F.struct(F.collect_list(F.struct("source", "n_obs")).alias("runs"))).alias("value")).coalesce(1).write.text(path)
+    document = rep.read_benchmark(t.spark, [path], _reports(t))
+    held = F.from_json("document", "runs array<struct<source:string,n_obs:bigint>>")["runs"]
+    return document.select(F.explode(held).alias("run")).select("run.source", "run.n_obs")
+
+
 _RESULTS = "SELECT event_type AS platform, CASE WHEN value < 20 THEN 'FAIL' ELSE 'PASS' END AS status, value AS elapsed_seconds, event_id, user_id FROM events"
 
 

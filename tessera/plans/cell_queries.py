@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.contracts import check_contracts
+from tessera.functions.contracts import check_input, contract_violations as violations
 from tessera.operators import cells as ce
 from tessera.operators import evaluate as ev
 from tessera.operators import expression as ex
@@ -495,13 +495,28 @@ def silhouette_squared(t: Inputs):
     return ev.silhouette_squared(t.embeddings(), "vector", "label").withColumn("value", r6("value"))
 
 
-@query("contract_violations", """SELECT s AS source, g AS target, b AS "table", m AS missing FROM (VALUES
-    ('spatial_domain', 'analysis', 'cells', 'x'), ('spatial_domain', 'analysis', 'cells', 'y'),
-    ('subcellular_spatial_domain', 'analysis', 'segmented', 'subcellular_domain'),
-    ('analysis', 'annotation', 'cells', 'pcs'), ('analysis', 'annotation', 'cells', 'x'), ('analysis', 'annotation', 'cells', 'y'),
-    ('annotation', 'end', 'cells', 'cell_type')) v(s, g, b, m)""")
+@query("contract_violations", """WITH k AS (SELECT count(*) AS n FROM cells), d AS (SELECT count(*) FILTER (WHERE cell_id IS NULL) AS n FROM transcripts),
+    g AS (SELECT count(*) AS n, count(*) FILTER (WHERE CAST(cell_id AS BIGINT) % 3 = 0) AS lost FROM seg), c AS (SELECT count(*) AS n FROM cells WHERE cell_no % 3 <> 0),
+    e AS (SELECT count(*) FILTER (WHERE fov = 6) AS n FROM seg)
+    SELECT s AS source, g AS target, b AS "table", m AS "column", p AS problem, CAST(n AS BIGINT) AS n FROM (
+    SELECT 'denoise' AS s, 'segmentation' AS g, 'denoised' AS b, 'cell_id' AS m, 'null' AS p, n FROM d
+    UNION ALL SELECT 'segmentation', t, 'segmented', 'cell_id', 'unmatched', lost FROM g, (VALUES ('spatial_domain'), ('subcellular_spatial_domain')) v(t)
+    UNION ALL SELECT 'segmentation', 'subcellular_spatial_domain', 'segmented', 'x', 'not finite', n FROM e
+    UNION ALL SELECT 'subcellular_spatial_domain', 'analysis', 'segmented', 'subcellular_domain', 'missing', n FROM g
+    UNION ALL SELECT 'spatial_domain', 'analysis', 'cells', m, 'missing', n FROM c, (VALUES ('x'), ('y')) v(m)
+    UNION ALL SELECT 'analysis', 'annotation', 'cells', m, 'missing', n FROM c, (VALUES ('pcs'), ('x'), ('y')) v(m)
+    UNION ALL SELECT 'annotation', 'end', 'cells', 'cell_type', 'missing', n FROM c) WHERE n > 0""")
 def contract_violations(t: Inputs):
-    """Columns that the derived tables lack for the next steps."""
-    return check_contracts(
-        t.spark, {"denoised": t.transcripts(), "segmented": t.segmented(), "cells": t.cells().drop("x", "y")}
-    )
+    """Rows of derived tables that the next steps cannot take: with a third of the cells gone and the x of one field unknown."""
+    segmented = t.segmented().withColumn("x", F.when(F.col("fov") == 6, F.lit(float("nan"))).otherwise(F.col("x")))
+    cells = t.cells().filter("cell_no % 3 <> 0").drop("x", "y")
+    return violations(t.spark, {"denoised": t.transcripts(), "segmented": segmented, "cells": cells})
+
+
+@query("step_inputs", """SELECT * FROM (VALUES ('denoise', 'denoise input: missing required columns: [''CellComp'']'), ('annotation', 'annotation input: is empty')) v(step, message)
+    WHERE (SELECT count(*) FROM seg) > 0""")
+def step_inputs(t: Inputs):
+    """What the inputs of steps lack: transcripts without compartments, and no cells of a field that there is not."""
+    given = {"denoise": t.transcripts().drop("CellComp"), "segmentation": t.segmented(), "annotation": t.cells().filter("n_transcripts < 0")}
+    rows = [(step, message) for step, df in given.items() for message in check_input(df, step)]
+    return t.spark.createDataFrame(rows, "step string, message string")

@@ -12,7 +12,7 @@ from tessera.operators import spatial_stats as sp
 from tessera.operators.graph import communities, components, modularity
 from tessera.operators.transcripts import distribution
 from tessera.plans.cell_queries import _pcs
-from tessera.plans.inputs import Inputs, query, r6
+from tessera.plans.inputs import ORACLES, QUERIES, Inputs, query, r6
 from tessera.sources import sinks
 from tessera.runtime import cut, new_path
 
@@ -351,12 +351,35 @@ def modularity_of_labels(t: Inputs):
     return t.spark.range(1).select(r6(F.lit(q), 9).alias("q"))
 
 
-@query("spatial_results_sink", _ENRICH + ' SELECT a, b, c AS "count" FROM m')
+_PARTS = {
+    "svg": ("morans_i", 'gene, NULL, NULL, "I"'),
+    "neighbourhood": ("neighbourhood_enrichment", 'a, b, NULL, "count"'),
+    "co_occurrence": ("co_occurrence", 'a, b, "interval", ratio'),
+    "rna_localization": ("radial_distance", "cell_id, NULL, NULL, mean_rna_radial_distance"),
+    "colocalisation": ("colocalisation_expected", "gene_a, gene_b, NULL, n"),
+}
+
+
+@query(
+    "spatial_results_sink",
+    " UNION ALL ".join(
+        f"SELECT '{part}' AS part, CAST(a AS VARCHAR) AS a, CAST(b AS VARCHAR) AS b, CAST(coalesce(i, -1) AS INTEGER) AS \"interval\", round(CAST(value AS DOUBLE), 4) AS value "
+        f"FROM (SELECT {columns} FROM ({ORACLES[name]})) q(a, b, i, value)"
+        for part, (name, columns) in _PARTS.items()
+    ),
+)
 def spatial_results_sink(t: Inputs):
-    """Enrichment written as JSON documents and read back."""
-    path = new_path(t.spark, "neighbourhood.json")
-    sp.neighbourhood_enrichment(t.graph(), t.cells(), empty=True).write.json(path)
-    return t.spark.read.schema("a string, b string, count bigint").json(path)
+    """All parts of the spatial and subcellular results, each written as JSON and read back (interval -1: the part has none)."""
+    folder = new_path(t.spark, "results")
+    made = {part: QUERIES[name](t.spark, t.folder) for part, (name, _) in _PARTS.items()}
+    paths = sinks.write_results(made, folder)
+    whole = None
+    for part, (_, columns) in _PARTS.items():
+        own = t.spark.read.schema(made[part].schema).json(paths[part])
+        a, b, i, value = (F.lit(None) if c.strip() == "NULL" else F.col(c.strip().strip('"')) for c in columns.split(","))
+        rows = own.select(F.lit(part).alias("part"), a.cast("string").alias("a"), b.cast("string").alias("b"), F.coalesce(i.cast("int"), F.lit(-1)).alias("interval"), F.round(value.cast("double"), 4).alias("value"))
+        whole = rows if whole is None else whole.unionByName(rows)
+    return whole
 
 
 @query("community_properties", "SELECT (SELECT count(*) FROM cells) AS n_cells, (SELECT count(*) FROM cells) AS n_labelled, 0::BIGINT AS better_moves, 0::BIGINT AS parted")

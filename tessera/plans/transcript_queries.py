@@ -408,8 +408,31 @@ def cell_overview(t: Inputs):
     return overview(detail(t.transcripts(), "7"))
 
 
+@query(
+    "cell_overview_of_gene",
+    """WITH d AS (SELECT * FROM transcripts WHERE cell_id = '7' AND gene = (SELECT min(gene) FROM transcripts WHERE cell_id = '7'))
+    SELECT count(*) AS n_transcripts, string_agg(DISTINCT gene, ',' ORDER BY gene) AS genes, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y FROM d""",
+)
+def cell_overview_of_gene(t: Inputs):
+    """One cell's first gene alone."""
+    from tessera.sources.reports import cell_detail as detail, cell_overview as overview
+
+    gene = t.transcripts().filter("cell_id = '7'").agg(F.min("gene")).first()[0]
+    return overview(detail(t.transcripts(), "7", gene))
+
+
 @query("cell_gene_ranking", "SELECT gene AS value, count(*) AS n FROM transcripts WHERE cell_id = '7' GROUP BY 1")
 def cell_gene_ranking(t: Inputs):
     from tessera.sources.reports import cell_detail as detail, counts_of
 
     return counts_of(detail(t.transcripts(), "7"), "gene")
+
+
+@query("alias_resolution", "SELECT gene, cell_id, count(*) AS n, sum(x) AS x, sum(y) AS y FROM seg GROUP BY 1, 2")
+def alias_resolution(t: Inputs):
+    """Counts over columns that have an instrument's names."""
+    from tessera.schema import need_column
+
+    named = t.segmented().withColumnsRenamed({"x": "x_global_px", "y": "global_y", "gene": "feature_name", "cell_id": "cell_ID"})
+    found = named.select(*[F.col(need_column(named, c)).alias(c) for c in ("gene", "cell_id", "x", "y")])
+    return found.groupBy("gene", "cell_id").agg(F.count("*").alias("n"), F.sum("x").alias("x"), F.sum("y").alias("y"))

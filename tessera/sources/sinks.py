@@ -85,6 +85,15 @@ def write_report(whole: DataFrame, path: str) -> None:
     whole.coalesce(1).write.mode("overwrite").json(path)
 
 
+def write_results(parts: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """Each part of the results as JSON documents in a folder of its own; the folders."""
+    paths = {}
+    for name, df in parts.items():
+        paths[name] = f"{folder.rstrip('/')}/{name}.json"
+        df.write.mode("overwrite").json(paths[name])
+    return paths
+
+
 def results_summary(platform: str, layers: dict[str, list[str]], totals: DataFrame, labels: dict[str, DataFrame]) -> DataFrame:
     """Layers of a result with cell and gene totals and the counts of each labelling."""
     spark = totals.sparkSession

@@ -87,3 +87,14 @@ def test_graph_domains(spark):
 
 def test_domain_count():
     assert [dm.domain_count(n) for n in (1, 16, 100, 10**6)] == [2, 4, 7, 12]
+
+
+def test_first_resolution_that_gives_the_count(spark):
+    cliques = [(6 * c + i, 6 * c + j) for c in range(4) for i in range(6) for j in range(6) if i != j]
+    chain = [(6 * c + a, 6 * c + b) for c in range(3) for a, b in ((5, 6), (6, 5))]
+    graph = spark.createDataFrame(cliques + chain, "src bigint, dst bigint")
+    found, resolution = dm.communities_for_count(graph, spark.range(24), 4, step=0.1, together=16)
+    rows = found.collect()
+    assert len(rows) == 24 and len({r["label"] for r in rows}) == 4 and 0.1 <= resolution <= 3.0
+    none, lowest = dm.communities_for_count(graph, spark.range(24), 23, step=0.5, together=3)
+    assert none.count() == 24 and lowest in (0.1, 0.6, 1.1, 1.6, 2.1, 2.6)

@@ -78,3 +78,39 @@ def test_communities_of_known_graphs(spark):
     assert _improving(both, label) == []
     assert all(len({label[1000 + c * m + i] for i in range(m)}) == 1 for c in range(k)) and len({label[1000 + v] for v in range(k * m)}) == k
     assert len({label[2000 + v] for v in range(12)}) == 1
+
+
+def _grid(n):
+    return [(i * n + j, i * n + j + 1) for i in range(n) for j in range(n - 1)] + [(i * n + j, i * n + n + j) for i in range(n - 1) for j in range(n)]
+
+
+def test_communities_of_a_grid_over_many_blocks(spark, monkeypatch):
+    """Blocks of a few vertices: what they settle is bettered across them, with frontiers of few vertices a block."""
+    monkeypatch.setattr(gr, "BLOCK_EDGES", 120)
+    monkeypatch.setattr(gr, "BLOCK_MOVERS", 8)
+    grid = _grid(8)
+    edges = _both_ways(spark, grid)
+    found = gr.communities(edges, spark.range(64)).collect()
+    label = {r["id"]: r["label"] for r in found}
+    assert len(found) == len(label) == 64
+    both = [(a, b) for e in grid for a, b in (e, e[::-1])]
+    tot = {}
+    for a, _ in both:
+        tot[label[a]] = tot.get(label[a], 0) + 1
+    assert sum(label[a] == label[b] for a, b in both) / len(both) - sum((t / len(both)) ** 2 for t in tot.values()) >= 0.55
+    assert _improving(both, label) == []
+
+
+def test_communities_of_a_grid(spark):
+    edges = _both_ways(spark, _grid(10))
+    assert gr.modularity(edges, gr.communities(edges, spark.range(100))) >= 0.63
+
+
+def test_resolution_of_a_group(spark):
+    """One graph twice, under resolutions that join and part its cliques."""
+    edges, _ = _two_cliques(spark)
+    pairs = [(r["src"], r["dst"]) for r in edges.collect()]
+    both = spark.createDataFrame([(a + 100 * g, b + 100 * g) for a, b in pairs for g in (0, 1)], "src bigint, dst bigint").withColumn("w", F.lit(1.0))
+    vertices = spark.createDataFrame([(v + 100 * g, g, (0.01, 1.0)[g]) for v in range(12) for g in (0, 1)], "id bigint, g int, r double")
+    label = {r["id"]: r["label"] for r in gr.communities(both, vertices, "r", group="g").collect()}
+    assert len({label[v] for v in range(12)}) == 1 and len({label[100 + v] for v in range(12)}) == 2

@@ -77,3 +77,17 @@ def test_every_count_is_expanded(spark):
     assert {r["gene"]: r["count"] for r in got} == {"A": 3, "B": 250}
     below, above = split_counts(df, 100)
     assert [r.gene for r in above.collect()] == ["B"] and below.count() == 5
+
+
+def test_checks_of_a_written_table(spark, tmp_path):
+    from tessera.functions.contracts import contract_violations, write_checked
+
+    rows = [(None, 1.0), ("", float("nan")), (" ", float("inf")), ("a", None)]
+    df = spark.createDataFrame(rows, "cell_id string, x double")
+    back, found = write_checked(df, str(tmp_path / "t"), ["cell_id", "x", "y"])
+    assert back.count() == 4
+    assert found == {("cell_id", "null"): 1, ("cell_id", "empty"): 2, ("x", "null"): 1, ("x", "not finite"): 2, ("y", "missing"): 4}
+    assert write_checked(df.limit(0), str(tmp_path / "none"), ["x"])[1]["", "no rows"] == 1
+    got = {tuple(r) for r in contract_violations(spark, {"segmented": df, "cells": spark.createDataFrame([("a",)], "cell_id string")}).collect()}
+    assert ("segmentation", "spatial_domain", "segmented", "cell_id", "unmatched", 2) in got
+    assert ("denoise", "segmentation", "denoised", "", "no table", 1) in got
