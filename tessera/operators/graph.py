@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -11,21 +13,62 @@ from tessera.functions.columns import safe_ratio
 from tessera.operators.moves import TOLERANCE, Block, settle
 from tessera.runtime import cut, number_rows
 
+#: Links that one task puts together.
+PIECE = 1 << 20
 #: Edges of a block in which communities settle, and vertices of a block that move in a later round.
 BLOCK_EDGES, BLOCK_MOVERS = 1 << 18, 1 << 16
 #: Steps over which blocks spread, and doublings of the pointers between communities.
 SPREAD, JUMPS = 8, 3
 
 
+def _stars(links: DataFrame, pieces: int) -> DataFrame:
+    """The links ``v, u`` as stars: in each of ``pieces`` tasks every vertex is linked to the smallest one that its links reach."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[batch.column(c).to_numpy(zero_copy_only=False) for c in ("v", "u")] for batch in batches]
+        if not held:
+            return
+        ids, at = np.unique(np.concatenate([x for pair in zip(*held) for x in pair]), return_inverse=True)
+        v, u = at[: len(at) // 2], at[len(at) // 2 :]
+        least = np.arange(len(ids))
+        while True:
+            low = least.copy()
+            np.minimum.at(low, v, least[u])
+            np.minimum.at(low, u, least[v])
+            low = low[low]
+            if np.array_equal(low, least):
+                break
+            least = low
+        inner = np.flatnonzero(least != np.arange(len(ids)))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[inner]), pa.array(ids[least[inner]])], ["v", "u"])
+
+    kind = links.schema["v"].dataType.simpleString()
+    return links.coalesce(pieces).mapInArrow(run, f"v {kind}, u {kind}")
+
+
 def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """Component of each vertex: ``id, component`` (its smallest id).
 
-    Alternates the two star steps of Kiveris et al. (2014): link larger
-    neighbours, then smaller ones, to the smallest id around.  Only minima are
-    aggregated, so a vertex with very many edges is no group to collect.
+    Tasks of at most about ``PIECE`` links first make stars of what they
+    hold; if one task is enough, those are the components.  Else the two star
+    steps of Kiveris et al. (2014) alternate: link larger neighbours, then
+    smaller ones, to the smallest id around.  Only minima are aggregated, so a
+    vertex with very many edges is no group to collect.
     """
     links = edges.select(F.greatest("src", "dst").alias("v"), F.least("src", "dst").alias("u"))
-    links = links.filter("v > u").distinct()
+    links = cut(links.filter("v > u"))
+    pieces = links.count() // PIECE + 1
+    links = cut(_stars(links, pieces))
+    if pieces > 1:
+        links = _star_rounds(links)
+    found = links.select(F.col("v").alias("id"), F.col("u").alias("component"))
+    return vertices.select("id").join(found, "id", "left").select(
+        "id", F.coalesce("component", "id").alias("component")
+    )
+
+
+def _star_rounds(links: DataFrame) -> DataFrame:
+    """Links of every vertex but the smallest of its component to that one."""
     before = None
     while True:
         both = links.unionByName(links.select(F.col("u").alias("v"), F.col("v").alias("u")))
@@ -37,12 +80,8 @@ def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
         links = cut(small.unionByName(down.select("v", F.col("m").alias("u"))).distinct())
         now = links.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if now == before:
-            break
+            return links
         before = now
-    found = links.select(F.col("v").alias("id"), F.col("u").alias("component"))
-    return vertices.select("id").join(found, "id", "left").select(
-        "id", F.coalesce("component", "id").alias("component")
-    )
 
 
 def graph_metrics(edges: DataFrame, vertices: DataFrame) -> DataFrame:

@@ -19,6 +19,14 @@ def test_components_of_a_path_and_a_star(spark):
     assert got[160] == 160
 
 
+def test_components_over_many_pieces(spark, monkeypatch):
+    monkeypatch.setattr(gr, "PIECE", 7)
+    edges = [(3 * i, 3 * i + 3) for i in range(40)] + [(1, 301), (301, 4), (4, 1), (2, 2)]
+    got = {r["id"]: r["component"] for r in gr.components(spark.createDataFrame(edges, "src bigint, dst bigint").repartition(9), spark.range(302)).collect()}
+    assert len(got) == 302 and all(got[3 * i] == 0 for i in range(41))
+    assert got[1] == got[301] == got[4] == 1 and got[2] == 2 and got[5] == 5
+
+
 def test_communities_find_the_cliques(spark):
     edges, vertices = _two_cliques(spark)
     weighted = edges.withColumn("w", F.lit(1.0))
