@@ -27,9 +27,11 @@ CLASSES = 1 + FREQUENT + ENDINGS
 #: Features of a token, and hash buckets of each.
 FEATURES, BUCKETS = 4, 1 << 12
 #: Tokens of one gradient update, and its rate.
-UPDATE, RATE = 16384, 0.3
+UPDATE, RATE = 4096, 0.3
 #: Bytes of text of a block of documents, of a step, and for which there is a bucket of words.
 BLOCK_BYTES, STEP_BYTES, BUCKET_BYTES = 6 << 20, 4 << 20, 16 << 20
+#: Bytes of text from which one learner makes its updates, in a row.
+LEARNER_BYTES = 16 << 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[48:58] = _LETTER[97:123] = _LETTER[128:] = True
@@ -60,10 +62,11 @@ def read(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def parts(hashes: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
     """``(bucket, start, end)`` of the buckets that sorted hashes meet."""
-    step = -(-(2**64) // buckets)
-    edges = np.searchsorted(hashes, np.array([min(b * step, 2**64 - 1) for b in range(1, buckets)], np.uint64)).tolist()
-    edges = [0, *edges, len(hashes)]
-    return [(b, i, j) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if i < j]
+    if not len(hashes):
+        return []
+    of = hashes // np.uint64(-(-(2**64) // buckets)) if buckets > 1 else np.zeros(len(hashes), np.uint64)
+    heads = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1])
+    return list(zip(of[heads].tolist(), heads.tolist(), [*heads[1:].tolist(), len(hashes)]))
 
 
 def merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,28 +214,35 @@ def summary(counted: DataFrame, ends: int) -> Model:
     return Model(total, distinct, ends, frequent[order], 1 + order, mass)
 
 
-def train(training: DataFrame, text: str, model: Model, rounds: int) -> None:
-    """Each round, every task makes gradient updates over its tokens from the common weights; a feature's new
-    weights are the mean over tasks, by how often each has seen it.  What is sent has a fixed size for each task."""
+def train(training: DataFrame, id: str, text: str, model: Model, learners: int, rounds: int) -> None:
+    """Each round, learners make gradient updates from the common weights; a feature's new weights are the mean over
+    learners, by how often each has seen it.
+
+    A learner has about ``LEARNER_BYTES`` of text at any size of the corpus,
+    which a row's id and text deal to it and which it reads in the order of
+    ids, so weights depend neither on partitions nor on tasks.  What is sent
+    has a fixed size for each learner.
+    """
     spark = training.sparkSession
+    rows = training.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    rows = rows.withColumn("learner", F.pmod(F.xxhash64("id", "text"), F.lit(learners)))
+    fixed = (model.total, model.distinct, model.ends, model.frequent, model.frequent_class, model.mass)
     for _ in range(rounds):
-        sent = spark.sparkContext.broadcast(model)
+        sent = spark.sparkContext.broadcast((fixed, model.weights))
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            common = sent.value
-            own = Model(common.total, common.distinct, common.ends, common.frequent, common.frequent_class, common.mass, common.weights.copy())
+        def run(table: pa.Table) -> pa.Table:
+            common, weights = sent.value
+            own = Model(*common, weights.copy())
             squares, seen = np.zeros_like(own.weights), np.zeros(len(own.weights), np.int64)
-            for batch in steps(batches, text, STEP_BYTES):
-                _, kind, features, _ = own.examples(*read(batch.column(text)))
+            ordered = table.sort_by([("id", "ascending"), ("text", "ascending")]).combine_chunks()
+            for batch in steps(iter(ordered.to_batches()), "text", STEP_BYTES):
+                _, kind, features, _ = own.examples(*read(batch.column("text")))
                 own.learn(kind, features, squares, seen)
-            for i in range(0, len(seen), 1024):
-                rows = i + np.flatnonzero(seen[i : i + 1024])
-                values = own.weights[rows].ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), pa.array(seen[rows]), pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * CLASSES, values)], ["row", "n", "w"]
-                )
+            some = np.flatnonzero(seen)
+            values = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * CLASSES, own.weights[some].ravel())
+            return pa.table({"row": some, "n": seen[some], "w": values})
 
-        made = training.select(text).mapInArrow(run, "row long, n long, w array<float>")
+        made = rows.groupBy("learner").applyInArrow(run, "row long, n long, w array<float>")
         means = [(F.sum(F.col("w")[k].cast("double") * F.col("n")) / F.sum("n")).cast("float") for k in range(CLASSES)]
         # Never more rows than the model has.
         for r in made.groupBy("row").agg(F.array(*means).alias("w")).collect():
@@ -261,8 +271,9 @@ def lm_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", parted: i
     training = docs.filter(part(F.col(id), parted) != 0)
     counted = cut(count(training, text, buckets))
     model = summary(counted, training.count())
-    train(training, text, model, rounds)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    train(training, id, text, model, total // LEARNER_BYTES + 1, rounds)
+    # Plain arrays, which workers without this package can read.
+    sent = docs.sparkSession.sparkContext.broadcast((model.total, model.distinct, model.ends, model.frequent, model.frequent_class, model.mass, model.weights))
 
     rows = docs.select(F.col(id).alias("__id"), F.col(text).alias("__text"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("__id", "__text"), F.lit(blocks))).repartition("block")
@@ -287,7 +298,7 @@ def lm_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", parted: i
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return schema.empty_table()
-        own = sent.value
+        own = Model(*sent.value)
         hashes, endings, before = read(table["__text"].combine_chunks())
         distinct, which = np.unique(hashes, return_inverse=True)
         counts = np.zeros(len(distinct), np.uint64)

@@ -199,3 +199,15 @@ def test_model_is_a_distribution():
     shares[1 + lm.FREQUENT :] += 0.1 / mass[1 + lm.FREQUENT :]
     shares[0] = 1
     assert shares == pytest.approx(np.ones(lm.CLASSES))
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    """The same documents over 1, 4 and 64 partitions, with several learners, have the same scores; and something is learnt."""
+    monkeypatch.setattr(lm, "LEARNER_BYTES", 400_000)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = [{r.doc_id: (r.base_score, r.score, r.held_out, r.n_tokens) for r in lm_scores(docs.repartition(n)).collect()} for n in (1, 4, 64)]
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        assert all(abs(other[i][1] - x[1]) < 1e-6 * abs(x[1]) and abs(other[i][0] - x[0]) < 1e-6 * abs(x[0]) for i, x in found[0].items())
+    held = [x for x in found[0].values() if x[2]]
+    assert sum(x[1] - x[0] for x in held) / sum(x[3] for x in held) > 0.05
