@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -259,10 +260,11 @@ def leaks(
 
     def search(block: list) -> DataFrame:
         held = Items([r[0] for r in block], [r[1] for r in block], rate, recall, seed)
-        sent = spark.sparkContext.broadcast(held)
+        # With the class itself, so that workers need no copy of this package.
+        sent = spark.sparkContext.broadcast(cloudpickle.dumps(held))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = sent.value
+            own = cloudpickle.loads(sent.value)
             kind = None
             for batch in steps(batches, text):
                 kind = kind or pa.array(own.ids).type

@@ -70,15 +70,13 @@ class Block:
         #: Anchors of several documents of this block.
         self.local = least != most
 
-    def bounds(self, hashes: np.ndarray) -> np.ndarray:
-        """Where each bucket's share of sorted ``hashes`` begins (buckets + 1)."""
-        step = -(-(2**64) // self.buckets)
-        return np.searchsorted(hashes, np.array([min(b * step, 2**64 - 1) for b in range(1, self.buckets)], np.uint64)).tolist()
-
     def parts(self, hashes: np.ndarray) -> list[tuple[int, int, int]]:
-        """``(bucket, start, end)`` of the buckets that ``hashes`` meet."""
-        edges = [0, *self.bounds(hashes), len(hashes)]
-        return [(b, i, j) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if i < j]
+        """``(bucket, start, end)`` of the buckets that sorted ``hashes`` meet; only these cost."""
+        if not len(hashes):
+            return []
+        of = hashes // np.uint64(-(-(2**64) // self.buckets)) if self.buckets > 1 else np.zeros(len(hashes), np.uint64)
+        heads = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1])
+        return list(zip(of[heads].tolist(), heads.tolist(), [*heads[1:].tolist(), len(hashes)]))
 
     def answers(self, table: pa.Table, kind: int, hashes: np.ndarray) -> np.ndarray:
         """The bits that buckets have answered; buckets without a set bit have not."""
