@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.llm.batches import LOWER, flat, mixed, steps, window_hashes, word_hashes, words
 from tessera.operators.graph import components
@@ -24,8 +25,10 @@ from tessera.runtime import cut
 
 #: Rows of a key with which a row is paired at once, so keys of one row more have all their pairs.
 NEXT = 2
-#: Rows of other groups, among so many that follow in a key, with which a row is paired before tiles are made.
+#: Rows of other groups, among so many around it in a key, with which a row that was left out is paired before tiles are made.
 FEW, REACH = 4, 16
+#: Keys in which it looks for them.
+SOUGHT = 4
 #: Rows of a block of a key; larger keys are compared in tiles of two blocks.
 TILE = 512
 #: Partners of one row that are verified in a row.
@@ -144,23 +147,32 @@ def verified(pairs: DataFrame, held: DataFrame, good: Callable[[int, int, int],
 
 
 def _neighbours(rows: DataFrame, ratio: float) -> DataFrame:
-    """``a, b``: each row of ``rows (key, n, own, part)`` with the next ``FEW`` of other parts among the ``REACH`` that follow in its key."""
-    ordered = rows.select("key", "n", "own", "part").repartition("key").sortWithinPartitions("key", "n", "own")
+    """``a, b``: rows outside their key's largest part with about ``FEW`` of other parts among the ``REACH`` before and after them.
+
+    ``rows`` has ``key, n, own, part, large``.  A row looks around in
+    ``SOUGHT`` of its keys, so that its pairs do not follow their number.
+    """
+    # A row has a bounded number of keys.
+    nth = F.row_number().over(Window.partitionBy("own").orderBy("left", F.xxhash64("key"), "key"))
+    left = rows.select("key", "n", "own", "part", (F.col("part") == F.col("large")).alias("left"))
+    marked = left.select("key", "n", "own", "part", (~F.col("left") & (nth <= SOUGHT)).cast("long").alias("seeks"))
+    ordered = marked.repartition("key").sortWithinPartitions("key", "n", "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 4
+        held, used = [np.zeros(0, np.int64)] * 5, np.zeros(0, np.int64)
         for batch in batches:
-            before = len(held[0])
-            key, n, own, part = held = [np.concatenate([h, batch.column(k).to_numpy()]) for h, k in zip(held, ("key", "n", "own", "part"))]
-            used, found = np.zeros(len(key), np.int64), []
+            before = len(used)
+            key, n, own, part, seeks = held = [np.concatenate([h, batch.column(k).to_numpy()]) for h, k in zip(held, ("key", "n", "own", "part", "seeks"))]
+            used, found = np.concatenate([used, np.where(seeks[before:] == 1, 0, FEW)]), []
             for d in range(1, min(REACH, len(key) - 1) + 1):
                 i = np.arange(max(before - d, 0), len(key) - d)
-                i = i[(key[i] == key[i + d]) & (part[i] != part[i + d]) & (n[i] >= ratio * n[i + d]) & (used[i] < FEW)]
+                i = i[(key[i] == key[i + d]) & (part[i] != part[i + d]) & (n[i] >= ratio * n[i + d]) & ((used[i] < FEW) | (used[i + d] < FEW))]
                 used[i] += 1
+                used[i + d] += 1
                 found.append(np.stack([np.minimum(own[i], own[i + d]), np.maximum(own[i], own[i + d])], axis=1))
             both = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
-            held = [h[-REACH:] for h in held]
+            held, used = [h[-REACH:] for h in held], used[-REACH:]
 
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
@@ -256,9 +268,6 @@ class Once:
 
 def _tiles(rows: DataFrame) -> DataFrame:
     """Rows of open keys in tiles ``x, y`` of two blocks; two blocks of the key's largest part do not meet."""
-    sizes = rows.groupBy("key", "part").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("key").agg(F.max_by("part", F.struct("size", "part")).alias("large"), F.sum("size").alias("rows"), F.max("size").alias("most"))
-    rows = rows.join(largest.filter("most < rows"), "key")
     blocks = lambda c: F.ceil(c / TILE).cast("int")
     first, others = blocks(F.col("most")), blocks(F.col("rows") - F.col("most"))
     inside = F.col("part") == F.col("large")
@@ -290,12 +299,13 @@ def links(
     crowds = met.filter("crowd").select(F.col("a").alias("key"), F.col("b").alias("own"))
 
     def parted() -> DataFrame:
-        """Rows of crowds with the part that links put them in; keys of one part are done."""
+        """Rows of crowds with the part that links put them in, and the key's largest part; keys of one part are done."""
         vertices = firm.select(F.col("src").alias("id")).union(firm.select("dst")).distinct()
         parts = components(firm, vertices).select(F.col("id").alias("own"), F.col("component").alias("part"))
         rows = crowds.join(parts, "own", "left").withColumn("part", F.coalesce("part", "own"))
-        several = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
-        return cut(rows.join(several.select("key"), "key", "left_semi"))
+        sizes = rows.groupBy("key", "part").agg(F.count("*").alias("size"))
+        largest = sizes.groupBy("key").agg(F.max_by("part", F.struct("size", "part")).alias("large"), F.sum("size").alias("rows"), F.max("size").alias("most"))
+        return cut(rows.join(largest.filter("most < rows"), "key"))
 
     def in_order(rows: DataFrame) -> DataFrame:
         return rows.join(sets.select("own", "n", "sketch"), "own").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "n", "own")
