@@ -28,12 +28,26 @@ def scan_reports(spark: SparkSession, root: str, pattern: str = "*_report.json")
         F.col("_metadata.file_path").alias("path"), F.col("value")
     )
     base = root.rstrip("/").split("://")[-1].removeprefix("file:")
-    below = F.regexp_replace(F.substring_index(F.col("path"), base + "/", -1), "/[^/]*$", "")
-    named = files.withColumn("run_name", below).filter(F.size(F.split("run_name", "/")) <= 2)
+    return first_reports(files.withColumn("below", F.substring_index(F.col("path"), base + "/", -1)))
+
+
+def first_reports(files: DataFrame) -> DataFrame:
+    """First report of each run directory among ``path, value, below``, where ``below`` is the path from the root."""
+    named = files.withColumn("run_name", F.regexp_replace("below", "/[^/]*$", "")).filter(F.size(F.split("run_name", "/")) <= 2)
     first = named.groupBy("run_name").agg(F.min("path").alias("path"), F.min_by("value", "path").alias("value"))
     return first.select("run_name", "path", F.try_parse_json("value").alias("report")).filter("report is not null")
 
 
+def write_bundle(reports: DataFrame, path: str) -> None:
+    """Report files ``path, value`` as rows of a table: a file for each costs more to write and list than it holds."""
+    reports.select("path", "value").write.parquet(path)
+
+
+def scan_bundle(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`scan_reports` over the files held by a bundle, whose paths start at the root."""
+    return first_reports(spark.read.parquet(path).withColumn("below", F.col("path")))
+
+
 def _get(path: str, kind: str = "string"):
     return F.try_variant_get("report", path, kind)
 
