@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,55 +117,48 @@ def _area_centroid(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     )
 
 
-def convex_hulls(df: DataFrame, keys: list[str], x: str = "x", y: str = "y", salts: int = 256) -> DataFrame:
+def convex_hulls(df: DataFrame, keys: list[str], x: str = "x", y: str = "y", salts: int = 4096) -> DataFrame:
     """Convex hull of each group: ``n_points, hull_x, hull_y`` (counter-clockwise).
 
-    Hulls are combined like partial aggregates: per Arrow batch before the
-    shuffle, then per salted part of a group that has many of them, then per
-    group, so that a very large group never meets as raw points.
+    Only the lowest and highest point of each x can be on a hull, and those
+    are aggregated before the shuffle.  A group with more than ``salts`` values
+    of x takes hulls of salted parts of about that many first, as long as that
+    drops half of them, so that no very large group meets as raw points.
     """
     kinds = dict(df.dtypes)
     shape = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n_points bigint, hull_x array<double>, hull_y array<double>"
 
-    def merged(pdf: pd.DataFrame) -> tuple:
-        return _hull(np.concatenate([np.asarray(v) for v in pdf["hull_x"]]), np.concatenate([np.asarray(v) for v in pdf["hull_y"]]))
-
-    def per_batch(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            code = pdf.groupby(keys, sort=False).ngroup().to_numpy()
-            x, y = pdf["__x"].to_numpy(), pdf["__y"].to_numpy()
-            order = np.lexsort((y, x, code))
-            code, x, y = code[order], x[order], y[order]
-            # Only the lowest and highest point of each x of a group can be on its hull.
-            first = np.r_[True, (code[1:] != code[:-1]) | (x[1:] != x[:-1])]
-            keep = first | np.r_[first[1:], True]
-            starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-            counts = np.diff(np.r_[starts, len(code)])
-            head = pdf[keys].iloc[order[starts]].reset_index(drop=True)
-            code, x, y = code[keep], x[keep], y[keep]
-            cuts = np.flatnonzero(code[1:] != code[:-1]) + 1
-            # Short pieces are passed on as they are; the shuffle is no larger and the loop is saved.
-            pieces = [(hx, hy) if len(hx) <= 32 else _hull(hx, hy) for hx, hy in zip(np.split(x, cuts), np.split(y, cuts))]
-            yield head.assign(n_points=counts, hull_x=[p[0] for p in pieces], hull_y=[p[1] for p in pieces])
-
-    def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        hx, hy = merged(pdf)
-        head = {k: [pdf[k].iloc[0]] for k in keys}
-        return pd.DataFrame({**head, "n_points": [pdf["n_points"].sum()], "hull_x": [hx], "hull_y": [hy]})
-
-    points = df.select(*keys, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")).filter(
-        "__x is not null and __y is not null"
-    ).dropna(subset=keys)
-    partial = cut(points.mapInPandas(per_batch, shape))
-    many = partial.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > salts).select(*keys)
-    if not many.isEmpty():
-        salted = partial.join(many, keys, "left_semi").withColumn("__salt", F.pmod(F.xxhash64("hull_x", "hull_y"), F.lit(salts)))
-        partial = partial.join(many, keys, "left_anti").unionByName(
-            salted.groupBy(*keys, "__salt").applyInPandas(per_group, shape)
-        )
-    return partial.groupBy(*keys).applyInPandas(per_group, shape)
+    def hulls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column("__held").flatten()
+            at, low, high = (held.field(c).to_numpy(zero_copy_only=False) for c in ("x", "low", "high"))
+            ends = np.cumsum(batch.column("__held").value_lengths().to_numpy(zero_copy_only=False))
+            rings = [_hull(np.r_[at[i:j], at[i:j]], np.r_[low[i:j], high[i:j]]) for i, j in zip(np.r_[0, ends[:-1]], ends)]
+            offsets = np.r_[0, np.cumsum([len(r[0]) for r in rings])].astype(np.int32)
+            hull = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0)] + [r[c] for r in rings]))) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], batch.column("n_points"), *hull], [*keys, "n_points", "hull_x", "hull_y"])
+
+    def rings(columns: DataFrame, *by: str) -> DataFrame:
+        gathered = columns.groupBy(*keys, *by).agg(F.sum("n_points").alias("n_points"), F.collect_list(F.struct("x", "low", "high")).alias("__held"))
+        return gathered.select(*keys, "n_points", "__held").mapInArrow(hulls, shape)
+
+    points = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    columns = points.filter("x is not null and y is not null").dropna(subset=keys).groupBy(*keys, "x").agg(
+        F.min("y").alias("low"), F.max("y").alias("high"), F.count("*").alias("n_points")
+    )
+    columns, before = cut(columns), None
+    while True:
+        large = columns.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > salts)
+        n = large.agg(F.sum("__n")).first()[0]
+        if not n or (before and 2 * n > before):
+            return rings(columns)
+        before = n
+        parts = columns.join(large, keys).withColumn("__part", F.pmod(F.xxhash64("x"), F.ceil(F.col("__n") / F.lit(salts))))
+        corners = rings(parts, "__part").select(*keys, "n_points", F.posexplode(F.arrays_zip("hull_x", "hull_y")).alias("__i", "__p"))
+        # A part's number of points stays with one of its corners.
+        corners = corners.select(*keys, F.col("__p.hull_x").alias("x"), F.col("__p.hull_y").alias("y"), F.when(F.col("__i") == 0, F.col("n_points")).otherwise(0).alias("n_points"))
+        left = corners.groupBy(*keys, "x").agg(F.min("y").alias("low"), F.max("y").alias("high"), F.sum("n_points").alias("n_points"))
+        columns = cut(columns.join(large, keys, "left_anti").unionByName(left))
 
 
 def cell_boundaries(df: DataFrame, cell: str = "cell_id") -> DataFrame:

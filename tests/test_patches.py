@@ -81,3 +81,15 @@ def test_a_slide_wide_outline_adds_its_own_pairs_alone(spark):
     )
     assert pt._candidates(boxes(cells)).count() == 0
     assert pt._candidates(boxes([*cells, ("all", 7, -5.0, -5.0, 100.0)])).count() == 1200
+
+
+def test_hulls_need_no_call_for_each_group_and_drop_what_is_inside(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"k": rng.integers(0, 40, 6000), "x": rng.normal(size=6000).round(2), "y": rng.normal(size=6000)})
+    pdf.loc[:3000, "k"] = 7
+    hulls = pt.convex_hulls(spark.createDataFrame(pdf).repartition(16), ["k"], salts=64)
+    assert "FlatMapGroupsInPandas" not in hulls._jdf.queryExecution().executedPlan().toString()
+    got = hulls.toPandas().set_index("k")
+    for k, part in pdf.groupby("k"):
+        hx, hy = pt._hull(part.x.to_numpy(), part.y.to_numpy())
+        assert (got.n_points[k], list(zip(got.hull_x[k], got.hull_y[k]))) == (len(part), list(zip(hx, hy)))
