@@ -28,6 +28,8 @@ CLASSES = 1 + FREQUENT + ENDINGS
 FEATURES, BUCKETS = 4, 1 << 12
 #: Tokens of one gradient update, and its rate.
 UPDATE, RATE = 4096, 0.3
+#: Tokens of an update that share a row and are summed beside those of other rows.
+RUN = 12
 #: Bytes of text of a block of documents, of a step, and for which there is a bucket of words.
 BLOCK_BYTES, STEP_BYTES, BUCKET_BYTES = 6 << 20, 4 << 20, 16 << 20
 #: Bytes of text from which one learner makes its updates, in a row.
@@ -119,39 +121,68 @@ class Model:
         features = np.stack([(mixed(x) % np.uint64(BUCKETS)).astype(np.int32) + k * BUCKETS for k, x in enumerate(made)], axis=1)
         return token, kind, features, at
 
-    def logits(self, features: np.ndarray) -> np.ndarray:
-        """Unnormalised log probabilities of the classes, the largest 0."""
-        s = self.weights[features[:, 0]]
+    def logits(self, features: np.ndarray, into: np.ndarray | None = None, room: np.ndarray | None = None) -> np.ndarray:
+        """Unnormalised log probabilities of the classes, the largest 0; written to ``into``, with ``room`` of the same shape."""
+        into = np.empty((len(features), CLASSES), np.float32) if into is None else into
+        room = np.empty_like(into) if room is None else room
+        s = np.take(self.weights, features[:, 0], axis=0, out=into, mode="clip")
         for k in range(1, FEATURES):
-            s += self.weights[features[:, k]]
+            s += np.take(self.weights, features[:, k], axis=0, out=room, mode="clip")
         s += self.bias
         s -= s.max(1, keepdims=True)
         return s
 
     def learn(self, kind: np.ndarray, features: np.ndarray, squares: np.ndarray, seen: np.ndarray) -> None:
-        """Gradient updates in the order of the tokens; ``squares`` has the sums of squared gradients."""
+        """Gradient updates in the order of the tokens; ``squares`` has the sums of squared gradients.
+
+        The gradients of an update's rows are summed for all rows at once: the
+        first token of each, then the second of those that have one, and so
+        on; the few rows that more than ``RUN`` tokens share, row by row.
+        """
+        room = np.empty((3, FEATURES * UPDATE, CLASSES), np.float32)
         for i in range(0, len(kind), UPDATE):
             own = features[i : i + UPDATE]
-            p = np.exp(self.logits(own))
+            n = len(own)
+            p = self.logits(own, room[0, :n], room[1, :n])
+            np.exp(p, out=p)
             p /= p.sum(1, keepdims=True)
-            p[np.arange(len(p)), kind[i : i + UPDATE]] -= 1
-            for k in range(FEATURES):
-                column = own[:, k]
-                order = np.argsort(column, kind="stable")
-                column = column[order]
-                heads = np.flatnonzero(np.diff(column, prepend=-1))
-                rows = column[heads]
-                step = np.add.reduceat(p[order], heads)
-                squares[rows] += step * step
-                self.weights[rows] -= RATE * step / np.sqrt(squares[rows] + 1)
-                seen[rows] += np.diff(np.append(heads, len(column)))
+            p[np.arange(n), kind[i : i + UPDATE]] -= 1
+            column = own.T.ravel().astype(np.uint16)
+            order = np.argsort(column, kind="stable")
+            column, token = column[order], order % n
+            heads = np.flatnonzero(np.diff(column, prepend=-1))
+            counts = np.diff(np.append(heads, len(column)))
+            most_first = np.argsort((n - counts).astype(np.uint16), kind="stable")
+            heads, counts = heads[most_first], counts[most_first]
+            rows = column[heads].astype(np.int64)
+            step = np.take(p, token[heads], axis=0, out=room[1, : len(rows)], mode="clip")
+            more = np.searchsorted(-counts, -np.arange(1, RUN + 1))
+            for k in range(1, RUN):
+                m = more[k - 1]
+                step[:m] += np.take(p, token[heads[:m] + k], axis=0, out=room[2, :m], mode="clip")
+            for g in range(more[RUN - 1]):
+                step[g] += p[token[heads[g] + RUN : heads[g] + counts[g]]].sum(0)
+            sums = np.take(squares, rows, axis=0, out=room[2, : len(rows)], mode="clip")
+            sums += np.square(step, out=room[0, : len(rows)])
+            squares[rows] = sums
+            sums += 1
+            np.sqrt(sums, out=sums)
+            step *= RATE
+            step /= sums
+            moved = np.take(self.weights, rows, axis=0, out=room[0, : len(rows)], mode="clip")
+            moved -= step
+            self.weights[rows] = moved
+            seen[rows] += counts
 
     def log_class(self, kind: np.ndarray, features: np.ndarray) -> np.ndarray:
         """Natural log probability of each token's class."""
         found = np.empty(len(kind))
+        room = np.empty((2, UPDATE, CLASSES), np.float32)
         for i in range(0, len(kind), UPDATE):
-            s = self.logits(features[i : i + UPDATE])
-            found[i : i + UPDATE] = s[np.arange(len(s)), kind[i : i + UPDATE]] - np.log(np.exp(s).sum(1))
+            own = features[i : i + UPDATE]
+            s = self.logits(own, *room[:, : len(own)])
+            at = s[np.arange(len(s)), kind[i : i + UPDATE]]
+            found[i : i + UPDATE] = at - np.log(np.exp(s, out=s).sum(1))
         return found
 
 

@@ -211,3 +211,27 @@ def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
         assert all(abs(other[i][1] - x[1]) < 1e-6 * abs(x[1]) and abs(other[i][0] - x[0]) < 1e-6 * abs(x[0]) for i, x in found[0].items())
     held = [x for x in found[0].values() if x[2]]
     assert sum(x[1] - x[0] for x in held) / sum(x[3] for x in held) > 0.05
+
+
+def test_updates_are_those_of_each_feature_by_itself():
+    """Rows of one token, of a few and of more than ``RUN`` get the summed gradients of their tokens."""
+    rng = np.random.default_rng(3)
+    n = lm.UPDATE + 500
+    kind = rng.integers(0, lm.CLASSES, n)
+    features = (np.minimum(rng.zipf(1.4, (n, lm.FEATURES)), lm.BUCKETS) - 1).astype(np.int32) + np.arange(lm.FEATURES, dtype=np.int32) * lm.BUCKETS
+    assert (np.bincount(features[: lm.UPDATE, 0]) > lm.RUN).any()
+    model = lm.Model(1, 1, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.ones(lm.CLASSES))
+    squares, seen = np.zeros_like(model.weights), np.zeros(len(model.weights), np.int64)
+    model.learn(kind, features, squares, seen)
+    weights, sums = np.zeros(model.weights.shape), np.zeros(model.weights.shape)
+    for i in range(0, n, lm.UPDATE):
+        own = features[i : i + lm.UPDATE]
+        p = np.exp(weights[own].sum(1) + model.bias)
+        p /= p.sum(1, keepdims=True)
+        p[np.arange(len(p)), kind[i : i + lm.UPDATE]] -= 1
+        step = np.zeros(weights.shape)
+        np.add.at(step, own, p[:, None, :])
+        sums += step * step
+        weights -= lm.RATE * step / np.sqrt(sums + 1)
+    assert np.allclose(model.weights, weights, atol=1e-4) and np.allclose(squares, sums, rtol=1e-3, atol=1e-4)
+    assert (seen == np.bincount(features.ravel(), minlength=len(seen))).all()
