@@ -93,3 +93,13 @@ def test_hulls_need_no_call_for_each_group_and_drop_what_is_inside(spark):
     for k, part in pdf.groupby("k"):
         hx, hy = pt._hull(part.x.to_numpy(), part.y.to_numpy())
         assert (got.n_points[k], list(zip(got.hull_x[k], got.hull_y[k]))) == (len(part), list(zip(hx, hy)))
+
+
+def test_resolving_cells_needs_no_call_for_each_cell(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(pt, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    rows = [(c, p, 0, x + dx, y + dy) for c, p, x in (("A", 0, 0.0), ("B", 1, 0.5)) for dx in (0.0, 2.0, 4.0) for y in (0.0,) for dy in (0.0, 4.0)]
+    mapping, merged = pt.resolve_patch_cells(spark.createDataFrame(rows, "cell_id string, patch_col bigint, patch_row bigint, x double, y double"))
+    plans.append(merged._jdf.queryExecution().executedPlan().toString())
+    assert plans and not any("FlatMapGroupsInPandas" in p for p in plans)
+    assert [(r["resolved_id"], r["n_points"]) for r in merged.collect()] == [("A", 12)]
