@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import safe_ratio
 from tessera.operators.expression import kmeans_labels
 from tessera.operators.graph import canonical_labels, communities, components, jaccard_graph, rank_in_group
-from tessera.operators.neighbours import location_knn, nearest, symmetric
+from tessera.operators.moves import Block, settle
+from tessera.operators.neighbours import location_knn, nearest, nearest_in_task, symmetric
+from tessera.operators.tiles import split_groups, whole_groups
 from tessera.runtime import cut, number_rows
 
+#: Transcripts of a cell whose graph one task holds; graphs of larger cells are tables.
+WHOLE = 4096
+
 
 def domain_count(n: int, most: int = 12) -> int:
     """Number of spatial domains for ``n`` cells."""
@@ -324,16 +331,81 @@ def hdbscan(t: DataFrame, min_cluster_size: int = 30, min_samples: int = 5, larg
 
 def graph_domains(t: DataFrame, n_neighbors: int = 25, resolution: float = 0.5) -> DataFrame:
     """Communities of each cell's transcript neighbour graph; all cells in one run."""
-    inside = cut(t.filter("cell_id is not null"))
-    edges = symmetric(nearest(inside, n_neighbors, group="cell_id")).withColumn("w", F.lit(1.0))
-    return _communities_per_cell(inside, edges, resolution, n_neighbors + 1)
+
+    def table(large: DataFrame) -> DataFrame:
+        edges = symmetric(nearest(large, n_neighbors, group="cell_id")).withColumn("w", F.lit(1.0))
+        return _communities_per_cell(large, edges, resolution, n_neighbors + 1)
+
+    return _per_cell(t, n_neighbors, False, resolution, n_neighbors + 1, 0, table)
 
 
 def phenograph_domains(t: DataFrame, k: int = 30, min_cluster_size: int = 10) -> DataFrame:
     """Communities of the shared-neighbour graph; small ones become ``-1``."""
+    least = max(k + 1, min_cluster_size)
+
+    def table(large: DataFrame) -> DataFrame:
+        edges = jaccard_graph(nearest(large, k, group="cell_id"), k)
+        return _communities_per_cell(large, edges, 1.0, least, min_cluster_size)
+
+    return _per_cell(t, k, True, 1.0, least, min_cluster_size, table)
+
+
+def _neighbour_graph(x: np.ndarray, y: np.ndarray, k: int, shared: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``src, dst, w`` of one cell's neighbour graph, both directions; with ``shared`` weighted by the overlap of neighbour sets."""
+    n = len(x)
+    rows, cols = nearest_in_task(x, y, k)
+    if not shared:
+        pair = np.unique(np.concatenate([rows * n + cols, cols * n + rows]))
+        return pair // n, pair % n, np.ones(len(pair))
+    near = np.zeros((n, n + 1), bool)
+    near[rows, cols] = True
+    sizes = np.bincount(rows, minlength=n)
+    lists = np.full((n, k), n)
+    lists[rows, np.arange(len(rows)) - np.searchsorted(rows, rows)] = cols
+    common = np.zeros(len(rows), np.int64)
+    for s in range(0, len(rows), 1 << 15):
+        common[s : s + (1 << 15)] = near[cols[s : s + (1 << 15), None], lists[rows[s : s + (1 << 15)]]].sum(1)
+    some = common > 0
+    rows, cols, common = rows[some], cols[some], common[some]
+    w = common / (sizes[rows] + sizes[cols] - common)
+    pair, at = np.unique(np.concatenate([rows * n + cols, cols * n + rows]), return_inverse=True)
+    return pair // n, pair % n, np.bincount(at, np.concatenate([w, w])) / 2
+
+
+def _per_cell(t: DataFrame, k: int, shared: bool, resolution: float, least: int, smallest: int, table: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``t`` with communities of each cell's graph as ``subcellular_domain``: in a task for cells of up to ``WHOLE`` rows, by ``table`` for others."""
     inside = cut(t.filter("cell_id is not null"))
-    edges = jaccard_graph(nearest(inside, k, group="cell_id"), k)
-    return _communities_per_cell(inside, edges, 1.0, max(k + 1, min_cluster_size), min_cluster_size)
+    small, large = split_groups(inside, "cell_id", WHOLE)
+
+    def cell(x: np.ndarray, y: np.ndarray) -> list[str]:
+        n = len(x)
+        if n < least:
+            return ["0"] * n
+        label = np.arange(n)
+        # Rows without a place are communities of their own.
+        placed = np.flatnonzero(~(np.isnan(x) | np.isnan(y)))
+        if len(placed):
+            src, dst, w = _neighbour_graph(x[placed], y[placed], k, shared)
+            strength = np.bincount(src, w, len(placed))
+            mass = strength.sum()
+            two_m = mass / resolution if mass > 0 and resolution > 0 else 1.0
+            block = Block(len(placed), src, dst, w, strength if resolution > 0 else np.zeros(len(placed)), np.full(len(placed), two_m))
+            label[placed] = placed[settle(block, np.arange(len(placed)))]
+        names, own, sizes = np.unique(label, return_inverse=True, return_counts=True)
+        # By size, then by smallest member, which is the name.
+        number = np.empty(len(names), int)
+        number[np.lexsort((names, -sizes))] = np.arange(len(names))
+        number[sizes < smallest] = -1
+        return [str(v) for v in number[own].tolist()]
+
+    def run(rows: pa.Table, bounds: np.ndarray) -> pa.Table:
+        x, y = (rows[c].cast(pa.float64()).to_numpy() for c in ("x", "y"))
+        made = [d for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()) for d in cell(x[i:j], y[i:j])]
+        return rows.append_column("subcellular_domain", pa.array(made, pa.string()))
+
+    shape = ", ".join(f"`{c}` {kind}" for c, kind in inside.dtypes) + ", subcellular_domain string"
+    found = whole_groups(small, "cell_id", ["row_id"], run, shape)
+    return found if large is None else found.unionByName(table(cut(large)))
 
 
 def _communities_per_cell(inside: DataFrame, edges: DataFrame, resolution: float, least: int, smallest: int = 0) -> DataFrame:

@@ -362,18 +362,12 @@ def jaccard_graph(edges: DataFrame, k: int) -> DataFrame:
     The weight is the number of shared neighbours over the size of the union
     (at most 2k); pairs without a shared neighbour are dropped.
     """
-    around = edges.select("src", "dst")
-    size = around.groupBy("src").agg(F.count("*").alias("n"))
-    shared = (
-        around.join(around.select(F.col("src").alias("dst"), F.col("dst").alias("via")), "dst")
-        .join(around.select("src", F.col("dst").alias("via")), ["src", "via"])
-        .groupBy("src", "dst")
-        .agg(F.count("*").alias("common"))
-    )
-    weighted = (
-        shared.join(size, "src")
-        .join(size.select(F.col("src").alias("dst"), F.col("n").alias("n2")), "dst")
-        .select("src", "dst", (F.col("common") / (F.col("n") + F.col("n2") - F.col("common"))).alias("w"))
+    # At most k neighbours each.
+    lists = cut(edges.groupBy("src").agg(F.collect_set("dst").alias("near")))
+    asked = lists.select("src", "near", F.explode("near").alias("dst"))
+    met = asked.join(lists.toDF("dst", "other"), "dst").select(
+        "src", "dst", F.size(F.array_intersect("near", "other")).alias("common"), (F.size("near") + F.size("other")).alias("both")
     )
+    weighted = met.filter("common > 0").select("src", "dst", (F.col("common") / (F.col("both") - F.col("common"))).alias("w"))
     back = weighted.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
     return weighted.unionByName(back).groupBy("src", "dst").agg((F.sum("w") / 2).alias("w"))

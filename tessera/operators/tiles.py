@@ -4,12 +4,17 @@ Points are addressed by their integer position on a 2^30 grid over the data's
 bounding square.  A tile is the prefix of such an address: ``(depth, ix, iy)``.
 A tile with too many points is split again, as finely as its count asks for,
 so a dense spot or one very large group ends up in many tiles.
+
+Groups of few rows need no tiles: tasks take them whole, one after the other.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +22,8 @@ from tessera.runtime import cut
 
 FINEST = 30
 KEY = ["group", "depth", "ix", "iy"]
+#: Rows of a task that takes whole groups.
+TASK_ROWS = 1 << 16
 
 
 @dataclass
@@ -155,3 +162,41 @@ def tiles_in_reach(queries: DataFrame, tiling: Tiling) -> DataFrame:
         dx, dy = gap("x", tiling.x0, "ix"), gap("y", tiling.y0, "iy")
         found = found.filter(F.sqrt(dx * dx + dy * dy) <= F.col("reach") + slack)
     return found
+
+
+def split_groups(rows: DataFrame, group: str, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of groups of at most ``limit`` rows, and those of larger ones, if there are any; no group is null."""
+    large = cut(rows.groupBy(group).agg(F.count("*").alias("__n")).filter(F.col("__n") > limit).select(group))
+    if large.isEmpty():
+        return rows, None
+    return rows.join(large, group, "left_anti"), rows.join(large, group, "left_semi")
+
+
+def whole_groups(rows: DataFrame, group: str, order: list[str], run: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """What ``run(table, bounds)`` gives for runs of whole groups in ``order``; group i has the rows ``bounds[i]`` to before ``bounds[i + 1]``.
+
+    Groups are to be of bounded size, as each is held by a task; a task gets about ``TASK_ROWS`` rows.
+    """
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+            if table.num_rows:
+                yield from run(table, bounds).combine_chunks().to_batches()
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = (table if held is None else pa.concat_tables([held, table])).combine_chunks()
+            at = table[group].combine_chunks().dictionary_encode()
+            at = (at.combine_chunks() if isinstance(at, pa.ChunkedArray) else at).indices.to_numpy(zero_copy_only=False)
+            starts = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
+            # The last group may go on in the next batch.
+            yield from made(table.slice(0, int(starts[-1])), starts)
+            held = table.slice(int(starts[-1]))
+        if held is not None:
+            yield from made(held, np.array([0, held.num_rows]))
+
+    tasks = rows.count() // TASK_ROWS + 1
+    return rows.repartition(tasks, group).sortWithinPartitions(group, *order).mapInArrow(stream, schema)

@@ -98,3 +98,30 @@ def test_first_resolution_that_gives_the_count(spark):
     assert len(rows) == 24 and len({r["label"] for r in rows}) == 4 and 0.1 <= resolution <= 3.0
     none, lowest = dm.communities_for_count(graph, spark.range(24), 23, step=0.5, together=3)
     assert none.count() == 24 and lowest in (0.1, 0.6, 1.1, 1.6, 2.1, 2.6)
+
+
+def test_graphs_of_cells_in_tasks_are_those_of_tables(spark, monkeypatch):
+    """Cells on a small grid with many ties and copies, one too large for a task, one too small for domains, rows without a place."""
+    rng = np.random.default_rng(12)
+    frames = [pd.DataFrame({"cell_id": c, "x": rng.integers(0, s, n).astype(float), "y": rng.integers(0, 9, n).astype(float)}) for c, n, s in (("a", 70, 9), ("b", 90, 12), ("c", 4, 3), ("d", 130, 30))]
+    pdf = pd.concat(frames, ignore_index=True)
+    pdf["row_id"] = rng.permutation(len(pdf))
+    pdf.loc[3, "x"] = None
+    t = spark.createDataFrame(pdf.replace({np.nan: None}).astype({"row_id": "int64"}), "cell_id string, x double, y double, row_id bigint")
+    for make in (lambda: dm.graph_domains(t, 6, 0.5), lambda: dm.phenograph_domains(t, 7, 5)):
+        got = []
+        for whole in (0, 100, 1000):
+            monkeypatch.setattr(dm, "WHOLE", whole)
+            got.append({r["row_id"]: (r["cell_id"], r["subcellular_domain"]) for r in make().collect()})
+        assert len(got[0]) == len(pdf) and len(set(got[0].values())) > 6
+        assert got[0] == got[1] == got[2]
+
+
+def test_small_cells_make_no_table_of_shared_neighbours(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("pairs of neighbours as a table")
+
+    monkeypatch.setattr(dm, "jaccard_graph", refuse)
+    monkeypatch.setattr(dm, "communities", refuse)
+    rows = spark.range(200).selectExpr("id AS row_id", "cast(id % 4 AS string) AS cell_id", "cast(id % 13 AS double) AS x", "cast(id % 11 AS double) AS y")
+    assert dm.phenograph_domains(rows, 8, 4).count() == dm.graph_domains(rows, 8).count() == 200
