@@ -16,7 +16,9 @@ from tessera.runtime import cut, number_rows
 #: Links that one task puts together.
 PIECE = 1 << 20
 #: Edges of a block in which communities settle, and vertices of a block that move in a later round.
-BLOCK_EDGES, BLOCK_MOVERS = 1 << 18, 1 << 16
+BLOCK_EDGES, BLOCK_MOVERS = 1 << 22, 1 << 16
+#: Edges up to which graphs of fewer share a block.
+SHARED_EDGES = 1 << 18
 #: Steps over which blocks spread, and doublings of the pointers between communities.
 SPREAD, JUMPS = 8, 3
 
@@ -156,8 +158,8 @@ def _wishes(links: DataFrame, state: DataFrame) -> DataFrame:
     return chosen.filter(better & (F.col("best") != F.col("now"))).select("id", "now", "best", "k", "two_m", (F.col("most") - F.col("stay")).alias("gain"))
 
 
-def _first_blocks(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``id, block``: vertices in blocks of about ``BLOCK_EDGES`` edges, neighbours mostly together.
+def _first_blocks(links: DataFrame, nodes: DataFrame) -> tuple[DataFrame, bool]:
+    """``id, block``: vertices in blocks of about ``BLOCK_EDGES`` edges, neighbours mostly together; and whether all graphs stay whole.
 
     Graphs that fit a block stay whole.  In others, vertices chosen by their
     hash spread over their neighbours for some steps, and each vertex goes to
@@ -167,9 +169,9 @@ def _first_blocks(links: DataFrame, nodes: DataFrame) -> DataFrame:
     held = cut(nodes.select("id", "g").join(degree, "id", "left").withColumn("deg", F.coalesce("deg", F.lit(0)) + 1))
     sizes = cut(held.groupBy("g").agg(F.sum("deg").alias("edges"), F.count("*").alias("n")))
     total = sizes.agg(F.sum("edges"), F.max("edges")).first()
-    whole = F.pmod(F.xxhash64("g"), F.lit((total[0] or 0) // BLOCK_EDGES + 1))
+    whole = F.pmod(F.xxhash64("g"), F.lit((total[0] or 0) // min(BLOCK_EDGES, SHARED_EDGES) + 1))
     if (total[1] or 0) <= BLOCK_EDGES:
-        return held.select("id", whole.alias("block"))
+        return held.select("id", whole.alias("block")), True
     small = held.join(sizes.filter(F.col("edges") <= BLOCK_EDGES).select("g"), "g").select("id", whole.alias("block"))
     large = held.join(sizes.filter(F.col("edges") > BLOCK_EDGES), "g")
     each = F.greatest(F.lit(1), F.floor(F.col("n") * BLOCK_EDGES / (2 * F.col("edges"))).cast("long"))
@@ -185,16 +187,17 @@ def _first_blocks(links: DataFrame, nodes: DataFrame) -> DataFrame:
     # A block that has grown too large is divided; any division is right, as blocks only say which moves are tried together.
     heavy = spread.groupBy("block").agg(F.ceil(F.sum(F.coalesce("deg", F.lit(0)) + 1) / (4 * BLOCK_EDGES)).alias("of"))
     divided = spread.join(heavy, "block").select("id", F.xxhash64("block", F.pmod(F.xxhash64("id", F.lit(2)), F.col("of"))).alias("block"))
-    return small.unionByName(divided)
+    return small.unionByName(divided), False
 
 
-def _settled_blocks(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Nodes with a ``label``: communities of each block by itself, connected, named by their smallest vertex.
+def _settled_blocks(links: DataFrame, nodes: DataFrame) -> tuple[DataFrame, bool]:
+    """Nodes with a ``label``: communities of each block by itself, connected, named by their smallest vertex; and whether all graphs stayed whole.
 
     Vertices begin alone, so a block's moves touch no community of another
     block, and what blocks gain in quality adds up.
     """
-    blocks = cut(_first_blocks(links, nodes))
+    blocks, whole = _first_blocks(links, nodes)
+    blocks = cut(blocks)
     side = lambda name: blocks.select(F.col("id").alias(name), F.col("block").alias("b" + name))
     inside = links.join(side("src"), "src").join(side("dst"), "dst").filter("bsrc = bdst").select(F.col("bsrc").alias("block"), "src", "dst", "w")
     vertices = nodes.join(blocks, "id").select("block", "id", "k", "two_m")
@@ -210,7 +213,7 @@ def _settled_blocks(links: DataFrame, nodes: DataFrame) -> DataFrame:
         return pa.table({"id": ids, "label": ids[found]})
 
     labels = vertices.groupBy("block").cogroup(inside.groupBy("block")).applyInArrow(run, "id long, label long")
-    return cut(nodes.drop("label").join(labels, "id"))
+    return cut(nodes.drop("label").join(labels, "id")), whole
 
 
 def _label_blocks(wishes: DataFrame) -> DataFrame:
@@ -325,7 +328,11 @@ def communities(edges: DataFrame, vertices: DataFrame, resolution: float | str =
     two_m = F.when((F.col("two_m") > 0) & (F.col("r") > 0), F.col("two_m") / F.col("r")).otherwise(F.lit(1.0)).alias("two_m")
     nodes = cut(nodes.join(mass, "g").select("id", "g", F.when(F.col("r") > 0, F.col("k")).otherwise(F.lit(0.0)).alias("k"), two_m))
     links = cut(edges.filter("src <> dst"))
-    state, crossed, settled = _settled_blocks(links, nodes), False, False
+    state, whole = _settled_blocks(links, nodes)
+    if whole:
+        # Blocks end where no vertex and no community gains, and no edge leaves a graph.
+        return state.select("id", "label")
+    crossed, settled = False, False
     while True:
         state, low = _move(links, state)
         crossed, settled = crossed or low > 0, settled and not low
@@ -338,7 +345,7 @@ def communities(edges: DataFrame, vertices: DataFrame, resolution: float | str =
                 if above.isEmpty() or _wishes(above, alone).isEmpty():
                     break
                 settled = False
-                moved, rounds = _move(above, _settled_blocks(above, parts))
+                moved, rounds = _move(above, _settled_blocks(above, parts)[0])
                 crossed = crossed or rounds > 0
                 up = moved.select(F.col("id").alias("label"), F.col("label").alias("up"))
                 members = cut(members.join(up, "label").select("id", F.col("up").alias("label")))

@@ -122,3 +122,24 @@ def test_resolution_of_a_group(spark):
     vertices = spark.createDataFrame([(v + 100 * g, g, (0.01, 1.0)[g]) for v in range(12) for g in (0, 1)], "id bigint, g int, r double")
     label = {r["id"]: r["label"] for r in gr.communities(both, vertices, "r", group="g").collect()}
     assert len({label[v] for v in range(12)}) == 1 and len({label[100 + v] for v in range(12)}) == 2
+
+
+def test_graphs_that_fit_a_block_are_done_in_it(spark, monkeypatch):
+    """Two grids, each more than a shared block: no table of moves is made, and no move of a vertex or of a community is better."""
+    monkeypatch.setattr(gr, "SHARED_EDGES", 64)
+    grid = _grid(9)
+    edges = [(a + 1000 * g, b + 1000 * g) for g in (0, 1) for a, b in grid]
+    named = spark.createDataFrame([(1000 * g + v, g) for g in (0, 1) for v in range(81)], "id bigint, g int")
+    both = gr.cut(_both_ways(spark, edges))
+    nodes = gr.cut(named.selectExpr("id", "g").join(both.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k")), "id").withColumn("two_m", F.lit(float(2 * len(grid)))))
+    state, whole = gr._settled_blocks(both, nodes)
+    assert whole and gr._wishes(both, state).isEmpty()
+    above, parts = gr._merge(both, state)
+    assert gr._wishes(above, parts.withColumn("label", F.col("id"))).isEmpty()
+
+    def refuse(*_):
+        raise AssertionError("moves as a table")
+
+    monkeypatch.setattr(gr, "_wishes", refuse)
+    got = {r["id"]: r["label"] for r in gr.communities(both, named, group="g").collect()}
+    assert got == {r["id"]: r["label"] for r in state.select("id", "label").collect()} and len(got) == 162
