@@ -14,7 +14,8 @@ class Block:
     """Vertices 0..n-1, edges in both directions, strengths ``k`` and total strengths ``two_m`` of their graphs."""
 
     def __init__(self, n: int, src: np.ndarray, dst: np.ndarray, w: np.ndarray, k: np.ndarray, two_m: np.ndarray):
-        order = np.argsort(src, kind="stable")
+        # Edges arrive in any order, and vertices are queued in theirs.
+        order = np.lexsort((dst, src))
         self.n, self.k, self.two_m = n, k, two_m
         self.src, self.dst, self.w = src[order], dst[order], w[order]
         self.first = np.searchsorted(self.src, np.arange(n + 1)).tolist()
