@@ -9,7 +9,7 @@ Survivors are verified on their whole sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from math import comb
 
@@ -80,16 +80,21 @@ def least_matches(similarity: float, miss: float, total: int = BANDS * ROWS, bat
     return [(n, next(m for m in range(n + 1) if reached(m, n) >= miss)) for n in range(batch, total + 1, batch)]
 
 
+def _equal_bands(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """For each row the bands whose minima are the same in both sketches; what follows the minima does not count."""
+    return (others[..., : BANDS * ROWS] == one[..., : BANDS * ROWS]).reshape(-1, BANDS, ROWS).all(2)
+
+
 class FirstBand(Once):
     """A pair is compared where the first band that it shares is the key's."""
 
     def prepare(self, sketch: np.ndarray) -> np.ndarray:
         """The bands that all rows of the tile share; the key's own is one of them."""
-        bands = sketch.reshape(len(sketch), BANDS, ROWS)
+        bands = sketch[:, : BANDS * ROWS].reshape(len(sketch), BANDS, ROWS)
         return (bands == bands[0]).all(2).all(0)
 
     def here(self, one: np.ndarray, others: np.ndarray, about: np.ndarray) -> np.ndarray:
-        same = (others.reshape(len(others), BANDS, ROWS) == one.reshape(BANDS, ROWS)).all(2)
+        same = _equal_bands(one, others)
         # Rows may also meet under keys that are no bands.
         return about[same.argmax(1)] | ~same.any(1)
 
@@ -106,15 +111,23 @@ def sketched(texts: pa.Array, width: int) -> list[pa.Array]:
     return [pa.array([set_name(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sketches], pa.binary()), keys]
 
 
-def set_links(texts: DataFrame, sets: DataFrame, keys: Column, words_each: int, percent: int, miss: float) -> DataFrame:
+def set_links(
+    texts: DataFrame, sets: DataFrame, keys: Column, words_each: int, percent: int, miss: float,
+    close: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+) -> DataFrame:
     """``src, dst``: verified links that connect ``sets (own, least, name, n, sketch)`` which meet under ``keys``.
 
     ``texts (id, text)`` has a row with the id ``least`` that has the set.
+    With ``close``, keys may be others than those of bands; rows that share
+    no band are candidates only if it says so of what follows their minima.
     """
     bounds = least_matches(percent / 100, miss)
 
     def test(na: np.ndarray, nb: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         good = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
+        if close is not None:
+            some = np.flatnonzero(good)
+            good[some] = close(a[some, BANDS * ROWS :], b[some, BANDS * ROWS :]) | _equal_bands(a[some], b[some]).any(1)
         left, matches, before = np.flatnonzero(good), np.zeros(len(good), np.int64), 0
         for compared, least in bounds:
             matches[left] += (a[left, before:compared] == b[left, before:compared]).sum(1)
@@ -130,7 +143,7 @@ def set_links(texts: DataFrame, sets: DataFrame, keys: Column, words_each: int,
 
     def load(owns: DataFrame) -> DataFrame:
         """Whole sets, from one row each that has the set."""
-        asked = sets.join(owns, "own").select("own", "name", "least")
+        asked = cut(sets.join(owns, "own").select("own", "name", "least"))
         ids = asked.select(F.col("least").alias("one")).distinct()
         some = texts.join(ids, F.col("id").eqNullSafe(F.col("one")), "left_semi").select("text")
         return some.mapInArrow(whole, "name binary, members binary").join(asked.select("own", "name"), "name").dropDuplicates(["own"]).select("own", "members")

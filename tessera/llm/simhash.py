@@ -118,6 +118,19 @@ class Ring:
         return found
 
 
+    def within(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether some chain of each pair of fingerprints, and at last all their bits, are within the radius."""
+        apart = a ^ b
+        found = np.zeros(len(apart), bool)
+        for start in range(self.segments):
+            left, mask = np.flatnonzero(~found), 0
+            for length in range(1, self.segments + 1):
+                mask |= ((1 << self.width) - 1) << ((start + length - 1) % self.segments * self.width)
+                left = left[np.bitwise_count(apart[left] & np.uint64(mask)) <= length * self.radius // self.segments]
+            found[left] = True
+        return found
+
+
 def _forest(ring: Ring, tag: int, group: np.ndarray) -> Iterator[tuple[int, int]]:
     """Links that connect what the links among ``group`` connect; each row is compared with those not reached before it."""
     rest, reached = group[1:], [group[0]]
@@ -209,9 +222,9 @@ def similar_groups(
     Texts are linked if their sets of shingles of ``words_each`` words have a
     Jaccard index of at least ``percent`` in a hundred, counted on whole sets;
     groups are what links connect.  Candidates are texts whose fingerprints
-    meet under a key of the ring, which all within ``radius`` bits do, and,
-    as like texts may be further apart, texts that share a band of minima:
-    at 80 percent, all but 3 in a million pairs do.
+    meet under a key of the ring and have a chain and all bits within
+    ``radius``, and, as like texts may be further apart, texts that share a
+    band of minima: at 80 percent, all but 3 in a million pairs do.
 
     ``id`` is an integer; rows of one id are one document, rows without an id
     stand alone.  Texts of fewer words have one shingle, empty ones none, and
@@ -223,13 +236,20 @@ def similar_groups(
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
             prints = _fingerprints(*flat(batch.column("text")), 3).view(np.int64)
-            columns = [batch.column("id"), batch.column("row"), *sketched(batch.column("text"), words_each), pa.array(prints)]
+            name, n, sketch, keys = sketched(batch.column("text"), words_each)
+            # The fingerprint follows the minima, so that it is at hand wherever rows meet.
+            sketch = pa.array([m + f.tobytes() for m, f in zip(sketch.to_pylist(), prints)], pa.binary())
+            columns = [batch.column("id"), batch.column("row"), name, n, sketch, keys, pa.array(prints)]
             yield pa.RecordBatch.from_arrays(columns, ["id", "row", "name", "n", "sketch", "keys", "fingerprint"])
 
     rows = cut(named.select("id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(describe, f"id long, row long, {SKETCHED}, fingerprint long"))
     sets = distinct_sets(rows, "fingerprint")
-    keys = F.concat("keys", Ring(radius, segments).keys(F.col("fingerprint")))
-    firm = set_links(named, sets, keys, words_each, percent, miss)
+    ring = Ring(radius, segments)
+
+    def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return ring.within(*[np.ascontiguousarray(x).view(np.uint64)[:, 0] for x in (a, b)])
+
+    firm = set_links(named, sets, F.concat("keys", ring.keys(F.col("fingerprint"))), words_each, percent, miss, close)
     least = lambda name, to: sets.select(F.col("own").alias(name), F.col("least").alias(to))
     edges = firm.join(least("src", "x"), "src").join(least("dst", "y"), "dst").select(F.col("x").alias("src"), F.col("y").alias("dst"))
     same = rows.select("id", "name").join(sets.select("name", "least"), "name").select(F.col("least").alias("src"), F.col("id").alias("dst"))

@@ -55,7 +55,7 @@ def set_name(own: np.ndarray) -> bytes:
 
 
 def pairs_and_crowds(keyed: DataFrame, ratio: float) -> DataFrame:
-    """``crowd, a, b``: pairs of rows that meet under a key, and ``(key, own)`` of the rows of keys with more rows than that covers.
+    """``crowd, a, b, n``: pairs of rows that meet under a key, and ``(key, own, n)`` of the rows of keys with more rows than that covers.
 
     ``keyed (key, own, n)`` has a row once for each of its keys.  Sizes of a
     pair differ by at most the factor ``ratio``.
@@ -80,9 +80,8 @@ def pairs_and_crowds(keyed: DataFrame, ratio: float) -> DataFrame:
             some = low + np.flatnonzero(crowd[low:high])
             pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
             kind = np.concatenate([np.zeros(len(pairs), bool), np.ones(len(some), bool)])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(kind), pa.array(np.concatenate([pairs[:, 0], key[some]])), pa.array(np.concatenate([pairs[:, 1], own[some]]))], ["crowd", "a", "b"]
-            )
+            columns = [np.concatenate([pairs[:, 0], key[some]]), np.concatenate([pairs[:, 1], own[some]]), np.concatenate([np.zeros(len(pairs), np.int64), n[some]])]
+            return pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, columns)], ["crowd", "a", "b", "n"])
 
         held, done = [np.zeros(0, np.int64)] * 3, 0
         for batch in batches:
@@ -96,7 +95,7 @@ def pairs_and_crowds(keyed: DataFrame, ratio: float) -> DataFrame:
         if len(held[0]) > done:
             yield made(*held, done, len(held[0]))
 
-    return cut(sorted_rows.select("key", "own", "n").mapInArrow(run, "crowd boolean, a long, b long"))
+    return cut(sorted_rows.select("key", "own", "n").mapInArrow(run, "crowd boolean, a long, b long, n long"))
 
 
 Test = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -296,7 +295,7 @@ def links(
     pairs = cut(filtered(met.filter("NOT crowd").select("a", "b").distinct(), sets, test))
     held = cut(load(pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct()))
     firm = cut(verified(pairs, held, good).select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    crowds = met.filter("crowd").select(F.col("a").alias("key"), F.col("b").alias("own"))
+    crowds = met.filter("crowd").select(F.col("a").alias("key"), F.col("b").alias("own"), "n")
 
     def parted() -> DataFrame:
         """Rows of crowds with the part that links put them in, and the key's largest part; keys of one part are done."""
@@ -311,7 +310,7 @@ def links(
         return rows.join(sets.select("own", "n", "sketch"), "own").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "n", "own")
 
     # Rows that the first pairs left out of a group meet a few of its members before any are compared with all.
-    near = _neighbours(parted().join(sets.select("own", "n"), "own"), ratio)
+    near = _neighbours(parted(), ratio)
     pairs = cut(filtered(near.join(pairs, ["a", "b"], "left_anti"), sets, test))
     held = cut(load(pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct()))
     firm = cut(firm.union(verified(pairs, held, good).select(F.col("a").alias("src"), F.col("b").alias("dst"))))

@@ -7,8 +7,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate, simhash, substring, verified
 from tessera.llm.decontaminate import leaks
@@ -226,6 +228,32 @@ def test_rows_that_meet_are_all_verified(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in similar_groups(frame(spark, rows)).collect()} == want
 
 
+def test_chains_are_checked_where_rows_meet(spark):
+    """Rows of a key of the ring are candidates by a chain and all bits, which are those within the radius."""
+    from tessera.llm import minhash
+
+    rng = np.random.default_rng(24)
+    a = rng.integers(0, 2**64, 4000, dtype=np.uint64)
+    b = a.copy()
+    for k in range(4000):
+        for bit in rng.choice(64, k % 7, replace=False):
+            b[k] ^= np.uint64(1) << np.uint64(bit)
+    ring = simhash.Ring(3, 4)
+    assert ring.within(a, b).tolist() == [k % 7 <= 3 for k in range(4000)]
+    # Two texts that are alike, under one key that is no band: their fingerprints decide.
+    texts = frame(spark, [(1, " ".join(f"w{i}" for i in range(200))), (2, " ".join(f"w{i}" for i in range(199)))]).selectExpr("doc_id AS id", "text")
+    sets = [minhash.shingle_sets(pa.array([r.text]), 5)[0] for r in texts.orderBy("id").collect()]
+    for far, linked in ((0, 1), (15, 0)):
+        rows = []
+        for i, own in enumerate(sets):
+            minima = np.full(minhash.BANDS * minhash.ROWS, 7, np.uint8)
+            minima[:: minhash.ROWS] += i  # alike but for one of each band
+            rows.append((i, i + 1, bytearray(minhash.set_name(own)), len(own), bytearray(minima.tobytes() + np.uint64(far * i).tobytes())))
+        held = spark.createDataFrame(rows, "own long, least long, name binary, n long, sketch binary")
+        close = lambda x, y: ring.within(*[np.ascontiguousarray(v).view(np.uint64)[:, 0] for v in (x, y)])
+        assert minhash.set_links(texts, held, F.array(F.lit(5).cast("long")), 5, 80, 1e-9, close).count() == linked
+
+
 def confusing_words():
     """Two words of 1,024 letters whose sums of powers modulo 2^64 agree under every odd base."""
     bits = [0]
