@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -126,48 +126,85 @@ def silhouette_squared(df: DataFrame, vector: str, label: str, id: str = "cell_i
     return df.sparkSession.createDataFrame([("silhouette_squared_euclidean", value)], "metric string, value double")
 
 
+def _distance_sums(a: np.ndarray, b: np.ndarray, starts: np.ndarray, weights: np.ndarray | None) -> np.ndarray:
+    """Sums of the distances of each row of ``a`` to runs of rows of ``b`` that begin at ``starts``."""
+    centre = b.mean(axis=0)
+    near, far = a - centre, b - centre
+    of_near, of_far = (near * near).sum(1), (far * far).sum(1)
+    left = np.column_stack([near, of_near, np.ones(len(near))])
+    right = np.ascontiguousarray(np.column_stack([-2 * far, np.ones(len(far)), of_far]).T)
+    out = np.zeros((len(a), len(starts)))
+    ends, most = np.r_[starts[1:], len(b)], of_far.max()
+    # Squares of about a MB; runs may go on in the next one.
+    for s in range(0, len(a), 128):
+        rows = slice(s, s + 128)
+        for c in range(0, len(b), 1024):
+            z = min(c + 1024, len(b))
+            d = left[rows] @ right[:, c:z]
+            # A product leaves little of a small distance, which is measured.
+            i, j = np.nonzero(d < 1e-4 * (of_near[rows].max() + most))
+            if len(i):
+                d[i, j] = ((a[i + s] - b[j + c]) ** 2).sum(1)
+            np.sqrt(d, out=d)
+            if weights is not None:
+                d *= weights[c:z]
+            first, last = np.searchsorted(ends, c, side="right"), np.searchsorted(starts, z)
+            out[rows, first:last] += np.add.reduceat(d, np.maximum(starts[first:last] - c, 0), axis=1)
+    return out
+
+
 def silhouette(df: DataFrame, vector: str, label: str, id: str = "cell_id", dims: int = 10, block: int = 512) -> DataFrame:
     """Mean silhouette on the first ``dims`` dimensions: ``metric, value``.
 
-    Euclidean distances, compared block by block in tasks that return one sum
-    per row and label; the work is that of all pairs, so ``silhouette_squared``
-    is the form for very many rows.  Fewer than 2 labels or dimensions give
-    null.
+    Euclidean distances; the work is that of all pairs of unlike rows, so
+    ``silhouette_squared`` is the form for very many rows.  Equal vectors of a
+    label are one row that counts often.  Rows are in blocks of up to ``block``,
+    of 64 times that where there are many, and a task compares each two blocks
+    once, for the rows of both; it returns one sum per row and label.  Fewer
+    than 2 labels or dimensions give null, and rows without a label count as 0.
     """
     data, rows = _labelled(df, vector, label, id, dims)
     if rows is None:
         return df.sparkSession.createDataFrame([("silhouette", None)], "metric string, value double")
-    n_blocks = -(-rows // block)
-    placed = cut(data.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int")))
-    every = F.sequence(F.lit(0), F.lit(n_blocks - 1))
-    left = placed.withColumn("o", F.explode(every))
-    right = placed.withColumnRenamed("b", "o").withColumn("b", F.explode(every))
-    kind = dict(data.dtypes)["id"]
-
-    def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame(columns=["id", "l", "other", "total"])
-        va, vb = np.stack(a["v"].to_numpy()).astype(float), np.stack(b["v"].to_numpy()).astype(float)
-        d = np.sqrt(((va[:, None, :] - vb[None, :, :]) ** 2).sum(axis=2))
-        codes, names = pd.factorize(b["l"])
-        total = d @ np.eye(len(names))[codes]
-        i, j = np.indices(total.shape)
-        return pd.DataFrame(
-            {"id": a["id"].to_numpy()[i.ravel()], "l": a["l"].to_numpy()[i.ravel()], "other": np.asarray(names)[j.ravel()], "total": total.ravel()}
-        )
-
-    far = (
-        left.toDF(*left.columns).groupBy("b", "o").cogroup(right.toDF(*right.columns).groupBy("b", "o"))
-        .applyInPandas(sums, f"id {kind}, l string, other string, total double")
-        .groupBy("id", "l", "other").agg(F.sum("total").alias("total"))
-    )
-    sizes = data.groupBy(F.col("l").alias("other")).agg(F.count("*").alias("n"))
-    own = F.col("l") == F.col("other")
-    per_row = far.join(sizes, "other").groupBy("id").agg(
-        F.max(F.when(own, F.when(F.col("n") > 1, F.col("total") / (F.col("n") - 1)))).alias("a"),
-        F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
+    # Labels get dense numbers: as many rows as there are labels.
+    numbers = number_rows(data.filter("l is not null").select("l").distinct(), F.col("l"), name="code", start=0)
+    merged = data.join(numbers, "l").groupBy("code", "v").agg(F.count("*").alias("w"))
+    merged = cut(merged.select(F.monotonically_increasing_id().alias("n"), F.col("code").cast("int").alias("code"), "v", "w"))
+    places = merged.count()
+    n_blocks = max(-(-places // (64 * block)), min(16, -(-places // block)))
+    b, o = F.pmod(F.xxhash64("n"), F.lit(n_blocks)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
+    # A row of each block goes to the pairs of its block with every one.
+    met = merged.select("*", b.alias("b")).select("*", o.alias("o")).select(F.least("b", "o").alias("low"), F.greatest("b", "o").alias("high"), "b", "n", "code", "v", "w")
+
+    def sums(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("b", "ascending"), ("code", "ascending")])
+        own, n, code, w = (table[c].to_numpy() for c in ("b", "n", "code", "w"))
+        v = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(n), -1)
+        half = int(np.searchsorted(own, table["low"][0].as_py(), side="right"))
+        sides = [(slice(0, half), slice(half, None)), (slice(half, None), slice(0, half))] if table["low"][0] != table["high"][0] else [(slice(0, None),) * 2]
+        made = []
+        for left, right in sides:
+            if not len(n[left]) or not len(n[right]):
+                continue
+            starts = np.flatnonzero(np.r_[True, np.diff(code[right]) > 0])
+            total = _distance_sums(v[left], v[right], starts, w[right].astype(float) if (w[right] > 1).any() else None)
+            made.append((np.repeat(n[left], len(starts)), np.tile(code[right][starts], len(total)), total.ravel()))
+        columns = [np.concatenate(c) for c in zip(*made)] if made else [np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0)]
+        return pa.table(dict(zip(("n", "other", "total"), columns)))
+
+    # As many tasks as pairs of blocks, however few their bytes.
+    tasks = min(n_blocks * (n_blocks + 1) // 2, 4096)
+    far = met.repartition(tasks, "low", "high").groupBy("low", "high").applyInArrow(sums, "n bigint, other int, total double")
+    # All that belongs to a row is dealt together once.
+    far = far.repartition("n").groupBy("n", "other").agg(F.sum("total").alias("total"))
+    sizes = merged.groupBy(F.col("code").alias("other")).agg(F.sum("w").alias("size"))
+    own = F.col("code") == F.col("other")
+    per_row = far.join(merged.select("n", "code", "w"), "n").join(F.broadcast(sizes), "other").groupBy("n").agg(
+        F.max("w").alias("w"),
+        F.max(F.when(own, F.when(F.col("size") > 1, F.col("total") / (F.col("size") - 1)))).alias("a"),
+        F.min(F.when(~own, F.col("total") / F.col("size"))).alias("b"),
     )
     s = F.when(F.col("a").isNull() | (F.greatest("a", "b") == 0), F.lit(0.0)).otherwise(
         (F.col("b") - F.col("a")) / F.greatest("a", "b")
     )
-    return per_row.agg(F.avg(s).alias("value")).select(F.lit("silhouette").alias("metric"), "value")
+    return per_row.agg((F.sum(s * F.col("w")) / F.lit(float(rows))).alias("value")).select(F.lit("silhouette").alias("metric"), "value")

@@ -129,6 +129,23 @@ def test_silhouette_in_blocks_and_degenerate(spark):
     assert ev.silhouette_squared(df.withColumn("label", F.lit("x")), "vector", "label").first()["value"] is None
 
 
+def test_silhouette_of_copies_rows_without_label_and_far_from_zero(spark):
+    rng = np.random.default_rng(12)
+    v = np.concatenate([rng.normal(1000, 1, (90, 3)), rng.normal(1003, 1, (50, 3))])
+    v = np.concatenate([v, np.repeat(v[:20], 4, axis=0), v[90:100]])
+    label = np.r_[np.arange(140) % 7 // 3, np.repeat(np.arange(20) % 7 // 3, 4), np.arange(10) % 2].astype(object)
+    label[::11] = None
+    df = spark.createDataFrame([(i, r.tolist(), None if c is None else str(c)) for i, (r, c) in enumerate(zip(v, label))], "cell_id bigint, vector array<double>, label string")
+    d, total = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2)), 0.0
+    for i, c in enumerate(label):
+        if c is not None:
+            a = d[i, label == c].sum() / ((label == c).sum() - 1)
+            b = min(d[i, label == o].mean() for o in (0, 1, 2) if o != c)
+            total += (b - a) / max(a, b)
+    for block in (8, 512):
+        assert ev.silhouette(df, "vector", "label", block=block).first()["value"] == pytest.approx(total / len(v), abs=1e-12)
+
+
 def test_components_recover_variance_and_sign(spark):
     rng = np.random.default_rng(10)
     v = rng.normal(size=(40, 4)) * [5, 2, 1, 0.1]
