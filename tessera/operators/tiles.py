@@ -172,10 +172,10 @@ def split_groups(rows: DataFrame, group: str, limit: int) -> tuple[DataFrame, Da
     return rows.join(large, group, "left_anti"), rows.join(large, group, "left_semi")
 
 
-def whole_groups(rows: DataFrame, group: str, order: list[str], run: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+def whole_groups(rows: DataFrame, group: str, order: list[str], run: Callable[[pa.Table, np.ndarray], pa.Table], schema: str, n: int | None = None) -> DataFrame:
     """What ``run(table, bounds)`` gives for runs of whole groups in ``order``; group i has the rows ``bounds[i]`` to before ``bounds[i + 1]``.
 
-    Groups are to be of bounded size, as each is held by a task; a task gets about ``TASK_ROWS`` rows.
+    Groups are to be of bounded size, as each is held by a task; a task gets about ``TASK_ROWS`` of the ``n`` rows, which are counted if not given.
     """
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,5 +198,5 @@ def whole_groups(rows: DataFrame, group: str, order: list[str], run: Callable[[p
         if held is not None:
             yield from made(held, np.array([0, held.num_rows]))
 
-    tasks = rows.count() // TASK_ROWS + 1
+    tasks = (rows.count() if n is None else n) // TASK_ROWS + 1
     return rows.repartition(tasks, group).sortWithinPartitions(group, *order).mapInArrow(stream, schema)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import evaluate as ev
 from tessera.operators import expression as ex
 from tessera.operators import spatial_stats as sp
+from tessera.operators import tiles
 from tessera.runtime import number_rows
 from tessera.sources.catalogue import apply_changes
 
@@ -182,3 +183,37 @@ def test_morans_i_without_edges_is_null(spark):
     none = spark.createDataFrame([], "src bigint, dst bigint, w double")
     got = sp.morans_i(values, none, cells).collect()
     assert sorted(r.gene for r in got) == ["A", "B"] and all(r.I is None and r.pval_norm is None for r in got)
+
+
+def test_permuted_morans_i_in_blocks(spark, monkeypatch):
+    """Permutations scored densely; blocks of 8 cells, one of them in parts."""
+    monkeypatch.setattr(sp, "BLOCK_CELLS", 8)
+    monkeypatch.setattr(sp, "whole_groups", lambda *a, **k: calls.append(k["n"]) or whole(*a, **k))
+    calls, whole = [], tiles.whole_groups
+    rng = np.random.default_rng(13)
+    n, count, genes = 60, 7, 70
+    x = np.where(rng.random((n, genes)) < 0.3, rng.random((n, genes)), 0.0)
+    x[:30, 0], x[:, 1] = 5.0, 1.0
+    w = np.where(rng.random((n, n)) < 0.1, rng.random((n, n)), 0.0)
+    w[3] = rng.random(n)
+    values = spark.createDataFrame([(int(i), f"g{j:02}", float(x[i, j])) for i, j in zip(*np.nonzero(x))], "cell_no bigint, gene string, value double")
+    graph = spark.createDataFrame([(int(i), int(j), float(w[i, j])) for i, j in zip(*np.nonzero(w))], "src bigint, dst bigint, w double")
+    cells = spark.range(n).withColumnRenamed("id", "cell_no")
+    got = {r.gene: (r.I, r.pval_sim) for r in sp.permuted_morans_i(values, graph, cells, count).collect()}
+
+    def score(x):
+        z = x - x.mean(axis=0)
+        return n / w.sum() * (z * (w @ z)).sum(0) / np.maximum((z * z).sum(0), 1e-300)
+
+    h = cells.select("cell_no", *[F.xxhash64(F.col("cell_no").alias("id"), F.lit(p)).alias(f"h{p}") for p in range(count)]).toPandas()
+    own, hits = score(x), np.ones(genes)
+    for p in range(count):
+        moved = x[h.sort_values([f"h{p}", "cell_no"]).cell_no.to_numpy()]
+        hits += score(moved) >= own
+    for j in range(genes):
+        i, tail = got[f"g{j:02}"]
+        if j == 1:
+            assert i is None and tail is None
+        else:
+            assert i == pytest.approx(own[j]) and tail == pytest.approx(hits[j] / (count + 1))
+    assert len(calls) == 1
