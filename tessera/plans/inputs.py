@@ -52,11 +52,11 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def kept(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """A derived table that several queries of a session share, written once."""
+    def kept(self, name: str, make: Callable[[], DataFrame], written: bool = False) -> DataFrame:
+        """A derived table that several queries of a session share, written once, by ``make`` itself if ``written``."""
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _KEPT:
-            _KEPT[key] = cut(make())
+            _KEPT[key] = make() if written else cut(make())
         return _KEPT[key]
 
     def _joined(self) -> DataFrame:
@@ -83,10 +83,11 @@ class Inputs:
     def numbered(self) -> DataFrame:
         """The transcript view with row ids, written once per session."""
         def make():
-            keyed = self._joined()
-            return self._view(number_rows(keyed.select("p_brand", "l_returnflag", *ORDER), *ORDER), "row_id")
+            keyed = self._joined().select("p_brand", "l_returnflag", *ORDER)
+            # What is only there for the order goes no further than the sort.
+            return self._view(number_rows(keyed, *ORDER, keep=["p_brand", "l_returnflag", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]), "row_id")
 
-        return self.kept("numbered", make)
+        return self.kept("numbered", make, written=True)
 
     def segmented(self) -> DataFrame:
         return provided_cells(self.transcripts())

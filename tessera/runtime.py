@@ -74,16 +74,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{name}"
 
 
-def number_rows(df: DataFrame, *order, name: str = "row_id", start: int = 1) -> DataFrame:
+def number_rows(df: DataFrame, *order, name: str = "row_id", start: int = 1, keep: list | None = None) -> DataFrame:
     """Dense consecutive numbers in ``order`` without a single-task window.
 
     Rows are range partitioned and sorted, written once (so both passes see
     the same partitions), and each partition is shifted by the sizes of the
     partitions before it.  ``order`` should be unique for a repeatable result.
+    With ``keep`` only those columns are written and returned.
     """
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered = cut(
-        ordered.withColumn("__part", F.spark_partition_id()).withColumn(
+        (ordered if keep is None else ordered.select(*keep)).withColumn("__part", F.spark_partition_id()).withColumn(
             "__seq", F.monotonically_increasing_id() - F.shiftleft(F.col("__part").cast("bigint"), 33)
         )
     )
