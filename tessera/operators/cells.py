@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.runtime import cut
 from tessera.schema import find_column, need_column
 
 
@@ -109,11 +110,13 @@ def enough_cells(cells: DataFrame, least: int = 2) -> bool:
 
 def sparsity(counts: DataFrame) -> DataFrame:
     """Share of empty entries of the cell-by-gene matrix."""
-    return counts.agg(
-        F.countDistinct("cell_id").alias("n_cells"),
-        F.countDistinct("gene").alias("n_genes"),
-        F.count_if(F.col("count") > 0).alias("n_positive"),
-    ).select(
+    # Two distinct counts in one aggregate would move every entry for each of them.
+    counts = cut(counts.select("cell_id", "gene", (F.col("count") > 0).alias("positive")))
+    cells = counts.groupBy("cell_id").agg(F.count_if("positive").alias("n")).agg(
+        F.count("cell_id").alias("n_cells"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_positive")
+    )
+    genes = counts.select("gene").distinct().agg(F.count("gene").alias("n_genes"))
+    return cells.crossJoin(F.broadcast(genes)).select(  # one row each
         "n_cells",
         "n_genes",
         "n_positive",

@@ -89,7 +89,8 @@ def matrix_sparsity(t: Inputs):
     THEN 'kmeans' ELSE 'leiden' END AS method FROM (SELECT DISTINCT cell_id, gene || '/' || CAST(row_id AS VARCHAR) AS fine FROM seg)""")
 def clustering_choice(t: Inputs):
     """Method for an almost empty matrix, made by counting every transcript as a gene of its own."""
-    fine = t.numbered().withColumn("gene", F.concat_ws("/", "gene", "row_id"))
+    # Any number that no other transcript has will do.
+    fine = t.segmented().withColumn("gene", F.concat_ws("/", "gene", F.monotonically_increasing_id()))
     method, _ = ce.choose_clustering(ce.cell_gene_counts(fine))
     return t.spark.range(1).select(F.lit(method).alias("method"))
 
