@@ -172,11 +172,12 @@ def split_groups(rows: DataFrame, group: str, limit: int) -> tuple[DataFrame, Da
     return rows.join(large, group, "left_anti"), rows.join(large, group, "left_semi")
 
 
-def whole_groups(rows: DataFrame, group: str, order: list[str], run: Callable[[pa.Table, np.ndarray], pa.Table], schema: str, n: int | None = None) -> DataFrame:
+def whole_groups(rows: DataFrame, group: str | list[str], order: list[str], run: Callable[[pa.Table, np.ndarray], pa.Table], schema: str, n: int | None = None) -> DataFrame:
     """What ``run(table, bounds)`` gives for runs of whole groups in ``order``; group i has the rows ``bounds[i]`` to before ``bounds[i + 1]``.
 
     Groups are to be of bounded size, as each is held by a task; a task gets about ``TASK_ROWS`` of the ``n`` rows, which are counted if not given.
     """
+    keys = [group] if isinstance(group, str) else group
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -189,9 +190,12 @@ def whole_groups(rows: DataFrame, group: str, order: list[str], run: Callable[[p
                 continue
             table = pa.Table.from_batches([batch])
             table = (table if held is None else pa.concat_tables([held, table])).combine_chunks()
-            at = table[group].combine_chunks().dictionary_encode()
-            at = (at.combine_chunks() if isinstance(at, pa.ChunkedArray) else at).indices.to_numpy(zero_copy_only=False)
-            starts = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
+            differ = np.zeros(table.num_rows - 1, bool)
+            for key in keys:
+                at = table[key].combine_chunks().dictionary_encode()
+                at = (at.combine_chunks() if isinstance(at, pa.ChunkedArray) else at).indices.to_numpy(zero_copy_only=False)
+                differ |= at[1:] != at[:-1]
+            starts = np.concatenate([[0], np.flatnonzero(differ) + 1])
             # The last group may go on in the next batch.
             yield from made(table.slice(0, int(starts[-1])), starts)
             held = table.slice(int(starts[-1]))
@@ -199,4 +203,4 @@ def whole_groups(rows: DataFrame, group: str, order: list[str], run: Callable[[p
             yield from made(held, np.array([0, held.num_rows]))
 
     tasks = (rows.count() if n is None else n) // TASK_ROWS + 1
-    return rows.repartition(tasks, group).sortWithinPartitions(group, *order).mapInArrow(stream, schema)
+    return rows.repartition(tasks, *keys).sortWithinPartitions(*keys, *order).mapInArrow(stream, schema)

@@ -334,8 +334,7 @@ def boundary_export(t: Inputs):
 @query("overlapping_cells_resolved")
 def overlapping_cells_resolved(t: Inputs):
     """Cells split by patches and merged where their outlines cover each other."""
-    named = patches.patched_segmentation(t.transcripts(), width=500.0, overlap=150.0, keep_patch=True)
-    mapping, merged = patches.resolve_patch_cells(named)
+    mapping, merged = patches.resolve_outlines(patches.patch_outlines(t.transcripts(), width=500.0, overlap=150.0))
     return mapping.join(merged.select("resolved_id", "n_points"), "resolved_id")
 
 

@@ -103,3 +103,75 @@ def test_resolving_cells_needs_no_call_for_each_cell(spark, monkeypatch):
     plans.append(merged._jdf.queryExecution().executedPlan().toString())
     assert plans and not any("FlatMapGroupsInPandas" in p for p in plans)
     assert [(r["resolved_id"], r["n_points"]) for r in merged.collect()] == [("A", 12)]
+
+
+def _transcripts(spark, n):
+    rng = np.random.default_rng(17)
+    pdf = pd.DataFrame({"x": rng.integers(0, 90, n).astype(float), "y": rng.integers(-20, 60, n).astype(float), "gene": "g"})
+    pdf["cell_id"] = [f"c{a:.0f}_{b:.0f}" for a, b in zip(pdf.x // 9, pdf.y // 11)]
+    pdf.loc[:20, "cell_id"] = None
+    pdf.loc[21:30, "cell_id"] = ""
+    pdf.loc[5, ["x", "y"]] = [-70.0, 99.0]
+    df = spark.createDataFrame(pdf)
+    return df.withColumn("y", F.when(F.col("x") != 33.0, F.col("y")))
+
+
+def test_outlines_of_patches_are_those_of_patched_transcripts(spark):
+    df = _transcripts(spark, 4000)
+    for width, overlap in ((40.0, 15.0), (30.0, 20.0), (500.0, 150.0)):
+        named = pt.patched_segmentation(df, width=width, overlap=overlap, keep_patch=True)
+        want = pt.convex_hulls(named, ["cell_id", "patch_col", "patch_row"]).withColumnRenamed("cell_id", "id")
+        got = pt.patch_outlines(df, width=width, overlap=overlap)
+        assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+    for r in got.collect():
+        assert r["area"] == pytest.approx(pt._area_centroid(np.array(r["hull_x"]), np.array(r["hull_y"]))[0])
+    assert pt.patch_outlines(df.filter("gene = 'none'")).count() == 0
+    with pytest.raises(ValueError):
+        pt.patch_outlines(df, width=10.0, overlap=10.0)
+
+
+def test_resolving_cells_of_patches_reads_transcripts_once(spark):
+    from tessera.plans.transcript_queries import overlapping_cells_resolved
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    class Given:
+        def transcripts(self):
+            df = _transcripts(spark, 3000).withColumns({"x": F.col("x") * 10, "y": F.col("y") * 10})
+            return df.mapInArrow(counted, df.schema)
+
+    found = overlapping_cells_resolved(Given()).toPandas()
+    assert seen.value == 3000
+    named = pt.patched_segmentation(_transcripts(spark, 3000).withColumns({"x": F.col("x") * 10, "y": F.col("y") * 10}), width=500.0, overlap=150.0, keep_patch=True)
+    sizes = named.filter("x is not null and y is not null").groupBy("cell_id").count().toPandas().set_index("cell_id")["count"]
+    assert set(found.cell_id) == set(sizes.index) and len(set(found.resolved_id)) < len(found)
+    assert (found.groupby("resolved_id").n_points.first() == sizes.groupby(found.set_index("cell_id").resolved_id).sum()).all()
+
+
+def test_hulls_of_many_groups_are_those_of_each():
+    rng = np.random.default_rng(23)
+    groups = [(np.array([3.0]), np.array([4.0])), (np.array([1.0, 1.0, 1.0]), np.array([0.0, 5.0, 2.0])), (np.arange(5.0), np.arange(5.0))]
+    groups += [(np.sort(rng.integers(0, 12, n)).astype(float), rng.integers(-4, 5, n).astype(float)) for n in rng.integers(1, 60, 80)]
+    # A convex chain whose points go one after the other.
+    groups += [(np.arange(400.0), np.r_[np.arange(399.0) ** 2, -1e9])] * 2
+    bounds = np.r_[0, np.cumsum([len(x) for x, _ in groups])]
+    x, y = (np.concatenate([g[i] for g in groups]) for i in (0, 1))
+    hx, hy, ends = pt._all_hulls(x, y, y, bounds)
+    areas = pt._areas(hx, hy, ends)
+    for g, i, j, area in zip(groups, ends, ends[1:], areas):
+        ring = pt._hull(*g)
+        assert list(zip(*ring)) == list(zip(hx[i:j], hy[i:j]))
+        assert area == (pt._area_centroid(*ring)[0] if len(ring[0]) > 2 else 0.0)
+
+
+def test_shared_area_of_polygons_within_each_other():
+    square = (np.array([0.0, 4.0, 4.0, 0.0]), np.array([0.0, 0.0, 4.0, 4.0]))
+    inner = (np.array([1.0, 4.0, 1.0]), np.array([0.0, 2.0, 3.0]))
+    moved = (square[0] + 3, square[1] - 1)
+    for a, b in ((square, inner), (inner, square), (square, square), (square, moved), (moved, inner), (square, (square[0] + 9, square[1]))):
+        assert pt._shared(*a, *b) == pytest.approx(pt._clip(*a, *b))
